@@ -175,33 +175,38 @@ def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 # ---- transforms that reduce skew --------------------------------------------
 
-def box_cox(cell: Column, lam: float) -> Column:
-    return F.ln(cell) if abs(lam) < 1e-12 else (F.pow(cell, F.lit(lam)) - 1) / lam
+def box_cox(cell: Column, lam: Column) -> Column:
+    return F.when(F.abs(lam) < 1e-12, F.ln(cell)).otherwise(F.try_divide(F.pow(cell, lam) - 1, lam))
 
 
-def yeo_johnson(cell: Column, lam: float) -> Column:
-    up = F.ln(cell + 1) if abs(lam) < 1e-12 else (F.pow(cell + 1, F.lit(lam)) - 1) / lam
+def yeo_johnson(cell: Column, lam: Column) -> Column:
     mu = 2 - lam
-    down = -F.ln(1 - cell) if abs(mu) < 1e-12 else -(F.pow(1 - cell, F.lit(mu)) - 1) / mu
+    up = F.when(F.abs(lam) < 1e-12, F.ln(cell + 1)).otherwise(F.try_divide(F.pow(cell + 1, lam) - 1, lam))
+    down = F.when(F.abs(mu) < 1e-12, -F.ln(1 - cell)).otherwise(-F.try_divide(F.pow(1 - cell, mu) - 1, mu))
     return F.when(cell >= 0, up).otherwise(down)
 
 
-def _best_lambda(df: DataFrame, transform, jacobian: Column, low=-5.0, high=5.0, rounds=5, points=21) -> float:
-    """Maximum of the normal log-likelihood; every round scores a whole grid in
-    one pass and narrows it around the best point."""
-    best = 1.0
+def _best_lambda(df: DataFrame, transform, jacobian: Column, low=-5.0, high=5.0, rounds=4, points=11) -> float:
+    """Maximum of the normal log-likelihood.  Every round scores a whole grid in
+    one pass (grid points are grouped map-side) and narrows it around the best;
+    a parabola through the last three points gives the final digits."""
+    fixed = df.agg(F.count("value").alias("n"), F.sum(jacobian).alias("j")).first()
+    score, step = {}, 0.0
     for _ in range(rounds):
         step = (high - low) / (points - 1)
-        grid = [low + i * step for i in range(points)]
-        row = df.agg(F.count("value").alias("n"), F.sum(jacobian).alias("j"),
-                     *[F.var_pop(transform(F.col("value"), g)).alias(f"v{i}") for i, g in enumerate(grid)]).first()
-        score = {}
-        for i, g in enumerate(grid):
-            v = row[f"v{i}"]
-            if v is not None and v > 0 and math.isfinite(v):
-                score[g] = (g - 1) * row.j - row.n / 2 * math.log(v)
+        grid = F.array(*[F.lit(low + i * step) for i in range(points)])
+        spread = (df.select("value", F.explode(grid).alias("lam")).groupBy("lam")
+                    .agg(F.var_pop(transform(F.col("value"), F.col("lam"))).alias("v")).collect())
+        score = {r.lam: (r.lam - 1) * fixed.j - fixed.n / 2 * math.log(r.v)
+                 for r in spread if r.v is not None and r.v > 0 and math.isfinite(r.v)}
         best = max(score, key=score.get)
         low, high = best - step, best + step
+    around = sorted(score, key=lambda g: abs(g - best))[:3]
+    if len(around) == 3:
+        left, mid, right = (score[g] for g in sorted(around))
+        bend = left - 2 * mid + right
+        if bend < 0 and sorted(around)[1] == best:
+            best += 0.5 * step * (left - right) / bend
     return best
 
 
@@ -223,9 +228,9 @@ def transformation_report(df: DataFrame, column: str) -> DataFrame:
         candidates["reciprocal"] = (F.lit(1.0) / v, None)
     if probe.low > 0:
         lam = _best_lambda(values, box_cox, F.ln(v))
-        candidates["boxcox"] = (box_cox(v, lam), lam)
+        candidates["boxcox"] = (box_cox(v, F.lit(lam)), lam)
     lam = _best_lambda(values, yeo_johnson, F.signum(v) * F.ln(F.abs(v) + 1))
-    candidates["yeojohnson"] = (yeo_johnson(v, lam), lam)
+    candidates["yeojohnson"] = (yeo_johnson(v, F.lit(lam)), lam)
     return skew_of(values, candidates)
 
 

@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.cells import half_even
+
 
 def pivot_table(df: DataFrame, index: Sequence[str], column: str, levels: Sequence[str],
                 measures: dict[str, Column], fill: float = 0) -> DataFrame:
@@ -44,8 +46,8 @@ def group_score(df: DataFrame, keys: Sequence[str], name: str, area: str, perime
     score = (0.4 * part(area, 1000) + 0.3 * part(perimeter, 100)
              + 0.3 * F.avg(_status(F.col(status))) * 100)
     return df.groupBy(*keys).agg(
-        F.count(name).alias("base_count"), F.bround(F.avg(area), 4).alias("average_area"),
-        F.bround(F.stddev_samp(length), 4).alias("std_dev_length"), F.bround(score, 4).alias("score"))
+        F.count(name).alias("base_count"), half_even(F.avg(area), 4).alias("average_area"),
+        half_even(F.stddev_samp(length), 4).alias("std_dev_length"), half_even(score, 4).alias("score"))
 
 
 def group_score_sql(df: DataFrame, keys: Sequence[str], name: str, area: str, perimeter: str,
@@ -63,8 +65,8 @@ def group_score_sql(df: DataFrame, keys: Sequence[str], name: str, area: str, pe
 def roll_up(groups: DataFrame, key: str) -> DataFrame:
     """Sum of counts and mean of group means one level higher."""
     return groups.groupBy(key).agg(
-        F.sum("base_count").alias("total_bases"), F.bround(F.avg("average_area"), 4).alias("avg_area"),
-        F.bround(F.avg("std_dev_length"), 4).alias("avg_spread"), F.bround(F.avg("score"), 4).alias("avg_score"))
+        F.sum("base_count").alias("total_bases"), half_even(F.avg("average_area"), 4).alias("avg_area"),
+        half_even(F.avg("std_dev_length"), 4).alias("avg_spread"), half_even(F.avg("score"), 4).alias("avg_score"))
 
 
 def top_categories(df: DataFrame, column: str, k: int) -> list:

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.cells import half_even
+
 Rule = Callable[[Column], Column]
 
 
@@ -158,7 +160,7 @@ def missing_profile(df: DataFrame) -> MissingProfile:
     complete = reduce(lambda a, b: a + b, [(F.col(f"`{c}`") == 0).cast("int") for c in names])
     summary = total.select(
         F.coalesce("missing", F.lit(0)).alias("total_missing"),
-        F.bround(F.coalesce(F.try_divide(F.col("missing") * 100.0, F.col("n") * width), F.lit(0.0)), 2)
+        half_even(F.coalesce(F.try_divide(F.col("missing") * 100.0, F.col("n") * width), F.lit(0.0)), 2)
         .alias("missing_pct"),
         "rows_with_missing", "empty_rows", complete.alias("complete_columns"))
     kinds = dict(df.dtypes)
@@ -166,7 +168,7 @@ def missing_profile(df: DataFrame) -> MissingProfile:
         F.struct(F.lit(c).alias("column"), F.lit(kinds[c]).alias("type"), F.col(f"`{c}`").alias("missing"))
         for c in names]))
     columns = (total.select("n", cells.alias("c")).select(
-        "c.*", F.bround(F.coalesce(F.try_divide(F.col("c.missing") * 100.0, F.col("n")), F.lit(0.0)), 2)
+        "c.*", half_even(F.coalesce(F.try_divide(F.col("c.missing") * 100.0, F.col("n")), F.lit(0.0)), 2)
         .alias("missing_pct")))
     return MissingProfile(summary, columns)
 
