@@ -102,27 +102,23 @@ def iterative_bounds(df: DataFrame, column: str, threshold: float = 3.0, max_rou
                         F.min("v").alias("low"), F.max("v").alias("high")).first()
 
     now, low, high, last = measure(None, None), None, None, None
-    for both in [False] * high_rounds + [True] * max_rounds:
-        if now.n < 3 and last is None or not now.std:
-            if both:
+    for both, rounds in ((False, high_rounds), (True, max_rounds)):
+        for _ in range(rounds if now.n >= 3 else 0):
+            if not now.std:
                 break
-            continue
-        new_high = now.mean + threshold * now.std
-        new_high = new_high if high is None else min(high, new_high)
-        new_low = low
-        if both:
-            new_low = now.mean - threshold * now.std
-            new_low = new_low if low is None else max(low, new_low)
-        after = measure(new_low, new_high)
-        settled = last is not None and abs(after.high - last[1]) < tolerance
-        if both:
-            settled = settled and abs(after.low - last[0]) < tolerance
-        if after.n == 0 or settled:
+            cut = now.mean + threshold * now.std
+            new_high = cut if high is None else min(high, cut)
+            new_low = low
             if both:
+                cut = now.mean - threshold * now.std
+                new_low = cut if low is None else max(low, cut)
+            after = measure(new_low, new_high)
+            if after.n == 0:
+                break
+            if last is not None and abs(after.high - last[1]) < tolerance and (
+                    not both or abs(after.low - last[0]) < tolerance):
                 break
-            high_rounds = 0
-            continue
-        now, low, high, last = after, new_low, new_high, (after.low, after.high)
+            now, low, high, last = after, new_low, new_high, (after.low, after.high)
     return df.sparkSession.createDataFrame([(now.low, now.high)], "min_value double, max_value double")
 
 
