@@ -1,4 +1,4 @@
 """Collects the queries of all groups."""
 
-from . import cleaning_queries, inference_queries, table_queries  # noqa: F401
+from . import cleaning_queries, curve_queries, inference_queries, series_queries, table_queries  # noqa: F401
 from .registry import QUERIES, SQL  # noqa: F401
