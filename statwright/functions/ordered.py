@@ -31,15 +31,23 @@ def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     return top.top or 0, top.total or 0
 
 
+def settled(df: DataFrame, keys: Sequence[str], block_rows: int | None = BLOCK_ROWS) -> int | None:
+    """``block_rows`` for steps over the same groups: None when even groups four
+    times as large would fit, so that later steps need not measure again."""
+    if block_rows is None or largest_group(df, keys)[0] * 4 <= block_rows:
+        return None
+    return block_rows
+
+
 def with_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, bool]:
+                block_rows: int | None = BLOCK_ROWS) -> tuple[DataFrame, bool]:
     """Adds ``_block`` and ``_tie``; says whether groups were split.
 
     Inside a key, blocks follow each other in the given order.  ``_tie`` lets
     rows that are equal in every order column be split as well.
     """
-    top, total = largest_group(df, keys)
-    if top <= block_rows:
+    top, total = largest_group(df, keys) if block_rows is not None else (0, 0)
+    if block_rows is None or top <= block_rows:
         return df.withColumn("_block", F.lit(0)).withColumn("_tie", F.lit(0).cast("long")), False
     parts = max(2, -(-2 * total // block_rows))
     spread = (df.withColumn("_tie", F.monotonically_increasing_id())
@@ -49,7 +57,7 @@ def with_blocks(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                sums: dict[str, str], block_rows: int = BLOCK_ROWS) -> DataFrame:
+                sums: dict[str, str], block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Inclusive running sums: ``sums`` maps a new column to the summed one."""
     blocked, split = with_blocks(df, keys, order, block_rows)
     inside = (Window.partitionBy(*keys, "_block").orderBy(*order, "_tie")
@@ -71,7 +79,7 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
 
 
 def positions(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-              name: str = "_pos", block_rows: int = BLOCK_ROWS) -> DataFrame:
+              name: str = "_pos", block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Row number 1..n inside every key."""
     return (running_sum(df.withColumn("_one", F.lit(1).cast("long")), keys, order,
                         {name: "_one"}, block_rows).drop("_one"))
@@ -92,11 +100,10 @@ class Framed(NamedTuple):
 
 
 def framed(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int, after: int,
-           block_rows: int = BLOCK_ROWS) -> Framed:
+           block_rows: int | None = BLOCK_ROWS) -> Framed:
     """Prepare neighbour access (lag, lead, row frames) for groups of any size."""
     window = Window.partitionBy(*keys, "_chunk").orderBy(*order, "_tie")
-    top, _ = largest_group(df, keys)
-    if top <= block_rows:
+    if block_rows is None or largest_group(df, keys)[0] <= block_rows:
         plain = (df.withColumn("_chunk", F.lit(0).cast("long"))
                    .withColumn("_tie", F.lit(0).cast("long"))
                    .withColumn("_own", F.lit(True)))
@@ -113,7 +120,7 @@ def framed(df: DataFrame, keys: Sequence[str], order: Sequence[str], before: int
 
 
 def value_counts_ranked(df: DataFrame, keys: Sequence[str], value: str,
-                        block_rows: int = BLOCK_ROWS) -> DataFrame:
+                        block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """One row per distinct value of a key: ``n`` rows have it, ``upto`` rows
     have it or less.  The average rank of the value is ``upto - (n - 1) / 2``.
     """

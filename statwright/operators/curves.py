@@ -13,18 +13,16 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from ..functions.ordered import BLOCK_ROWS, framed, positions, running_sum
-from ..functions.sizes import broadcast_if_small
+from ..functions.ordered import BLOCK_ROWS, framed, positions, running_sum, settled
+from ..functions.sizes import spread_out
 from ..functions.storage import materialise
 from .nearest import nearest_distances
 
 
 def _own_stats(points: DataFrame, key: str, aggs: list[Column]) -> DataFrame:
     """Points with statistics of their curve."""
-    stats = points.groupBy(F.col(key).alias("_key")).agg(*aggs)
-    return points.join(broadcast_if_small(stats), F.col(key) == F.col("_key")).drop("_key")
+    return points.join(points.groupBy(key).agg(*aggs), key)
 
 
 def _hypot(dx: Column, dy: Column) -> Column:
@@ -33,7 +31,7 @@ def _hypot(dx: Column, dy: Column) -> Column:
 
 # ---- measures ---------------------------------------------------------------
 
-def length(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def length(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Sum of the distances of consecutive points; 0 for a single point."""
     fr = framed(points.select(key, "seq", "x", "y"), [key], ["seq"], 1, 0, block_rows)
     back = lambda c: F.col(c) - F.lag(c).over(fr.window)
@@ -47,7 +45,7 @@ def thickness_camber(points: DataFrame, key: str) -> DataFrame:
     return points.groupBy(key, "x").agg((top - low).alias("thickness"), ((top + low) / 2).alias("camber"))
 
 
-def proportions(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def proportions(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """chord, max thickness and camber, thickness to chord, aspect ratio; the
     ratios are NULL when the chord is zero."""
     shape = thickness_camber(points, key).groupBy(key).agg(
@@ -107,13 +105,13 @@ def trailing_angle(points: DataFrame, key: str, n: int = 5) -> DataFrame:
     return few.groupBy(key).agg(F.degrees(F.atan(F.regr_slope("y", "x"))).alias("trailing_angle"))
 
 
-def geometry(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def geometry(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """All measures of a curve in one row."""
     return (proportions(points, key, block_rows).join(leading_radius(points, key), key)
             .join(trailing_angle(points, key), key))
 
 
-def distributions(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def distributions(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Thickness and camber in x order with their place between 0 and 1.  Long
     form: a curve may be too long for one array cell."""
     shape = thickness_camber(points, key)
@@ -194,7 +192,7 @@ def close(points: DataFrame, key: str, tolerance: float = 1e-6) -> DataFrame:
     return points.select(key, "seq", "x", "y").unionByName(extra)
 
 
-def simplify(points: DataFrame, key: str, tolerance: float = 1e-5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def simplify(points: DataFrame, key: str, tolerance: float = 1e-5, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Keeps the ends and every point where the turn exceeds the tolerance."""
     fr = framed(points.select(key, "seq", "x", "y"), [key], ["seq"], 1, 1, block_rows)
     at = lambda c, k: F.lag(c, -k).over(fr.window)
@@ -208,16 +206,16 @@ def simplify(points: DataFrame, key: str, tolerance: float = 1e-5, block_rows: i
 
 # ---- reordering -------------------------------------------------------------
 
-def _indexed(points: DataFrame, key: str, block_rows: int) -> DataFrame:
+def _indexed(points: DataFrame, key: str, block_rows: int | None) -> DataFrame:
     return positions(points.select(key, "seq", "x", "y"), [key], ["seq"], "i", block_rows).withColumn("i", F.col("i") - 1).drop("seq")
 
 
-def _renumber(rows: DataFrame, key: str, block_rows: int) -> DataFrame:
+def _renumber(rows: DataFrame, key: str, block_rows: int | None) -> DataFrame:
     """New seq from the sort columns a, b, c."""
     return positions(rows, [key], ["a", "b", "c"], "seq", block_rows).select(key, "seq", "x", "y")
 
 
-def reorder_unordered(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def reorder_unordered(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Rightmost point, one side to the leftmost, the other side back, and the
     rightmost once more.  The sides part at the mean y of the other points."""
     rows = _indexed(points, key, block_rows)
@@ -249,7 +247,7 @@ def _first_two(rows: DataFrame, key: str, place: float, name: str) -> DataFrame:
     return first.join(second, key)
 
 
-def reorder_split(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def reorder_split(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Two runs between the first and second pairs of extreme points: the run
     with the higher mean y from right to left, the other one back.  ``points``
     carries the tolerance of its curve."""
@@ -269,7 +267,7 @@ def reorder_split(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) ->
                                  F.when(on_top, along).otherwise(-along).alias("b"), F.lit(0).alias("c")), key, block_rows)
 
 
-def reorder_partial_split(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def reorder_partial_split(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """The run between the two extreme points of one end, then the rest of the
     curve from there around; each flipped according to its own direction."""
     rows = positions(points.select(key, "seq", "x", "y", "tolerance"), [key], ["seq"], "i", block_rows).withColumn("i", F.col("i") - 1)
@@ -292,14 +290,19 @@ def reorder_partial_split(points: DataFrame, key: str, block_rows: int = BLOCK_R
     return _renumber(rows.filter(~drop).select(key, "x", "y", "a", F.when(flip, -F.col("p")).otherwise(F.col("p")).alias("b"), F.lit(0).alias("c")), key, block_rows)
 
 
-def reorder(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """Every curve by the rule of its format; closed curves stay as they are."""
+def reorder(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+    """Every curve by the rule of its format; closed curves stay as they are.
+    Only the formats that occur are planned."""
+    block_rows = settled(points, [key], block_rows)
     kinds = curve_format(points, key).select(F.col(key).alias("_key"), "format", "tolerance")
-    rows = points.select(key, "seq", "x", "y").join(broadcast_if_small(kinds), F.col(key) == F.col("_key")).drop("_key")
-    of = lambda kind: rows.filter(F.col("format") == kind)
-    parts = [of("closed").select(key, "seq", "x", "y"), reorder_unordered(of("unordered"), key, block_rows),
-             reorder_split(of("split"), key, block_rows), reorder_partial_split(of("partial_split"), key, block_rows)]
-    return reduce(DataFrame.unionByName, parts)
+    rows = materialise(points.select(key, "seq", "x", "y").join(kinds, F.col(key) == F.col("_key")).drop("_key"))
+    present = {r.format for r in rows.select("format").distinct().collect()}
+    rules = {"closed": lambda df: df.select(key, "seq", "x", "y"),
+             "unordered": lambda df: reorder_unordered(df, key, block_rows),
+             "split": lambda df: reorder_split(df, key, block_rows),
+             "partial_split": lambda df: reorder_partial_split(df, key, block_rows)}
+    parts = [rule(rows.filter(F.col("format") == kind)) for kind, rule in rules.items() if kind in present]
+    return reduce(DataFrame.unionByName, parts) if parts else rows.select(key, "seq", "x", "y")
 
 
 # ---- self-intersection ------------------------------------------------------
@@ -308,7 +311,7 @@ CELL_SEGMENTS = 48
 
 
 def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SEGMENTS, max_depth: int = 40,
-                       block_rows: int = BLOCK_ROWS) -> DataFrame:
+                       block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """curve, crosses: does the line through all points but the last touch or
     cross itself (a closing end point apart)?
 
@@ -317,6 +320,7 @@ def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SE
     one cell are compared, inside one array.  Meeting vertices and turning
     straight back are found by counting.
     """
+    block_rows = settled(points, [key], block_rows)
     fr = framed(points.select(key, "seq", "x", "y"), [key], ["seq"], 1, 1, block_rows)
     at = lambda c, k: F.lag(c, -k).over(fr.window)
     line = fr.own(fr.df.withColumns({"_last": at("seq", 1).isNull(), "_again": F.coalesce(
@@ -325,7 +329,7 @@ def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SE
     n = line.groupBy(F.col(key).alias("_key")).agg(
         F.max("i").alias("n"), F.min_by(F.struct("x", "y"), "i").alias("_a"), F.max_by(F.struct("x", "y"), "i").alias("_b"),
         F.min("x").alias("x0"), F.max("x").alias("x1"), F.min("y").alias("y0"), F.max("y").alias("y1"))
-    line = line.join(broadcast_if_small(n), F.col(key) == F.col("_key")).drop("_key")
+    line = line.join(n, F.col(key) == F.col("_key")).drop("_key")
     ring = (F.col("n") > 3) & (F.col("_a") == F.col("_b"))
     line = line.withColumn("ring", ring).drop("_a", "_b")
     met = (line.filter(~(F.col("ring") & (F.col("i") == F.col("n")))).groupBy(key, "x", "y").agg(F.count(F.lit(1)).alias("c"))
@@ -383,42 +387,54 @@ def _cell_crossings(seg: DataFrame, key: str, cells: list[str]) -> DataFrame:
 # ---- resampling -------------------------------------------------------------
 
 HALO = 64
+CHUNK_KNOTS = 50_000
 
 
-def _spline(u: np.ndarray, v: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Interpolating spline with third derivatives joined at the second and the
-    last but one knot; a parabola for three knots, a line for two."""
+def _bends(u: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Second derivatives at the knots; third derivatives are joined at the
+    second and the last but one knot."""
     n = len(u)
-    if n <= 3:
-        return np.polynomial.polynomial.polyval(at - u[0], np.polynomial.polynomial.polyfit(u - u[0], v, n - 1))
-    h, slope = np.diff(u), np.diff(v) / np.diff(u)
-    lower, main, upper, right = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros(n)
-    lower[1:-1], main[1:-1], upper[1:-1] = h[:-1], 2 * (h[:-1] + h[1:]), h[1:]
-    right[1:-1] = 6 * np.diff(slope)
-    # the end conditions give the end values from their two neighbours
+    h = np.diff(u)
+    right = 6 * np.diff(np.diff(v, axis=0) / h[:, None], axis=0)
+    main, upper, lower = 2 * (h[:-1] + h[1:]), h[1:].copy(), h[:-1].copy()
     r0, r1 = h[0] / h[1], h[-1] / h[-2]
-    main[1] += lower[1] * (1 + r0)
-    upper[1] -= lower[1] * r0
-    main[-2] += upper[-2] * (1 + r1)
-    lower[-2] -= upper[-2] * r1
-    m = np.zeros(n)
-    c, d = np.zeros(n), np.zeros(n)
-    c[1], d[1] = upper[1] / main[1], right[1] / main[1]
-    for k in range(2, n - 1):
-        w = main[k] - lower[k] * c[k - 1]
-        c[k], d[k] = upper[k] / w, (right[k] - lower[k] * d[k - 1]) / w
-    m[n - 2] = d[n - 2]
-    for k in range(n - 3, 0, -1):
-        m[k] = d[k] - c[k] * m[k + 1]
-    m[0] = (1 + r0) * m[1] - r0 * m[2]
-    m[-1] = (1 + r1) * m[-2] - r1 * m[-3]
-    k = np.clip(np.searchsorted(u, at, side="right") - 1, 0, n - 2)
-    t, s = at - u[k], u[k + 1] - at
-    return ((m[k] * s ** 3 + m[k + 1] * t ** 3) / (6 * h[k]) + (v[k] / h[k] - m[k] * h[k] / 6) * s
-            + (v[k + 1] / h[k] - m[k + 1] * h[k] / 6) * t)
-
-
-def merged_by_x(points: DataFrame, key: str, tolerance: float = 1e-8, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    # the end conditions give the end values from their two neighbours
+    main[0] += h[0] * (1 + r0)
+    main[-1] += h[-1] * (1 + r1)
+    upper[0] -= h[0] * r0
+    lower[-1] -= h[-1] * r1
+    if n <= 66:
+        m = np.linalg.solve(np.diag(main) + np.diag(upper[:-1], 1) + np.diag(lower[1:], -1), right)
+    else:
+        m = np.empty_like(right)
+        c, d = [upper[0] / main[0]], [right[0] / main[0]]
+        for k in range(1, n - 2):
+            w = main[k] - lower[k] * c[-1]
+            c.append(upper[k] / w)
+            d.append((right[k] - lower[k] * d[-1]) / w)
+        m[-1] = d[-1]
+        for k in range(n - 4, -1, -1):
+            m[k] = d[k] - c[k] * m[k + 1]
+    first = (1 + r0) * m[0] - r0 * m[1]
+    last = (1 + r1) * m[-1] - r1 * m[-2]
+    return np.vstack([first, m, last])
+
+
+def _spline(u: np.ndarray, v: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Interpolating cubic of the columns of v; a parabola for three knots."""
+    if len(u) == 3:
+        a, b, c = u
+        t = at[:, None]
+        return (v[0] * (t - b) * (t - c) / ((a - b) * (a - c)) + v[1] * (t - a) * (t - c) / ((b - a) * (b - c))
+                + v[2] * (t - a) * (t - b) / ((c - a) * (c - b)))
+    m, h = _bends(u, v), np.diff(u)
+    k = np.clip(np.searchsorted(u, at, side="right") - 1, 0, len(u) - 2)
+    t, s, w = (at - u[k])[:, None], (u[k + 1] - at)[:, None], h[k][:, None]
+    return ((m[k] * s ** 3 + m[k + 1] * t ** 3) / (6 * w) + (v[k] / w - m[k] * w / 6) * s
+            + (v[k + 1] / w - m[k + 1] * w / 6) * t)
+
+
+def merged_by_x(points: DataFrame, key: str, tolerance: float = 1e-8, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Points in x order with those of (nearly) equal x averaged: a run of
     points whose steps stay below the tolerance is cut every tolerance."""
     same = points.groupBy(key, "x").agg(F.sum("y").alias("sy"), F.count("y").alias("c"))
@@ -434,7 +450,7 @@ def merged_by_x(points: DataFrame, key: str, tolerance: float = 1e-8, block_rows
             .agg(F.min("x").alias("x"), (F.sum("sy") / F.sum("c")).alias("y")).select(key, "x", "y"))
 
 
-def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """n points at equal steps of the chord length along the interpolating cubic
     through the merged points.  Curves of fewer than three points stay as they
     are, two merged points too.
@@ -443,6 +459,7 @@ def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8,
     influence of a knot falls at least by half from knot to knot, so the cut is
     beyond the precision of a double.
     """
+    block_rows = settled(points, [key], block_rows)
     size = points.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
     few = points.join(size.filter("_n < 3"), F.col(key) == F.col("_key"), "left_semi").select(key, "seq", "x", "y")
     many = points.join(size.filter("_n >= 3"), F.col(key) == F.col("_key"), "left_semi")
@@ -453,25 +470,33 @@ def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8,
     rows = running_sum(rows, [key], ["x"], {"u": "_step"}, block_rows).drop("_step")
     rows = _own_stats(rows, key, [F.max("u").alias("total"), F.count(F.lit(1)).alias("m")])
     short = positions(rows.filter("m <= 2").select(key, "x", "y"), [key], ["x"], "seq", block_rows)
-    cut = framed(rows.filter("m > 2"), [key], ["x"], HALO, HALO, block_rows)
-    schema = StructType([points.schema[key], StructField("seq", LongType()), StructField("x", DoubleType()), StructField("y", DoubleType())])
-
-    def evaluate(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("u")
-        u = pdf["u"].to_numpy() / pdf["total"].iloc[0]
-        own = u[pdf["_own"].to_numpy(bool)]
-        grid = np.linspace(0, 1, n)
-        nxt = u[u > own[-1]]
-        # a grid point belongs to the chunk that owns the knot at or before it
-        take = (grid >= own[0]) & ((grid < nxt[0]) if len(nxt) else (grid >= 0))
-        out = pd.DataFrame({key: pdf[key].iloc[0], "seq": np.flatnonzero(take) + 1})
-        for c in ("x", "y"):
-            out[c] = _spline(u, pdf[c].to_numpy(), grid[take]) if take.any() else np.zeros(0)
-        return out[[key, "seq", "x", "y"]]
-    done = cut.df.groupBy(key, "_chunk").applyInPandas(evaluate, schema)
+    long = rows.filter("m > 2").withColumn("u", F.col("u") / F.col("total")).select(key, "u", "x", "y")
+    cut = framed(long, [key], ["u"], HALO, HALO, None if block_rows is None else min(block_rows, CHUNK_KNOTS))
+    # one row per chunk, its knots as arrays of bounded length
+    sets = cut.df.groupBy(key, "_chunk").agg(F.array_sort(F.collect_list(F.struct("u", "x", "y", "_own"))).alias("k"))
+    sets = sets.select(key, *[F.col(f"k.{c}").alias(c) for c in ("u", "x", "y", "_own")])
+    sets = spread_out(sets, key)
+    spline = F.pandas_udf(_chunk_spline(n), "seq array<bigint>, x array<double>, y array<double>")
+    made = sets.select(key, spline("u", "x", "y", "_own").alias("p"))
+    done = made.select(key, F.explode(F.arrays_zip("p.seq", "p.x", "p.y")).alias("q")).select(key, "q.*")
     return few.unionByName(short.select(key, "seq", "x", "y")).unionByName(done)
 
 
+def _chunk_spline(n: int):
+    def evaluate(us: pd.Series, xs: pd.Series, ys: pd.Series, owned: pd.Series) -> pd.DataFrame:
+        grid, out = np.linspace(0, 1, n), []
+        for u, x, y, own in zip(us, xs, ys, owned):
+            mine = u[own.astype(bool)]
+            later = u[u > mine[-1]]
+            # a grid point belongs to the chunk that owns the knot at or before it
+            take = (grid >= mine[0]) & ((grid < later[0]) if len(later) else True)
+            at = grid[take]
+            p = _spline(u, np.column_stack([x, y]), at)
+            out.append((np.flatnonzero(take) + 1, p[:, 0], p[:, 1]))
+        return pd.DataFrame(out, columns=["seq", "x", "y"])
+    return evaluate
+
+
 # ---- distances and matching -------------------------------------------------
 
 def mean_distance(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
@@ -483,7 +508,7 @@ def mean_distance(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     return both.groupBy(key).agg(F.when(unmatched > 0, F.lit(float("inf"))).otherwise(away).alias("mean_distance"))
 
 
-def nearest_sum(a: DataFrame, b: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def nearest_sum(a: DataFrame, b: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Sum over the points of a of the distance to the nearest point of b;
     infinite where b has no points."""
     near = nearest_distances(a, b, [key], "seq", block_rows=block_rows)
@@ -496,14 +521,15 @@ QUERY_POINTS = 10_000
 
 
 def best_matches(query: DataFrame, points: DataFrame, key: str, k: int = 3, samples: int | None = 200,
-                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """The k curves nearest to the query curve: both normalised and resampled
     (``samples`` None: not), summed over the query's points.  The query is one
     curve; its points travel inside the plan, so their number is checked."""
     probe = normalise(query.select(F.lit(0).alias("_q"), "seq", "x", "y"), "_q")
     others = normalise(points, key)
     if samples is not None:
-        probe, others = resample(probe, "_q", samples, block_rows=block_rows), resample(others, key, samples, block_rows=block_rows)
+        probe = materialise(resample(probe, "_q", samples, block_rows=block_rows))
+        others = materialise(resample(others, key, samples, block_rows=block_rows))
         size = probe.count()
         same = others.groupBy(F.col(key).alias("_key")).count().filter(F.col("count") == size)
         others = others.join(same, F.col(key) == F.col("_key"), "left_semi")
@@ -564,9 +590,11 @@ def drop_near_repeats(points: DataFrame, key: str, tolerance: float = 1e-8) -> D
     return reduce(DataFrame.unionByName, [*kept_parts, end])
 
 
-def clean_up(points: DataFrame, key: str, block_rows: int = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
+def clean_up(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:
     """Cleaned points and a report (format, counts before and after, crossing):
     reorder by format, close, drop near repeats, check for crossings."""
+    points = materialise(points.select(key, "seq", "x", "y"))
+    block_rows = settled(points, [key], block_rows)
     kinds = curve_format(points, key).select(key, "format")
     ordered = close(reorder(points, key, block_rows), key)
     cleaned = materialise(drop_near_repeats(ordered, key))

@@ -25,7 +25,7 @@ def _nearest(points: Column, x: Column, y: Column) -> Column:
 
 
 def _block_of(targets: DataFrame, asked: DataFrame, keys: Sequence[str], at: str, output: str, size: int,
-              block_rows: int) -> DataFrame:
+              block_rows: int | None) -> DataFrame:
     """Number of the block whose x range holds column ``at``: the count of
     targets at or below it, by one running sum over both tables."""
     marks = targets.select(*keys, F.col("x").alias("_at"), F.lit(0).alias("_side"), F.lit(1).cast("long").alias("_t"))
@@ -37,7 +37,7 @@ def _block_of(targets: DataFrame, asked: DataFrame, keys: Sequence[str], at: str
 
 
 def nearest_distances(points: DataFrame, targets: DataFrame, keys: Sequence[str], row_id: str,
-                      block_points: int = BLOCK_POINTS, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                      block_points: int = BLOCK_POINTS, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, row_id, distance from every point to the nearest target of its key;
     points of a key without targets are left out.  Both tables have x and y."""
     asked = points.select(*keys, row_id, "x", "y")

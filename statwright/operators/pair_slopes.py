@@ -16,9 +16,10 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StructField, StructType
+from pyspark.sql.types import DoubleType
 
 from ..functions.ordered import BLOCK_ROWS, framed, positions, running_sum
+from ..functions.sizes import spread_out
 from ..functions.storage import materialise
 
 GROUP_ROWS = 100_000
@@ -78,24 +79,27 @@ def median_slope(x: np.ndarray, y: np.ndarray) -> float:
 
 
 def median_pair_slopes(rows: DataFrame, keys: Sequence[str], group_rows: int = GROUP_ROWS,
-                       block_rows: int = BLOCK_ROWS) -> DataFrame:
+                       block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, slope."""
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     large = sizes.filter(F.col("_n") > group_rows).drop("_n")
-    schema = StructType([rows.schema[k] for k in keys] + [StructField("slope", DoubleType())])
     names = list(keys)
+    slope = F.pandas_udf(_slopes, DoubleType())
 
-    def local(pdf: pd.DataFrame) -> pd.DataFrame:
-        out = pdf.iloc[:1][names].copy()
-        out["slope"] = median_slope(pdf["x"].to_numpy(float), pdf["y"].to_numpy(float))
-        return out
+    def local(part: DataFrame) -> DataFrame:
+        sets = spread_out(part.groupBy(*names).agg(F.collect_list(F.struct("x", "y")).alias("p")), *names)
+        return sets.select(*names, slope(F.transform("p", lambda q: q.x), F.transform("p", lambda q: q.y)).alias("slope"))
     if large.isEmpty():
-        return rows.groupBy(*keys).applyInPandas(local, schema)
-    small = rows.join(large, names, "left_anti").groupBy(*keys).applyInPandas(local, schema)
-    return small.unionByName(_distributed(rows.join(large, names, "left_semi"), names, block_rows))
+        return local(rows)
+    return local(rows.join(large, names, "left_anti")).unionByName(
+        _distributed(rows.join(large, names, "left_semi"), names, block_rows))
 
 
-def _distributed(rows: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
+def _slopes(xs: pd.Series, ys: pd.Series) -> pd.Series:
+    return pd.Series([median_slope(x, y) for x, y in zip(xs, ys)], dtype=float)
+
+
+def _distributed(rows: DataFrame, keys: list[str], block_rows: int | None) -> DataFrame:
     """The same halving for groups beyond a task.  The state, one interval per
     group and wanted rank, is a table that is written once per round."""
     points = rows.select(*keys, "x", "y")
@@ -124,7 +128,7 @@ def _distributed(rows: DataFrame, keys: list[str], block_rows: int) -> DataFrame
     return state.groupBy(*keys).agg(F.avg(F.col("lo") + (F.col("hi") - F.col("lo")) / 2).alias("slope"))
 
 
-def _count_disorder(rows: DataFrame, keys: list[str], block_rows: int) -> DataFrame:
+def _count_disorder(rows: DataFrame, keys: list[str], block_rows: int | None) -> DataFrame:
     """Pairs with x_i < x_j and v_i > v_j: rows are numbered in (x, v) order and
     every bit of the number gives the pairs that part at that bit."""
     placed = positions(rows.select(*keys, "x", "v"), keys, ["x", "v"], "p", block_rows).withColumn("p", F.col("p") - 1)

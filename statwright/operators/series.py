@@ -14,9 +14,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import BLOCK_ROWS, framed, positions
+from ..functions.ordered import BLOCK_ROWS, framed, positions, settled
 from ..functions.quantiles import number
-from ..functions.sizes import broadcast_if_small
 
 METHODS = ("forward", "backward", "central")
 
@@ -88,7 +87,7 @@ def _reach(smooth: int | None) -> int:
 
 
 def gradient(df: DataFrame, keys: Sequence[str], x: str, y: str, method: str = "central",
-             smooth: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+             smooth: int | None = None, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, x, gradient."""
     reach = _reach(smooth)
     fr = framed(_points(df, keys, x, y), keys, ["x", "y"], reach, reach, block_rows)
@@ -96,7 +95,7 @@ def gradient(df: DataFrame, keys: Sequence[str], x: str, y: str, method: str = "
 
 
 def second_derivative(df: DataFrame, keys: Sequence[str], x: str, y: str, method: str = "central",
-                      smooth: int | None = None, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                      smooth: int | None = None, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, x, second: the gradient of the gradient."""
     reach = 2 * _reach(smooth)
     fr = framed(_points(df, keys, x, y), keys, ["x", "y"], reach, reach, block_rows)
@@ -111,19 +110,19 @@ def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> list[Column]:
 
 def gradient_outliers(df: DataFrame, keys: Sequence[str], x: str, y: str, method: str = "central",
                       smooth: int | None = None, threshold: float = 3.0, absolute: bool = False,
-                      block_rows: int = BLOCK_ROWS) -> DataFrame:
+                      block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, x, gradient, zscore: population z of the gradients of a series."""
     g = gradient(df, keys, x, y, method, smooth, block_rows)
     v = F.abs("gradient") if absolute else F.col("gradient")
     stats = g.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
         F.avg(v).alias("_mean"), F.stddev_pop(v).alias("_std"), F.count(v).alias("_n")).filter("_n >= 2 AND _std > 0")
-    z = g.join(broadcast_if_small(stats), _same(g, stats, keys)).withColumn(
+    z = g.join(stats, _same(g, stats, keys)).withColumn(
         "zscore", (v - F.col("_mean")) / F.col("_std"))
     return z.filter(F.abs("zscore") > threshold).select(*keys, "x", "gradient", "zscore")
 
 
 def turning_points(df: DataFrame, keys: Sequence[str], x: str, y: str, inflection_threshold: float = 0.01,
-                   extrema_threshold: float = 0.01, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                   extrema_threshold: float = 0.01, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, type, x, y: where the second (inflection) or first derivative
     (maximum, minimum) changes sign, placed by linear interpolation."""
     fr = framed(_points(df, keys, x, y), keys, ["x", "y"], 6, 6, block_rows)
@@ -159,18 +158,18 @@ def turning_points(df: DataFrame, keys: Sequence[str], x: str, y: str, inflectio
                         (F.col("y") + F.col("_k.t") * F.col("_dy")).alias("y"))
 
 
-def _segmented(df: DataFrame, keys: Sequence[str], x: str, y: str, segments: int, block_rows: int) -> DataFrame:
+def _segmented(df: DataFrame, keys: Sequence[str], x: str, y: str, segments: int, block_rows: int | None) -> DataFrame:
     points = _points(df, keys, x, y)
     placed = positions(points, keys, ["x", "y"], "pos", block_rows)
     sizes = points.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.filter(F.col("_n") >= 2 * segments)
-    out = placed.join(broadcast_if_small(sizes), _same(placed, sizes, keys))
+    out = placed.join(sizes, _same(placed, sizes, keys))
     place = F.least(F.floor((F.col("pos") - 1) / F.floor(F.col("_n") / segments)), F.lit(segments - 1))
     return out.select(*keys, "x", "y", "pos", place.cast("int").alias("segment"))
 
 
 def piecewise_slopes(df: DataFrame, keys: Sequence[str], x: str, y: str, segments: int = 5,
-                     method: str = "linear", block_rows: int = BLOCK_ROWS) -> DataFrame:
+                     method: str = "linear", block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, segment, start_x, end_x, slope, intercept of equal-count pieces.
 
     ``linear`` is least squares, ``robust`` the median of the slopes between
@@ -200,7 +199,7 @@ def piecewise_slopes(df: DataFrame, keys: Sequence[str], x: str, y: str, segment
 
 
 def slope_breaks(df: DataFrame, keys: Sequence[str], x: str, y: str, size: int = 5, threshold: float = 2.0,
-                 block_rows: int = BLOCK_ROWS) -> DataFrame:
+                 block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, x, y, slope1, slope2, ratio: neighbouring windows of ``size`` rows
     whose least-squares slopes differ by more than the factor or in sign."""
     fr = framed(_points(df, keys, x, y), keys, ["x", "y"], 0, 2 * size, block_rows)
@@ -226,10 +225,11 @@ def as_series(df: DataFrame, keys: Sequence[str], x: str, columns: Sequence[str]
 
 
 def series_summary(df: DataFrame, keys: Sequence[str], x: str, columns: Sequence[str], threshold: float = 3.0,
-                   segments: int = 5, window: int = 5, block_rows: int = BLOCK_ROWS) -> DataFrame:
+                   segments: int = 5, window: int = 5, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Per series and column: gradients, outliers, turning points, breaks."""
     long = as_series(df, keys, x, columns)
     group = [*keys, "series"]
+    block_rows = settled(long, group, block_rows)
     args = (long, group, x, "y")
     g = gradient(*args, block_rows=block_rows).groupBy(*group).agg(
         F.count(F.lit(1)).alias("gradients"), F.avg("gradient").alias("mean_gradient"), F.max(F.abs("gradient")).alias("steepest"))

@@ -37,12 +37,16 @@ def _(t):
 
 _PROP = f"""(SELECT curve, chord, max_thickness, max_camber, length, max_thickness / nullif(chord, 0) AS thickness_to_chord, length / nullif(chord, 0) AS aspect_ratio
   FROM (SELECT curve, max(x) - min(x) AS chord, max(thickness) AS max_thickness, max(camber) AS max_camber FROM {_SHAPE} GROUP BY curve) JOIN {_LENGTH} USING (curve))"""
-_PROP_COLS = "curve, chord, round(max_thickness, 6) AS max_thickness, round(max_camber, 6) AS max_camber, round(length, 6) AS length, round(thickness_to_chord, 6) AS thickness_to_chord, round(aspect_ratio, 6) AS aspect_ratio"
+_PROP_COLS = "curve, chord, round(max_thickness, 6) AS max_thickness, round(max_camber, 6) AS max_camber, round(length, 6) AS length, round(thickness_to_chord, 4) AS thickness_to_chord, round(aspect_ratio, 4) AS aspect_ratio"
+
+
+def ratios_rounded(df):
+    return df.withColumns({c: F.round(c, 4) for c in ("thickness_to_chord", "aspect_ratio")})
 
 
 @query("i03_proportions", f"SELECT {_PROP_COLS} FROM {_PROP}")
 def _(t):
-    return curves.proportions(points(t), "curve")
+    return ratios_rounded(curves.proportions(points(t), "curve"))
 
 
 @query("i04_leading_radius")
@@ -61,7 +65,7 @@ def _(t):
 
 @query("i06_geometry", f"SELECT {_PROP_COLS}, round(trailing_angle, 6) AS trailing_angle FROM {_PROP} JOIN {_ANGLE} USING (curve)")
 def _(t):
-    return curves.geometry(points(t), "curve").drop("leading_radius")
+    return ratios_rounded(curves.geometry(points(t), "curve").drop("leading_radius"))
 
 
 @query("i06_distributions", f"""
@@ -205,7 +209,7 @@ def _(t):
     return curves.best_matches(v.filter("curve = 0"), v, "curve", 3, samples=40)
 
 
-_COARSE = "(SELECT l_orderkey AS curve, CAST(l_linenumber AS BIGINT) * 100000000000 + l_partkey * 10000 + l_suppkey AS seq, l_quantity // 10 AS x, CAST(l_linenumber % 2 AS DOUBLE) AS y FROM lineitem)"
+_COARSE = "(SELECT l_orderkey AS curve, CAST(l_linenumber AS BIGINT) * 100000000000 + l_partkey * 10000 + l_suppkey AS seq, floor(l_quantity / 10) AS x, CAST(l_linenumber % 2 AS DOUBLE) AS y FROM lineitem)"
 
 
 def coarse(t):
