@@ -62,39 +62,34 @@ def _few(points: DataFrame, key: str, n: int, *order: Column) -> DataFrame:
     return points.withColumn("_place", place).filter(F.col("_place") <= n)
 
 
-def _median(values: Column) -> Column:
-    s, n = F.array_sort(values), F.size(values)
-    return (F.get(s, ((n - 1) / 2).cast("int")) + F.get(s, (n / 2).cast("int"))) / 2
-
-
 def leading_radius(points: DataFrame, key: str, n: int = 6) -> DataFrame:
     """Radius of the circle through the n points nearest to the smallest x:
     repeated points once, far ones (by y) left out, infinite when all pairwise
     distances agree, NULL above 10000 or when the points define no circle."""
-    few = _few(points, key, n, F.col("x"), F.col("seq"))
-    sets = few.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.array_distinct(F.collect_list(F.struct("x", "y"))).alias("p"))
-    sets = sets.withColumn("_m", _median(F.transform("p", lambda q: q.y)))
-    sets = sets.withColumn("_mad", _median(F.transform("p", lambda q: F.abs(q.y - F.col("_m")))))
-    near = F.filter("p", lambda q: F.try_divide(F.abs(q.y - F.col("_m")), F.col("_mad")) < 1.5)
-    sets = sets.withColumn("p", F.when((F.col("_mad") > 0) & (F.size(near) >= 3), near).otherwise(F.col("p")))
-    gaps = F.flatten(F.transform("p", lambda a, i: F.transform(
-        F.slice("p", i + 2, F.size("p")), lambda b: _hypot(a.x - b.x, a.y - b.y))))
-    sets = sets.withColumn("_gap", F.array_max(gaps) - F.array_min(gaps))
+    curve = Window.partitionBy(key)  # at most n rows of a curve from here on
+    few = _few(points.select(key, "seq", "x", "y"), key, n, F.col("x"), F.col("seq"))
+    few = few.withColumn("n", F.count(F.lit(1)).over(curve)).dropDuplicates([key, "x", "y"])
+    few = few.withColumn("_m", F.percentile("y", F.lit(0.5)).over(curve)).withColumn("_away", F.abs(F.col("y") - F.col("_m")))
+    few = few.withColumn("_mad", F.percentile("_away", F.lit(0.5)).over(curve))
+    few = few.withColumn("_near", F.coalesce(F.try_divide("_away", "_mad") < 1.5, F.lit(False)))
+    few = few.withColumn("_enough", F.count_if("_near").over(curve) >= 3)
+    few = few.filter(F.col("_near") | ~F.col("_enough") | (F.col("_mad") == 0))
     # least squares around the mean point: a 2 x 2 system for the centre
-    rows = sets.select(key, "n", "_gap", F.explode("p").alias("q")).select(key, "n", "_gap", "q.x", "q.y")
-    mean = rows.groupBy(key, "n", "_gap").agg(F.avg("x").alias("mx"), F.avg("y").alias("my"), F.collect_list(F.struct("x", "y")).alias("p"))
-    rows = mean.select(key, "n", "_gap", "mx", "my", F.explode("p").alias("q")).select(
-        key, "n", "_gap", "mx", "my", (F.col("q.x") - F.col("mx")).alias("u"), (F.col("q.y") - F.col("my")).alias("v"))
+    few = few.withColumns({"u": F.col("x") - F.avg("x").over(curve), "v": F.col("y") - F.avg("y").over(curve)})
     u, v = F.col("u"), F.col("v")
-    s = rows.groupBy(key, "n", "_gap").agg(
+    s = few.groupBy(key, "n").agg(
         F.count(u).alias("m"), F.sum(u * u).alias("uu"), F.sum(u * v).alias("uv"), F.sum(v * v).alias("vv"),
-        F.sum(u * (u * u + v * v)).alias("ur"), F.sum(v * (u * u + v * v)).alias("vr"))
+        F.sum(u * (u * u + v * v)).alias("ur"), F.sum(v * (u * u + v * v)).alias("vr"),
+        F.collect_list(F.struct("x", "y")).alias("p"))
+    gaps = F.flatten(F.transform("p", lambda a, i: F.transform(
+        F.slice("p", i + 2, F.size("p")), lambda b: _hypot(a.x - b.x, a.y - b.y))))
+    s = s.withColumn("_gaps", F.array_sort(gaps))
     det = F.col("uu") * F.col("vv") - F.col("uv") * F.col("uv")
     det = F.when(F.abs(det) > 1e-14 * F.col("uu") * F.col("vv"), det)
     a = F.try_divide(F.col("ur") * F.col("vv") - F.col("vr") * F.col("uv"), 2 * det)
     b = F.try_divide(F.col("vr") * F.col("uu") - F.col("ur") * F.col("uv"), 2 * det)
     radius = F.sqrt(a * a + b * b + (F.col("uu") + F.col("vv")) / F.col("m"))
-    flat = F.col("_gap") < 1e-3
+    flat = F.try_element_at("_gaps", F.lit(-1)) - F.get("_gaps", F.lit(0)) < 1e-3
     return s.select(key, F.when(F.col("n") < 3, F.lit(None).cast("double")).when(flat, F.lit(float("inf")))
                     .when(radius <= 10_000, radius).alias("leading_radius"))
 
@@ -552,7 +547,8 @@ def drop_repeats(points: DataFrame, key: str) -> DataFrame:
     return inner.select(key, "seq", "x", "y").unionByName(end.select(key, "seq", "x", "y"))
 
 
-def drop_near_repeats(points: DataFrame, key: str, tolerance: float = 1e-8) -> DataFrame:
+def drop_near_repeats(points: DataFrame, key: str, tolerance: float = 1e-8,
+                      block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """A point nearer than the tolerance to an earlier kept one goes; the last
     point of the curve always stays.
 
@@ -564,9 +560,13 @@ def drop_near_repeats(points: DataFrame, key: str, tolerance: float = 1e-8) -> D
     once = drop_repeats(points, key)
     known = _own_stats(once, key, [F.max("seq").alias("_last")])
     end = known.filter(F.col("seq") == F.col("_last")).select(key, "seq", "x", "y")
+    # a point whose neighbours in x order are too far away meets nobody
+    fr = framed(known.filter(F.col("seq") < F.col("_last")).select(key, "seq", "x", "y"), [key], ["x", "seq"], 1, 1, block_rows)
+    gap = lambda k: F.coalesce(F.abs(F.lag("x", -k).over(fr.window) - F.col("x")) < tolerance, F.lit(False))
+    inner = materialise(fr.own(fr.df.withColumn("_near", gap(1) | gap(-1))))
     side = tolerance / 1.5
     cell = lambda c: F.floor(F.col(c) / side).cast("long")
-    open_ = known.filter(F.col("seq") < F.col("_last")).select(key, "seq", "x", "y", cell("x").alias("gx"), cell("y").alias("gy"))
+    open_ = inner.filter("_near").select(key, "seq", "x", "y", cell("x").alias("gx"), cell("y").alias("gy"))
     at = [key, "gx", "gy"]
     ring = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in range(-2, 3) for dy in range(-2, 3)]))
 
@@ -574,8 +574,8 @@ def drop_near_repeats(points: DataFrame, key: str, tolerance: float = 1e-8) -> D
         """Every row in its own and the surrounding cells."""
         return (df.withColumn("_o", ring).withColumns({"gx": F.col("gx") + F.col("_o.dx"), "gy": F.col("gy") + F.col("_o.dy")}).drop("_o"))
 
-    kept_parts = []
-    while True:
+    kept_parts = [inner.filter("NOT _near").select(key, "seq", "x", "y")]
+    while not open_.isEmpty():
         firsts = open_.groupBy(*at).agg(F.min("seq").alias("seq"), F.min_by(F.struct("x", "y"), "seq").alias("p"))
         lowest = around(firsts.select(*at, "seq")).groupBy(*at).agg(F.min("seq").alias("_low"))
         kept = firsts.join(lowest, at).filter(F.col("seq") == F.col("_low")).select(*at, "seq", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
@@ -585,8 +585,6 @@ def drop_near_repeats(points: DataFrame, key: str, tolerance: float = 1e-8) -> D
         gone = (open_.join(near, at).filter(_hypot(F.col("x") - F.col("kx"), F.col("y") - F.col("ky")) < tolerance)
                 .select(key, "seq").distinct())
         open_ = materialise(open_.join(gone, [key, "seq"], "left_anti"))
-        if open_.isEmpty():
-            break
     return reduce(DataFrame.unionByName, [*kept_parts, end])
 
 
@@ -596,8 +594,8 @@ def clean_up(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -
     points = materialise(points.select(key, "seq", "x", "y"))
     block_rows = settled(points, [key], block_rows)
     kinds = curve_format(points, key).select(key, "format")
-    ordered = close(reorder(points, key, block_rows), key)
-    cleaned = materialise(drop_near_repeats(ordered, key))
+    ordered = materialise(close(reorder(points, key, block_rows), key))
+    cleaned = materialise(drop_near_repeats(ordered, key, block_rows=block_rows))
     before = points.groupBy(key).agg(F.count(F.lit(1)).alias("points_before"))
     after = cleaned.groupBy(key).agg(F.count(F.lit(1)).alias("points_after"))
     report = kinds.join(before, key).join(after, key).join(self_intersections(cleaned, key, block_rows=block_rows), key)

@@ -166,7 +166,7 @@ def _(t):
 
 @query("i14_resample")
 def _(t):
-    return curves.resample(points(t), "curve", 50)
+    return curves.resample(points(t), "curve", 20)
 
 
 _VEC = "(SELECT vec_id AS curve, unnest(embedding) AS y, unnest(range(len(embedding))) AS seq FROM embeddings)"

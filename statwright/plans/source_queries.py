@@ -42,16 +42,33 @@ def _(t):
     return dirty(t).rows
 
 
+def as_array(batches):
+    """Every part becomes one JSON array, a record per line."""
+    lead = "["
+    for pdf in batches:
+        lines = pdf["value"].tolist()
+        yield pd.DataFrame({"value": [lead + lines[0], *("," + v for v in lines[1:])]} if lines else {"value": []}, dtype=object)
+        lead = "," if lines else lead
+    yield pd.DataFrame({"value": ["]" if lead == "," else "[]"]})
+
+
 @query("a03_json_array", "SELECT s_suppkey, s_name AS \"s name\", s_acctbal FROM supplier")
 def _(t):
     s = t("supplier")
     path = scratch_path(s.sparkSession, "supplier_json")
-    # each row becomes a file-level array of one record; files hold many arrays
     rows = s.select("s_suppkey", F.col("s_name").alias("s name"), "s_acctbal")
-    rows.write.json(path)
+    rows.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(as_array, "value string").write.text(path)
     return readers.read_json_array(s.sparkSession, path, schema("s_suppkey bigint, `s name` string, s_acctbal double"))
 
 
+@query("a03_json_array_in_splits", "SELECT event_id, event_type, value FROM events")
+def _(t):
+    e = t("events").select("event_id", "event_type", "value")
+    path = scratch_path(e.sparkSession, "events_json")
+    e.select(F.to_json(F.struct("*")).alias("value")).mapInPandas(as_array, "value string").write.text(path)
+    return readers.read_json_array(e.sparkSession, path, e.schema, record_per_line=True)
+
+
 @query("a04_xml", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
 def _(t):
     n = t("nation")
@@ -66,9 +83,7 @@ def _(t):
     path = scratch_path(p.sparkSession, "part_keyed")
     one = F.to_json(F.map_from_arrays(F.array(F.col("p_partkey").cast("string")), F.array(F.struct(F.col("p_size").alias("size"), F.col("p_brand").alias("brand")))))
     p.select(one.alias("value")).write.option("lineSep", "\u0001").text(path)
-    # one object per record separator
-    whole = p.sparkSession.read.option("lineSep", "\u0001").text(path)
-    return whole.select(F.explode(F.from_json("value", "map<string,struct<size:int,brand:string>>")).alias("name", "r")).select("name", "r.*")
+    return readers.read_keyed_json(p.sparkSession, path, "struct<size:int,brand:string>", separator="\u0001")
 
 
 def headed(groups=None):
@@ -136,7 +151,8 @@ def _(t):
     xml, json = scratch_path(spark, "nation_xml"), scratch_path(spark, "region_json")
     kind = schema("n_nationkey int, n_name string")
     t("nation").select("n_nationkey", "n_name").write.format("xml").option("rootTag", "root").option("rowTag", "row").save(xml)
-    t("region").toDF("n_nationkey", "n_name").write.json(json)
+    region = t("region").toDF("n_nationkey", "n_name").select(F.to_json(F.struct("*")).alias("value"))
+    region.mapInPandas(as_array, "value string").write.text(json)
     return readers.append_sources([readers.read_xml(spark, xml, kind, "row"), readers.read_json_array(spark, json, kind)])
 
 

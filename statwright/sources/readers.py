@@ -71,20 +71,25 @@ def read_dirty_csv(spark: SparkSession, path: str, schema: T.StructType, sep: st
                     raw.select("_bad", *names).filter(F.col("_bad").isNotNull()).select("_bad"), encoding)
 
 
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Files that hold one array of records each.  Such a file cannot be split:
-    large data should come as many of them."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def read_json_array(spark: SparkSession, path: str, schema: T.StructType, record_per_line: bool = False) -> DataFrame:
+    """Files that hold one array of records each.  In general such a file is
+    read by one task; with one record per line it is read in splits."""
+    if not record_per_line:
+        return spark.read.schema(schema).option("multiLine", True).json(path)
+    line = F.regexp_replace(F.regexp_replace("value", r"^\s*[\[,]\s*", ""), r"\s*[\],]\s*$", "")
+    rows = spark.read.text(path).select(line.alias("value")).filter("value <> ''")
+    return rows.select(F.from_json("value", schema).alias("r")).select("r.*")
 
 
 def read_xml(spark: SparkSession, path: str, schema: T.StructType, row_tag: str) -> DataFrame:
     return spark.read.format("xml").schema(schema).option("rowTag", row_tag).load(path)
 
 
-def read_keyed_json(spark: SparkSession, path: str, record: str, key: str = "name") -> DataFrame:
-    """Files of one object {name: {field: ...}}: one row per name.  ``record``
-    is the type of the inner object."""
-    whole = spark.read.text(path, wholetext=True)
+def read_keyed_json(spark: SparkSession, path: str, record: str, key: str = "name", separator: str | None = None) -> DataFrame:
+    """Objects {name: {field: ...}}: one row per name.  ``record`` is the type
+    of the inner object.  A file is one object, or many with a separator."""
+    whole = (spark.read.text(path, wholetext=True) if separator is None
+             else spark.read.option("lineSep", separator).text(path))
     entries = F.explode(F.from_json("value", f"map<string,{record}>")).alias(key, "_record")
     return whole.select(entries).select(key, "_record.*")
 
