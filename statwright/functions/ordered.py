@@ -21,6 +21,14 @@ from .storage import materialise
 BLOCK_ROWS = 2_000_000
 
 
+def join_same(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner",
+              extra: Column | None = None) -> DataFrame:
+    """Join on keys that may be NULL, with the keys of the left side only."""
+    right = right.withColumnsRenamed({k: f"_k_{k}" for k in keys})
+    same = [F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys]
+    return left.join(right, same if extra is None else [*same, extra], how).drop(*[f"_k_{k}" for k in keys])
+
+
 def largest_group(df: DataFrame, keys: Sequence[str]) -> tuple[int, int]:
     """(rows of the largest group, rows in all)."""
     if not keys:
@@ -71,10 +79,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         offsets = totals.select(*keys, "_block", *[
             F.coalesce(F.sum(f"_sum_{new}").over(earlier), F.lit(0)).alias(f"_off_{new}")
             for new in sums])
-        same = [out["_block"] == offsets["_block"]] + [out[k].eqNullSafe(offsets[k]) for k in keys]
-        kept = [out[c] for c in out.columns if c not in sums]
-        out = out.join(offsets, same).select(*kept, *[
-            (out[new] + offsets[f"_off_{new}"]).alias(new) for new in sums])
+        out = join_same(out, offsets, [*keys, "_block"]).withColumns(
+            {new: F.col(new) + F.col(f"_off_{new}") for new in sums}).drop(*[f"_off_{new}" for new in sums])
     return out.drop("_block", "_tie")
 
 

@@ -15,7 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .ordered import BLOCK_ROWS, largest_group, value_counts_ranked
+from .ordered import BLOCK_ROWS, join_same, largest_group, value_counts_ranked
 
 EXACT_ROWS = 2_000_000
 SKETCH_ACCURACY = 10_000
@@ -59,10 +59,8 @@ def _narrowed(rows: DataFrame, probs: Sequence[float], keys: list[str],
     cuts = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx("value", around, SKETCH_ACCURACY).alias("_cuts"))
-    same = lambda a, b, names: [a[k].eqNullSafe(b[k]) for k in names]
-    placed = (rows.join(cuts, same(rows, cuts, keys)).select(
-        *[rows[k] for k in keys], rows["value"],
-        F.size(F.filter("_cuts", lambda cut: cut < rows["value"])).alias("_slice")))
+    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("value")))
+    placed = join_same(rows, cuts.drop("_n"), keys).select(*keys, "value", below.alias("_slice"))
     # rows per slice, then the ranks that end before each slice
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = placed.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
@@ -71,16 +69,13 @@ def _narrowed(rows: DataFrame, probs: Sequence[float], keys: list[str],
     wanted = (cuts.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
                   .withColumn("_ranks", F.array_distinct(F.array(F.floor(spot), F.ceil(spot))))
                   .select(*keys, "_n", "prob", F.explode("_ranks").alias("_rank")))
-    targets = (wanted.join(slices, same(wanted, slices, keys)
-                           + [(F.col("_rank") >= F.col("_start"))
-                              & (F.col("_rank") < F.col("_start") + F.col("_rows"))])
-               .select(*[wanted[k] for k in keys], "_n", "prob", "_rank", "_slice", "_start"))
-    narrow = placed.join(targets, same(placed, targets, [*keys, "_slice"]), "left_semi")
+    inside = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_rows"))
+    targets = join_same(wanted, slices, keys, extra=inside).drop("_rows")
+    narrow = join_same(placed, targets.select(*keys, "_slice"), [*keys, "_slice"], "left_semi")
     ranked = value_counts_ranked(narrow, [*keys, "_slice"], "value", block_rows)
     local = F.col("_rank") - F.col("_start")
-    found = (ranked.join(targets, same(ranked, targets, [*keys, "_slice"]))
-             .filter((local < F.col("upto")) & (local >= F.col("upto") - F.col("n")))
-             .select(*[targets[k] for k in keys], "_n", "prob", "_rank", "value"))
+    found = (join_same(ranked, targets, [*keys, "_slice"])
+             .filter((local < F.col("upto")) & (local >= F.col("upto") - F.col("n"))))
     share = F.max(spot) - F.min("_rank")
     low, high = F.min_by("value", "_rank"), F.max_by("value", "_rank")
     return found.groupBy(*keys, "prob").agg((low + (high - low) * share).alias("value"))

@@ -344,7 +344,7 @@ def _exact_mann_whitney(u: float, n1: int, n2: int) -> float:
         for k in range(down, len(counts)):
             counts[k] += counts[k - down]
     tail = counts[int(math.ceil(u)):].sum() / counts.sum()
-    return min(1.0, 2 * tail)
+    return float(min(1.0, 2 * tail))
 
 
 def mann_whitney(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:

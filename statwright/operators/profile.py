@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.cells import corrected_kurtosis, corrected_skew, sturges_bins
 from ..functions.normal import normal_quantile
-from ..functions.ordered import largest_group, positions, value_counts_ranked
+from ..functions.ordered import join_same, largest_group, positions, value_counts_ranked
 from ..functions.quantiles import (EXACT_ROWS, number, quantile_columns,
                                    quantile_table)
 
@@ -52,8 +52,7 @@ def summary(df: DataFrame, columns: Sequence[str], wanted: Sequence[str],
              .select(*keys, "r.*"))
     if probs and not together:
         q = quantile_columns(df, columns, probs, keys, exact_rows=exact_rows)
-        same = [out[k].eqNullSafe(q[k]) for k in [*keys, "variable"]]
-        out = out.join(q, same, "left").select(*[out[c] for c in out.columns], *[q[p] for p in probs])
+        out = join_same(out, q, [*keys, "variable"], "left")
     return out
 
 
@@ -188,7 +187,7 @@ def box_summary(df: DataFrame, column: str, keys: Sequence[str] = (), k: float =
     q = q.withColumns({"_lo": F.col("q1") - fence, "_hi": F.col("q3") + fence})
     rows = df.select(*keys, number(column).alias("_v")).filter(F.col("_v").isNotNull())
     if keys:
-        both = rows.join(q, [rows[key].eqNullSafe(q[key]) for key in keys]).drop(*[rows[key] for key in keys])
+        both = join_same(rows, q, keys)
     else:
         row = q.first()
         both = rows.withColumns({c: F.lit(row[c]) for c in q.columns})

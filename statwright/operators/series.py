@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.ordered import BLOCK_ROWS, framed, positions, settled
+from ..functions.ordered import BLOCK_ROWS, framed, join_same, positions, settled
 from ..functions.quantiles import number
 
 METHODS = ("forward", "backward", "central")
@@ -104,19 +104,15 @@ def second_derivative(df: DataFrame, keys: Sequence[str], x: str, y: str, method
     return fr.own(second).select(*keys, "x", "second")
 
 
-def _same(a: DataFrame, b: DataFrame, keys: Sequence[str]) -> list[Column]:
-    return [a[k].eqNullSafe(b[f"_{k}"]) for k in keys]
-
-
 def gradient_outliers(df: DataFrame, keys: Sequence[str], x: str, y: str, method: str = "central",
                       smooth: int | None = None, threshold: float = 3.0, absolute: bool = False,
                       block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """keys, x, gradient, zscore: population z of the gradients of a series."""
     g = gradient(df, keys, x, y, method, smooth, block_rows)
     v = F.abs("gradient") if absolute else F.col("gradient")
-    stats = g.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(
+    stats = g.groupBy(*keys).agg(
         F.avg(v).alias("_mean"), F.stddev_pop(v).alias("_std"), F.count(v).alias("_n")).filter("_n >= 2 AND _std > 0")
-    z = g.join(stats, _same(g, stats, keys)).withColumn(
+    z = join_same(g, stats, keys).withColumn(
         "zscore", (v - F.col("_mean")) / F.col("_std"))
     return z.filter(F.abs("zscore") > threshold).select(*keys, "x", "gradient", "zscore")
 
@@ -161,9 +157,9 @@ def turning_points(df: DataFrame, keys: Sequence[str], x: str, y: str, inflectio
 def _segmented(df: DataFrame, keys: Sequence[str], x: str, y: str, segments: int, block_rows: int | None) -> DataFrame:
     points = _points(df, keys, x, y)
     placed = positions(points, keys, ["x", "y"], "pos", block_rows)
-    sizes = points.groupBy(*[F.col(k).alias(f"_{k}") for k in keys]).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = points.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     sizes = sizes.filter(F.col("_n") >= 2 * segments)
-    out = placed.join(sizes, _same(placed, sizes, keys))
+    out = join_same(placed, sizes, keys)
     place = F.least(F.floor((F.col("pos") - 1) / F.floor(F.col("_n") / segments)), F.lit(segments - 1))
     return out.select(*keys, "x", "y", "pos", place.cast("int").alias("segment"))
 

@@ -63,12 +63,14 @@ def read_dirty_csv(spark: SparkSession, path: str, schema: T.StructType, sep: st
         return (spark.read.schema(wide).option("header", True).option("sep", sep).option("encoding", encoding)
                 .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_bad").csv(path))
     encoding = "UTF-8"
-    if not spark.read.text(path).filter(F.col("value").contains("�")).isEmpty():
+    if not spark.read.text(path).filter(~F.is_valid_utf8("value")).isEmpty():
         encoding = "ISO-8859-1"
     raw = load(encoding)
     names = [f.name for f in schema.fields]
+    # Spark refuses to scan for the malformed text alone: also ask for the cells
+    touched = F.length(F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in names])) >= 0
     return DirtyCsv(raw.filter(F.col("_bad").isNull()).select(*names),
-                    raw.select("_bad", *names).filter(F.col("_bad").isNotNull()).select("_bad"), encoding)
+                    raw.filter(F.col("_bad").isNotNull() & touched).select("_bad"), encoding)
 
 
 def read_json_array(spark: SparkSession, path: str, schema: T.StructType, record_per_line: bool = False) -> DataFrame:
