@@ -341,7 +341,10 @@ def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SE
     while True:
         sizes = seg.groupBy(*cells).agg(F.count(F.lit(1)).alias("_c"))
         big = sizes.filter(F.col("_c") > cell_segments).drop("_c")
-        if depth == max_depth or big.isEmpty():
+        if depth == max_depth:  # so many lines within 2**-40 of the extent do touch
+            parts += [_cell_crossings(seg.join(big, cells, "left_anti"), key, cells), big.select(key)]
+            break
+        if big.isEmpty():
             parts.append(_cell_crossings(seg, key, cells))
             break
         parts.append(_cell_crossings(seg.join(big, cells, "left_anti"), key, cells))

@@ -256,39 +256,41 @@ def analyse_distributions(df: DataFrame, columns: Sequence[str], alpha: float =
 RESULT = "test string, statistic double, p_value double, df1 double, df2 double"
 
 
-def _groups(df: DataFrame, value: str, group: str) -> list:
-    """count, mean, variance of every group: as many rows as there are groups
-    to compare with each other."""
+def _group_table(df: DataFrame, value: str, group: str) -> DataFrame:
+    """group, n, mean, var of every group with values."""
     v = number(value)
-    rows = (df.filter(F.col(group).isNotNull()).groupBy(group)
-            .agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.var_samp(v).alias("var")).filter("n > 0").collect())
-    out = sorted(rows, key=lambda r: r[0])
-    if len(out) < 2:
-        raise ValueError("at least two groups are needed")
-    return out
+    return (df.filter(F.col(group).isNotNull()).groupBy(group)
+            .agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.var_samp(v).alias("var")).filter("n > 0"))
 
 
 def two_group_t(df: DataFrame, value: str, group: str) -> DataFrame:
     """Pooled-variance t test of the first two groups in name order."""
-    a, b = _groups(df, value, group)[:2]
+    first = _group_table(df, value, group).orderBy(group).limit(2).collect()
+    if len(first) < 2:
+        raise ValueError("at least two groups are needed")
+    a, b = first
     dof = a.n + b.n - 2
     pooled = ((a.n - 1) * a["var"] + (b.n - 1) * b["var"]) / dof
     t = (a["mean"] - b["mean"]) / math.sqrt(pooled * (1 / a.n + 1 / b.n))
     return _one(df, ("t-test", t, special.t_two_sided(t, dof), float(dof), None), RESULT)
 
 
-def _f_test(groups) -> tuple[float, float, int, int, float]:
-    n = sum(g.n for g in groups)
-    grand = sum(g.n * g["mean"] for g in groups) / n
-    between = sum(g.n * (g["mean"] - grand) ** 2 for g in groups)
-    within = sum((g.n - 1) * (g["var"] or 0.0) for g in groups)
-    d1, d2 = len(groups) - 1, n - len(groups)
-    f = math.inf if within == 0 else (between / d1) / (within / d2)
-    return f, special.f_sf(f, d1, d2) if f < math.inf else 0.0, d1, d2, within / d2
+def _f_test(df: DataFrame, value: str, group: str) -> tuple[float, float, int, int, float]:
+    """Sums of squares from the group table, whatever the number of groups."""
+    grand = df.filter(F.col(group).isNotNull()).agg(F.avg(number(value))).first()[0]
+    away = F.col("mean") - F.lit(grand)
+    s = _group_table(df, value, group).agg(
+        F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"), F.sum(F.col("n") * away * away).alias("between"),
+        F.sum((F.col("n") - 1) * F.coalesce("var", F.lit(0.0))).alias("within")).first()
+    if s.k < 2:
+        raise ValueError("at least two groups are needed")
+    d1, d2 = s.k - 1, s.n - s.k
+    f = math.inf if s.within == 0 else (s.between / d1) / (s.within / d2)
+    return f, special.f_sf(f, d1, d2) if f < math.inf else 0.0, d1, d2, s.within / d2
 
 
 def anova(df: DataFrame, value: str, group: str) -> DataFrame:
-    f, p, d1, d2, _ = _f_test(_groups(df, value, group))
+    f, p, d1, d2, _ = _f_test(df, value, group)
     return _one(df, ("One-way ANOVA", f, p, float(d1), float(d2)), RESULT)
 
 
@@ -298,7 +300,7 @@ def levene(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:
     middle = quantiles(kept, ["v"], [0.5], [group], **sizes).select(F.col(group).alias("_g"), F.col("value").alias("_m"))
     away = kept.join(broadcast_if_small(middle), F.col(group) == F.col("_g")).select(
         group, F.abs(F.col("v") - F.col("_m")).alias("v"))
-    f, p, d1, d2, _ = _f_test(_groups(away, "v", group))
+    f, p, d1, d2, _ = _f_test(away, "v", group)
     return _one(df, ("Levene", f, p, float(d1), float(d2)), RESULT)
 
 
@@ -306,9 +308,10 @@ PAIRWISE = "group1 string, group2 string, difference double, statistic double, p
 
 
 def tukey(df: DataFrame, value: str, group: str, alpha: float = 0.05) -> DataFrame:
-    """All pairs of groups against the studentised range."""
-    groups = _groups(df, value, group)
-    _, _, _, dof, mse = _f_test(groups)
+    """All pairs of groups against the studentised range: a table of pairs for
+    people to read, so the groups are few."""
+    groups = _group_table(df, value, group).orderBy(group).collect()
+    _, _, _, dof, mse = _f_test(df, value, group)
     rows = []
     for i, a in enumerate(groups):
         for b in groups[i + 1:]:
@@ -318,20 +321,17 @@ def tukey(df: DataFrame, value: str, group: str, alpha: float = 0.05) -> DataFra
     return df.sparkSession.createDataFrame(rows, PAIRWISE)
 
 
-def _rank_sums(df: DataFrame, value: str, group: str, **sizes):
-    """Per group its size and rank sum, with the tie term of all values.  Rows
-    are first counted by (value, group), so repeated values cost nothing."""
+def _rank_sums(df: DataFrame, value: str, group: str, **sizes) -> tuple[DataFrame, float, int]:
+    """Per group its size and rank sum; the tie term and count of all values.
+    Rows are first counted by (value, group), so repeated values cost nothing."""
     kept = df.filter(F.col(group).isNotNull()).select(F.col(group).alias("g"), number(value).alias("v")).filter("v IS NOT NULL")
     cells = kept.groupBy("v", "g").agg(F.count(F.lit(1)).alias("c"))
     ranked = value_counts_ranked(kept, [], "v", **sizes)
     sums = (cells.join(ranked, "v").groupBy("g")
-            .agg(F.sum("c").alias("n"), F.sum(F.col("c") * (F.col("upto") - (F.col("n") - 1) / 2.0)).alias("ranks")).collect())
+            .agg(F.sum("c").alias("n"), F.sum(F.col("c") * (F.col("upto") - (F.col("n") - 1) / 2.0)).alias("ranks")))
     w = F.col("n").cast("double")
-    ties = ranked.agg(F.sum(w * w * w - w)).first()[0]
-    out = sorted(sums, key=lambda r: r.g)
-    if len(out) < 2:
-        raise ValueError("at least two groups are needed")
-    return out, ties, sum(r.n for r in out)
+    s = ranked.agg(F.sum(w * w * w - w).alias("ties"), F.sum("n").alias("n")).first()
+    return sums, s.ties, s.n
 
 
 def _exact_mann_whitney(u: float, n1: int, n2: int) -> float:
@@ -349,10 +349,12 @@ def _exact_mann_whitney(u: float, n1: int, n2: int) -> float:
 
 def mann_whitney(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:
     """U of the first group in name order, two-sided, tie-corrected."""
-    groups, ties, n = _rank_sums(df, value, group, **sizes)
-    a, b = groups[:2]
-    if len(groups) > 2:
-        return mann_whitney(df.filter(F.col(group).isin(a.g, b.g)), value, group, **sizes)
+    present = df.filter(F.col(group).isNotNull() & number(value).isNotNull()).select(group).distinct()
+    names = [r[0] for r in present.orderBy(group).limit(2).collect()]
+    if len(names) < 2:
+        raise ValueError("at least two groups are needed")
+    sums, ties, n = _rank_sums(df.filter(F.col(group).isin(names)), value, group, **sizes)
+    a, b = sums.orderBy("g").collect()
     u1 = a.ranks - a.n * (a.n + 1) / 2
     u = max(u1, a.n * b.n - u1)
     if ties == 0 and min(a.n, b.n) <= 8 and a.n * b.n <= 10_000:
@@ -363,21 +365,19 @@ def mann_whitney(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:
     return _one(df, ("Mann-Whitney U test", u1, p, None, None), RESULT)
 
 
-def _kruskal(groups, ties: float, n: int) -> tuple[float, float]:
-    h = 12 / (n * (n + 1)) * sum(g.ranks ** 2 / g.n for g in groups) - 3 * (n + 1)
-    h /= 1 - ties / (n ** 3 - n)
-    return h, special.chi2_sf(h, len(groups) - 1)
-
-
 def kruskal(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:
-    groups, ties, n = _rank_sums(df, value, group, **sizes)
-    h, p = _kruskal(groups, ties, n)
-    return _one(df, ("Kruskal-Wallis H test", h, p, float(len(groups) - 1), None), RESULT)
+    sums, ties, n = _rank_sums(df, value, group, **sizes)
+    s = sums.agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("ranks") * F.col("ranks") / F.col("n")).alias("s")).first()
+    if s.k < 2:
+        raise ValueError("at least two groups are needed")
+    h = (12 / (n * (n + 1)) * s.s - 3 * (n + 1)) / (1 - ties / (n ** 3 - n))
+    return _one(df, ("Kruskal-Wallis H test", h, special.chi2_sf(h, s.k - 1), float(s.k - 1), None), RESULT)
 
 
 def dunn(df: DataFrame, value: str, group: str, alpha: float = 0.05, **sizes) -> DataFrame:
     """Pairwise z of mean ranks, tie-corrected, Bonferroni-adjusted."""
-    groups, ties, n = _rank_sums(df, value, group, **sizes)
+    sums, ties, n = _rank_sums(df, value, group, **sizes)
+    groups = sums.orderBy("g").collect()  # a table of pairs for people to read
     base = n * (n + 1) / 12 - ties / (12 * (n - 1))
     m = len(groups) * (len(groups) - 1) // 2
     rows = []
@@ -394,23 +394,30 @@ def group_normality(df: DataFrame, value: str, group: str, alpha: float = 0.05)
     """Per group: skipped below 8 values, Shapiro-Wilk under 5000 (a task gets
     one such group), K squared beyond (from the moments alone)."""
     kept = df.filter(F.col(group).isNotNull()).select(F.col(group).alias("g"), number(value).alias("v")).filter("v IS NOT NULL")
-    s = kept.groupBy("g").agg(F.count("v").alias("n"), F.skewness("v").alias("skew"), F.kurtosis("v").alias("kurt")).collect()
-    small = [r.g for r in s if 8 <= r.n < SHAPIRO_ROWS]
-    rows = [(str(r.g), "skipped (too few samples)", None, None, None) for r in s if r.n < 8]
-    for r in s:
-        if r.n >= SHAPIRO_ROWS:
-            k2, p = special.dagostino_k2(r.n, r.skew, r.kurt)
-            rows.append((str(r.g), "D'Agostino's K^2", k2, p, p > alpha))
-    schema = "group string, test string, statistic double, p_value double, normal boolean"
-    out = df.sparkSession.createDataFrame(rows, schema)
-    if not small:
-        return out
-
-    def shapiro(pdf: pd.DataFrame) -> pd.DataFrame:
-        w, p = special.shapiro_wilk(pdf["v"].to_numpy())
-        return pd.DataFrame({"group": [str(pdf["g"].iloc[0])], "test": ["Shapiro-Wilk"], "statistic": [w],
-                             "p_value": [p], "normal": [bool(p > alpha)]})
-    return out.unionByName(kept.filter(F.col("g").isin(small)).groupBy("g").applyInPandas(shapiro, schema))
+    s = kept.groupBy("g").agg(F.count("v").alias("n"), F.skewness("v").alias("skew"), F.kurtosis("v").alias("kurt"))
+    label = F.col("g").cast("string").alias("group")
+
+    def result(df: DataFrame, test: str, r: Column) -> DataFrame:
+        return df.withColumn("_r", r).select(label, F.lit(test).alias("test"), F.col("_r.statistic").alias("statistic"),
+                                             F.col("_r.p").alias("p_value"), (F.col("_r.p") > alpha).alias("normal"))
+
+    pair = "statistic double, p double"
+    k2 = F.pandas_udf(_k2_rows, pair)
+    w = F.pandas_udf(_shapiro_rows, pair)
+    none = F.struct(F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("double").alias("p"))
+    middle = s.filter((F.col("n") >= 8) & (F.col("n") < SHAPIRO_ROWS)).select("g")
+    small = kept.join(middle, "g", "left_semi").groupBy("g").agg(F.collect_list("v").alias("v"))
+    return (result(s.filter("n < 8"), "skipped (too few samples)", none)
+            .unionByName(result(s.filter(F.col("n") >= SHAPIRO_ROWS), "D'Agostino's K^2", k2("n", "skew", "kurt")))
+            .unionByName(result(small, "Shapiro-Wilk", w("v"))))
+
+
+def _k2_rows(n: pd.Series, skew: pd.Series, kurt: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([special.dagostino_k2(*r) for r in zip(n, skew, kurt)], columns=["statistic", "p"])
+
+
+def _shapiro_rows(values: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame([special.shapiro_wilk(v) for v in values], columns=["statistic", "p"])
 
 
 def compare_groups(df: DataFrame, value: str, group: str, test: str = "auto", alpha: float = 0.05,
@@ -418,9 +425,9 @@ def compare_groups(df: DataFrame, value: str, group: str, test: str = "auto", al
     """The named test, or the one that normality and the number of groups ask
     for; a two-group t test always pools the variance."""
     if test == "auto":
-        checks = group_normality(df, value, group, alpha).collect()
-        normal = all(r.normal for r in checks)
-        two = len(checks) == 2
+        checks = group_normality(df, value, group, alpha).agg(
+            F.count(F.lit(1)).alias("k"), F.bool_and(F.coalesce("normal", F.lit(False))).alias("normal")).first()
+        normal, two = checks.normal, checks.k == 2
         test = ("ttest" if normal else "mannwhitney") if two else ("anova" if normal else "kruskal")
     run = {"ttest": two_group_t, "anova": anova}
     if test in run:
