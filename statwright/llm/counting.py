@@ -1,0 +1,69 @@
+"""Counts of 64-bit keys over a corpus, shuffled as sorted arrays.
+
+A task counts the distinct keys of each piece of text and sends them as one
+array per bucket; a bucket adds up what it gets.  A key reaches its bucket
+once per piece at most, however often it occurs, so frequent keys make no hot
+bucket, and the cost per key is that of sorting numbers, not of rows.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+from . import words as W
+
+PIECE = 1 << 24
+
+
+def add_up(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct sorted keys and the sums of their counts."""
+    if not len(keys):
+        return keys, n
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    heads = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[heads], np.add.reduceat(n, heads)
+
+
+def count_keys(docs: DataFrame, keys: Callable[[pa.RecordBatch], np.ndarray], least: int = 1, text: str = "text") -> DataFrame:
+    """(key, n): how often ``keys(batch)`` gives each key; keys with less than ``least`` are left out of the result."""
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    def local(batch: pa.RecordBatch) -> pa.RecordBatch | None:
+        key, n = np.unique(keys(batch), return_counts=True)
+        if not len(key):
+            return None
+        cut = np.searchsorted(key, np.array([(b << 64) // parts for b in range(1, parts)], dtype=W.U))
+        first = np.concatenate([[0], cut, [len(key)]])
+        rows = [(b, key[a:z].tobytes(), n[a:z].astype(np.uint32).tobytes()) for b, (a, z) in enumerate(zip(first, first[1:], strict=False)) if z > a]
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()),
+                                           pa.array([r[2] for r in rows], pa.binary())], names=["bucket", "keys", "n"])
+
+    def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def out(got: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+            key, n = add_up(np.concatenate([k for k, _ in got]), np.concatenate([c for _, c in got]))
+            key, n = key[n >= least], n[n >= least]
+            for a in range(0, len(key), 1 << 18):
+                yield pa.RecordBatch.from_arrays([pa.array(key[a:a + (1 << 18)].view(np.int64)), pa.array(n[a:a + (1 << 18)])], names=["key", "n"])
+
+        bucket, got, held = None, [], 0
+        for batch in batches:
+            for b, k, n in zip(batch.column("bucket").to_pylist(), batch.column("keys"), batch.column("n"), strict=True):
+                if b != bucket and got:
+                    yield from out(got)
+                    got, held = [], 0
+                bucket = b
+                got.append((np.frombuffer(k.as_buffer(), W.U), np.frombuffer(n.as_buffer(), np.uint32).astype(np.int64)))
+                held += len(got[-1][0])
+                if len(got) > 1 and held > 1 << 22:
+                    got = [add_up(np.concatenate([k for k, _ in got]), np.concatenate([c for _, c in got]))]
+                    held = 0
+        if got:
+            yield from out(got)
+
+    sent = W.map_texts(docs, local, "bucket int, keys binary, n binary", text, PIECE)
+    return sent.repartition(parts, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "key long, n long")
