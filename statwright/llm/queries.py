@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.storage import scratch_path
-from . import backoff_lm, decontamination, mixing, ngram_jaccard, quality, token_codes, toxicity
+from . import (backoff_lm, decontamination, licences, mixing, ngram_jaccard, pseudonyms, quality, token_codes,
+               toxicity, url_rules)
 from .oracles import SQL  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
+#: For the registered query; callers of the operator bring their own.
+PSEUDONYM_KEY = "registered query"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -36,6 +39,19 @@ def op2_decontamination(spark: SparkSession, folder: str) -> DataFrame:
                         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+#: The given rules of the URL filter.
+URL_RULES = [url_rules.Rule("allow", "com", "/"), url_rules.Rule("block", "example.com", "/en/"), url_rules.Rule("allow", "www.example.com", "/en/"),
+             url_rules.Rule("block", "net", "/es/"), url_rules.Rule("block", "net", "/fr/")]
+
+
+def op3_url_rules(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts on all pages; a page's label blocks it where quality is 0 or toxic is 1."""
+    pages = table(spark, folder, "pages").select("page_id", "url")
+    labels = table(spark, folder, "labels").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 0) | (F.col("toxic") == 1)).alias("blocked"))
+    out = url_rules.judge(pages, URL_RULES, pages.join(labels, "page_id").select("url", "blocked"))
+    return out.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op4_token_codes(spark: SparkSession, folder: str) -> DataFrame:
     """Token files of all documents, read back."""
     files = scratch_path(spark, "tokens")
@@ -58,6 +74,16 @@ def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_licences(spark: SparkSession, folder: str) -> DataFrame:
+    """Licence notices in all documents."""
+    return licences.scan(table(spark, folder, "documents").select("doc_id", "text")).withColumn("dice", F.round("dice", 6))
+
+
+def op6_pseudonyms(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents with personal numbers, dates and addresses replaced."""
+    return pseudonyms.mask(table(spark, folder, "documents").select("doc_id", "text"), PSEUDONYM_KEY).select("doc_id", "n_found", "found", "text")
+
+
 def op7_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Backoff scores of all documents, learned from six in seven."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
@@ -77,4 +103,5 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_ngram_jaccard, op2_decontamination, op4_token_codes, op7_backoff_lm, op8_toxicity, op9_mixing, op10_quality)}
+    f.__name__: f for f in (op1_ngram_jaccard, op2_decontamination, op3_url_rules, op4_token_codes, op5_licences,
+                            op6_pseudonyms, op7_backoff_lm, op8_toxicity, op9_mixing, op10_quality)}
