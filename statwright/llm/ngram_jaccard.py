@@ -40,6 +40,7 @@ Elements and sets are told apart by 64-bit hashes.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import math
 from collections.abc import Iterator
@@ -59,6 +60,8 @@ from .components import components
 CHECK = 4.0
 MOST_LIGHT = 24
 LARGEST_IDS = 4_000_000
+#: Differing elements of a list that one task may hold; larger lists are joined by Spark.
+GROUP_ELEMENTS = 2_000_000
 #: Marks, beside a set's size, that it has the larger of a subset key's two sizes.
 LARGER = 1 << 15
 
@@ -112,15 +115,22 @@ def name(s: np.ndarray) -> int:
     return int(W.mix(total).view(np.int64)[0])
 
 
-def part_keys(s: np.ndarray, which: int, parts: int, spare: int) -> np.ndarray:
-    """Keys of the parts of a set in a size class."""
+@functools.lru_cache(maxsize=128)
+def ranges(which: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
+    """(first hash of each further part, what tells the parts of a class apart)."""
     edges = ((np.arange(1, parts, dtype=W.U) << W.U(32)) + W.U(parts - 1)) // W.U(parts)
-    cut = np.concatenate([[0], np.searchsorted(s >> W.U(32), edges), [len(s)]])
-    total = np.concatenate([np.zeros(1, W.U), np.cumsum(W.mix(s), dtype=W.U)])
+    return edges << W.U(32), W.mix(np.arange(parts, dtype=W.U) + W.U(which << 32))
+
+
+def part_keys(s: np.ndarray, total: np.ndarray, which: int, parts: int, spare: int) -> np.ndarray:
+    """Keys of the parts of a set in a size class; ``total`` are running sums of its mixed elements."""
+    edges, salt = ranges(which, parts)
+    cut = np.empty(parts + 1, dtype=np.int64)
+    cut[0], cut[1:-1], cut[-1] = 0, np.searchsorted(s, edges), len(s)
     size = np.diff(cut)
-    kept = np.flatnonzero(size) if (size == 0).sum() <= spare else np.arange(parts)
-    key = total[cut[kept + 1]] - total[cut[kept]]
-    return W.mix(key + W.mix(kept.astype(W.U) + W.U(which << 32)) + size[kept].astype(W.U) * W.STEP)
+    key = W.mix(np.diff(total[cut]) + salt + size.astype(W.U) * W.STEP)
+    full = size > 0
+    return key[full] if parts - full.sum() <= spare else key
 
 
 def subset_keys(s: np.ndarray, sim: Similarity, light: int) -> tuple[np.ndarray, np.ndarray]:
@@ -188,7 +198,9 @@ def stars(docs: DataFrame, n: int, sim: Similarity, light: int) -> DataFrame:
             if sim.most(len(s)) > light:
                 own = int(np.searchsorted(low, len(s), side="right") - 1)
                 below = int(np.searchsorted(low, max(1, sim.least(len(s))), side="right") - 1)
-                got = np.concatenate([part_keys(s, c, int(parts[c]), int(spare[c])) | W.U(1) for c in range(below, own + 1)])
+                total = np.zeros(len(s) + 1, dtype=W.U)
+                np.cumsum(W.mix(s), out=total[1:])
+                got = np.concatenate([part_keys(s, total, c, int(parts[c]), int(spare[c])) for c in range(below, own + 1)]) | W.U(1)
                 keys.append(got)
                 size.append(np.full(len(got), few, np.uint16))
             owner.append(np.full(sum(len(k) for k in keys) - sum(len(o) for o in owner), me, np.int64))
@@ -281,27 +293,100 @@ def lists_of(column: pa.Array) -> list[np.ndarray]:
     return [flat[a:b] for a, b in zip(off, off[1:], strict=False)]
 
 
-def beyond_centres(star: DataFrame, sim: Similarity) -> DataFrame:
-    """(a, b): links between members of a list of which at least one is far from its centre."""
-    groups = star.groupBy("centre").agg(F.max("far").alias("some"), F.count(F.lit(1)).alias("members")).filter("some and members > 1").select("centre")
-    rows = materialise(star.join(groups, "centre"))
-    if rows.isEmpty():
-        return rows.select(F.col("centre").alias("a"), F.col("member").alias("b"))
-    own = rows.select("centre", "member", "far", F.col("n_member").alias("n"), F.size("diff").alias("size"), F.explode("diff").alias("e"))
+def beyond_centres(star: DataFrame, root: DataFrame, sim: Similarity, group_elements: int = GROUP_ELEMENTS) -> DataFrame:
+    """(a, b): links between members of a list of which at least one is far
+    from its centre, and that ``root`` has not joined yet."""
+    placed = star.join(broadcast_if_small(root.withColumnRenamed("node", "member"), LARGEST_IDS), "member", "left").withColumn(
+        "root", F.coalesce("root", "member"))
+    groups = materialise(placed.groupBy("centre").agg(F.max("far").alias("some"), F.min("root").alias("one"), F.max("root").alias("other"),
+                                             (F.sum(F.size("diff")) > group_elements).alias("wide")).filter(
+        "some and one <> other").select("centre", "wide"))
+    rows = placed.join(broadcast_if_small(groups, LARGEST_IDS), "centre")
+    small = rows.filter("not wide").select("centre", "member", "root", "far", "n_member", "diff")
+    parts = int(star.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    near = small.repartition(parts, "centre").sortWithinPartitions("centre", "member").mapInArrow(
+        functools.partial(_by_group, sim), "a long, b long")
+    if groups.filter("wide").isEmpty():
+        return near
+    return near.unionByName(_wide_groups(materialise(rows.filter("wide")), sim))
+
+
+def _by_group(sim: Similarity, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Groups of bounded size, one after the other."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        centre = batch.column("centre").to_numpy()
+        cuts = [0, *(np.flatnonzero(np.diff(centre)) + 1).tolist(), len(centre)]
+        for a, z in zip(cuts, cuts[1:], strict=False):
+            if held and held[0].column("centre")[0].as_py() != centre[a]:
+                yield group_links(held, sim)
+                held = []
+            held.append(batch.slice(a, z - a))
+    if held:
+        yield group_links(held, sim)
+
+
+def group_links(held: list[pa.RecordBatch], sim: Similarity) -> pa.RecordBatch:
+    """Links that join different roots in one group of a centre."""
+    t = pa.Table.from_batches(held).combine_chunks()
+    diffs = [x for c in t.column("diff").chunks for x in lists_of(c)]
+    member, root, n = (t.column(c).to_numpy() for c in ("member", "root", "n_member"))
+    far, size = t.column("far").to_numpy(), np.array([len(x) for x in diffs], dtype=np.int64)
+    owner = np.repeat(np.arange(len(diffs)), size)
+    _, e, often = np.unique(np.concatenate(diffs), return_inverse=True, return_counts=True)
+    order = np.lexsort((e, often[e], owner))
+    owner, e = owner[order], e[order]
+    at = W.span(np.zeros(len(size), np.int64), size)
+    both = sim.num + sim.den
+    use = often[e] > 1
+    ys = np.flatnonzero(use & far[owner] & (at <= (sim.den - sim.num) * n[owner] // sim.num))
+    xs = np.flatnonzero(use & (at * 2 * both <= size[owner] * 2 * sim.den + 2 * both))
+    ys, xs = ys[np.argsort(e[ys], kind="stable")], xs[np.argsort(e[xs], kind="stable")]
+    found = []
+    for el in np.intersect1d(e[ys], e[xs]).tolist():
+        y = ys[np.searchsorted(e[ys], el):np.searchsorted(e[ys], el, side="right")][:, None]
+        x = xs[np.searchsorted(e[xs], el):np.searchsorted(e[xs], el, side="right")][None, :]
+        oy, ox = owner[y], owner[x]
+        apart = at[x] + at[y] + np.abs((size[ox] - at[x]) - (size[oy] - at[y]))
+        ok = (apart <= sim.apart(n[ox], n[oy])) & (root[ox] != root[oy]) & (~far[ox] | (ox < oy))
+        i, j = np.nonzero(ok)
+        if len(i):
+            found.append(np.unique(oy[i, 0] * len(size) + ox[0, j]))
+    up: dict[int, int] = {}
+
+    def top(r: int) -> int:
+        while up.get(r, r) != r:
+            r = up[r]
+        return r
+
+    a, b = [], []
+    for code in (np.unique(np.concatenate(found)).tolist() if found else []):
+        y, x = divmod(code, len(size))
+        ry, rx = top(int(root[y])), top(int(root[x]))
+        if ry != rx and len(np.setxor1d(diffs[y], diffs[x], assume_unique=True)) <= sim.apart(n[y], n[x]):
+            up[max(ry, rx)] = min(ry, rx)
+            a.append(int(member[y]))
+            b.append(int(member[x]))
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def _wide_groups(rows: DataFrame, sim: Similarity) -> DataFrame:
+    """The same for groups beyond the bound, as joins on shared rare elements."""
+    own = rows.select("centre", "member", "root", "far", F.col("n_member").alias("n"), F.size("diff").alias("size"), F.explode("diff").alias("e"))
     often = own.groupBy("centre", "e").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
     # Elements of one member only can't be shared; those before a shared one still count as places.
-    ranked = own.join(often, ["centre", "e"], "left").groupBy("centre", "member", "far", "n", "size").agg(
+    ranked = own.join(often, ["centre", "e"], "left").groupBy("centre", "member", "root", "far", "n", "size").agg(
         F.sort_array(F.collect_list(F.when(F.col("often").isNotNull(), F.struct("often", "e")))).alias("es"))
-    ranked = ranked.select("centre", "member", "far", "n", "size", (F.col("size") - F.size("es")).alias("alone"), F.posexplode("es").alias("p", "s"))
-    spot = ranked.select("centre", "member", "far", "n", "size", (F.col("p") + F.col("alone")).alias("at"), F.col("s.e").alias("e"))
+    ranked = ranked.select("centre", "member", "root", "far", "n", "size", (F.col("size") - F.size("es")).alias("alone"), F.posexplode("es").alias("p", "s"))
+    spot = ranked.select("centre", "member", "root", "far", "n", "size", (F.col("p") + F.col("alone")).alias("at"), F.col("s.e").alias("e"))
     reach = F.expr(f"{sim.den - sim.num} * n div {sim.num}")
     # A far member shares more than half of what its partner differs in, but for sizes above the centre's and rounding.
     half = F.col("at") * 2 * (sim.num + sim.den) <= F.col("size") * 2 * sim.den + 2 * (sim.num + sim.den)
-    probe = spot.filter(F.col("far") & (F.col("at") <= reach)).select(*[F.col(c).alias(f"y_{c}") for c in ("centre", "e", "member", "n", "size", "at")])
-    index = spot.filter(half).select(*[F.col(c).alias(f"x_{c}") for c in ("centre", "e", "member", "n", "size", "at", "far")])
+    probe = spot.filter(F.col("far") & (F.col("at") <= reach)).select(*[F.col(c).alias(f"y_{c}") for c in ("centre", "e", "member", "root", "n", "size", "at")])
+    index = spot.filter(half).select(*[F.col(c).alias(f"x_{c}") for c in ("centre", "e", "member", "root", "n", "size", "at", "far")])
     most = F.expr(f"x_n + y_n - 2 * (({sim.num} * (x_n + y_n) + {sim.num + sim.den - 1}) div {sim.num + sim.den})")
     apart = F.expr("x_at + y_at + abs((x_size - x_at) - (y_size - y_at))")
-    pairs = index.join(probe, [F.expr("x_centre = y_centre"), F.expr("x_e = y_e"), F.expr("x_member <> y_member"),
+    pairs = index.join(probe, [F.expr("x_centre = y_centre"), F.expr("x_e = y_e"), F.expr("x_root <> y_root"),
                                F.expr("not x_far or x_member < y_member"), apart <= most])
     return _checked(pairs.select(F.col("x_centre").alias("centre"), "x_member", "y_member").distinct(), rows, sim)
 
@@ -336,8 +421,10 @@ def ngram_components(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
     items = materialise(elements(docs, member, wanted, n))
     star = materialise(compared(open_pairs, items, sim))
     near = star.filter("not far").select(F.col("centre").alias("a"), F.col("member").alias("b"))
-    links = proven.unionByName(near).unionByName(beyond_centres(star, sim))
-    root = components(links)
+    root = materialise(components(proven.unionByName(near)))
+    more = materialise(beyond_centres(star, root, sim))
+    if not more.isEmpty():
+        root = components(root.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     placed = member.join(broadcast_if_small(root.withColumnRenamed("node", "set"), LARGEST_IDS), "set", "left").withColumn(
         "root", F.coalesce("root", "set"))
     full = placed.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
