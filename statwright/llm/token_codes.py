@@ -23,6 +23,8 @@ empty table gives an empty file set and no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import itertools
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -31,6 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.sizes import broadcast_if_small
 from . import words as W
 
 BLOCK_IDS = 1 << 18
@@ -38,38 +41,68 @@ RANK = 512
 END_ID = 1
 FILE = ("shard int, block int, n_ids long, doc_ids binary, doc_nulls binary, doc_counts binary, "
         "levels array<binary>, marks array<binary>, ranks array<binary>")
-CACHE_WORDS = 1 << 20
+CACHE_WORDS = 1 << 19
 COUNT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.uint8)
 
 
+class Known:
+    """Codes of words seen often, as flat arrays: word hashes in order, and where each word's ids lie."""
+
+    def __init__(self, path: str) -> None:
+        # One thread: Spark already uses every core, and each thread holds memory of its own.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        from tokenizers import Tokenizer
+        self.tokenizer = Tokenizer.from_file(path)
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.start, self.size = np.zeros(0, W.U), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.uint32)
+
+    def ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(size of each, ids) from the tokenizer."""
+        sizes, flat = [], []
+        for a in range(0, len(texts), 5_000):
+            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts[a:a + 5_000], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
+            flat.append(np.fromiter(itertools.chain.from_iterable(got), np.uint32))
+        return (np.concatenate(sizes), np.concatenate(flat)) if sizes else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+
+    def keep(self, words: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
+        if len(self.words) + len(words) > CACHE_WORDS:
+            self.clear()
+        order = np.argsort(np.concatenate([self.words, words]), kind="stable")
+        self.start = np.concatenate([self.start, len(self.ids) + np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)])[order]
+        self.ids = np.concatenate([self.ids, ids[W.span(start, size)]])
+        self.words, self.size = np.concatenate([self.words, words])[order], np.concatenate([self.size, size])[order]
+
+
 @functools.lru_cache(maxsize=2)
-def tokenizer(path: str):
-    from tokenizers import Tokenizer
-    return Tokenizer.from_file(path), {}
+def known_words(path: str) -> Known:
+    return Known(path)
 
 
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(bounds by text, ids) of whole texts, without end ids."""
-    tok, known = tokenizer(path)
+    known = known_words(path)
     w = W.words(column, lower=False)
-    distinct, at, inverse = np.unique(w.hashes, return_index=True, return_inverse=True)
-    if len(known) + len(distinct) > CACHE_WORDS:
-        known.clear()
-    keys = distinct.tolist()
-    new = [i for i, k in enumerate(keys) if k not in known]
-    raw = w.data.tobytes() if new else b""
-    for a in range(0, len(new), 20_000):
-        part = new[a:a + 20_000]
-        texts = [raw[w.starts[at[i]]:w.ends[at[i]]].decode("utf-8", "replace") for i in part]
-        for i, e in zip(part, tok.encode_batch(texts, add_special_tokens=False), strict=True):
-            known[keys[i]] = np.array(e.ids, dtype=np.uint32)
-    codes = [known[k] for k in keys]
-    size = np.array([len(c) for c in codes], dtype=np.int64)
-    flat = np.concatenate(codes) if codes else np.zeros(0, np.uint32)
-    start = np.concatenate([[0], np.cumsum(size)])[:-1] if len(size) else size
+    distinct, at, inverse, often = np.unique(w.hashes, return_index=True, return_inverse=True, return_counts=True)
+    place = np.minimum(np.searchsorted(known.words, distinct), max(0, len(known.words) - 1))
+    old = known.words[place] == distinct if len(known.words) else np.zeros(len(distinct), dtype=bool)
+    new = np.flatnonzero(~old)
+    raw = w.data.tobytes() if len(new) else b""
+    sizes, ids = known.ask([raw[a:b].decode("utf-8", "replace") for a, b in zip(w.starts[at[new]].tolist(), w.ends[at[new]].tolist(), strict=True)])
+    starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if len(sizes) else sizes
+    start, size = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
+    start[old], size[old] = known.start[place[old]], known.size[place[old]]
+    start[new], size[new] = len(known.ids) + starts, sizes
+    flat = np.concatenate([known.ids, ids])
     per = size[inverse] if len(inverse) else np.zeros(0, np.int64)
-    ids = flat[W.span(start[inverse], per)] if len(per) else flat
-    return np.concatenate([[0], np.cumsum(per)])[w.first], ids
+    out = flat[W.span(start[inverse], per)] if len(per) else flat[:0]
+    again = np.flatnonzero(often[new] > 1)
+    if len(again):
+        known.keep(distinct[new[again]], starts[again], sizes[again], ids)
+    return np.concatenate([[0], np.cumsum(per)])[w.first], out
 
 
 def pack(ids: np.ndarray) -> tuple[list[bytes], list[bytes], list[bytes]]:
@@ -135,7 +168,7 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFram
         out = [np.append(ids[a:b], tail).astype(np.uint32) for a, b in zip(first, first[1:], strict=False)]
         out = [b"\2" + x.astype("<u2").tobytes() if not len(x) or x.max() < 1 << 16 else b"\4" + x.astype("<u4").tobytes() for x in out]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
-    return W.map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids binary", most=1 << 23)
+    return W.map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids binary", most=1 << 22)
 
 
 def shards(docs: DataFrame, path: str, n: int, end_id: int | None = END_ID) -> DataFrame:
@@ -190,7 +223,7 @@ def blocks(spark: SparkSession, folder: str) -> DataFrame:
     base = shard.select("shard", (F.sum("n").over(Window.orderBy("shard")) - F.col("n")).alias("base"))
     within = F.sum("n_ids").over(Window.partitionBy("shard").orderBy("block")) - F.col("n_ids")
     place = sizes.select("shard", "block", within.alias("within")).join(F.broadcast(base), "shard")
-    return files.join(place.select("shard", "block", (F.col("base") + F.col("within")).alias("first_id")), ["shard", "block"])
+    return files.join(broadcast_if_small(place.select("shard", "block", (F.col("base") + F.col("within")).alias("first_id"))), ["shard", "block"])
 
 
 def read(spark: SparkSession, folder: str) -> DataFrame:
