@@ -229,7 +229,7 @@ def merged_spans(df: DataFrame) -> DataFrame:
             counts.append(sum(int(np.searchsorted(starts, s["end"]) - np.searchsorted(starts, s["start"])) for s in out))
             rows.append(out)
         return [pa.array(counts, pa.int64()), pa.array(rows, pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))]
-    return W.add_columns(df, make, "n_hit long, spans array<struct<start:int,end:int>>")
+    return W.add_columns(df, make, "n_hit long, spans array<struct<start:int,end:int>>", reads=("spans",))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 10, coverage: float = 0.5,

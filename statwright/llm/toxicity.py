@@ -43,7 +43,7 @@ STEMS = (4, 5, 6, 7)
 FUZZY_FROM = 5
 PRECISION = 0.9
 CONTEXT = 4
-LETTERS = re.compile(r"[^\W\d_]+")
+LETTERS = re.compile(r"[^\W_]+")
 #: Words that report what somebody else says.
 REPORTING = frozenset("said says saying wrote called calls quoted quote told dit dijo sagte schrieb escribió écrit".split())
 QUOTES = "\"“”„«»‹›"
@@ -130,6 +130,7 @@ class Machine:
             self.end[node] |= 2 if term.endswith("*") else 1
             if len(name) >= FUZZY_FROM and not term.endswith("*"):
                 self.fuzzy[node] = True
+                self.end[node] |= 4
         self.sets: list[frozenset[tuple[int, int]]] = []
         self.names: dict[frozenset[tuple[int, int]], int] = {}
         self.next: list[dict[str, int]] = []
@@ -153,7 +154,7 @@ class Machine:
             self.sets.append(key)
             self.next.append({})
             stem = any(e == 0 and self.end[n] & 2 for n, e in key)
-            last = 1 if any(e == 0 and self.end[n] & 1 for n, e in key) else 2 if any(e == 1 and self.end[n] & 1 and self.fuzzy[n] for n, e in key) else 0
+            last = 1 if any(e == 0 and self.end[n] & 1 for n, e in key) else 2 if any(e == 1 and self.end[n] & 4 for n, e in key) else 0
             self.verdict.append((int(stem), last))
         return self.names[key]
 
@@ -211,7 +212,7 @@ def features(column: pa.Array, machine: Machine) -> np.ndarray:
 
 
 ALPHA = W.BLANK.copy()
-ALPHA[[ord(c) for c in ".,;:!?()[]{}<>|/\\\"*#$%&=+-_@'`~^0123456789"]] = True
+ALPHA[[ord(c) for c in ".,;:!?()[]{}<>|/\\\"*#$%&=+-_@'`~^"]] = True
 
 
 class Weights(NamedTuple):

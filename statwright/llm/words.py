@@ -219,9 +219,10 @@ def map_texts(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | N
 
 
 def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array]], new: str,
-                text: str = "text", drop: tuple[str, ...] = ()) -> DataFrame:
+                text: str = "text", drop: tuple[str, ...] = (), reads: tuple[str, ...] = ()) -> DataFrame:
     """The rows of ``df`` with new columns made from whole texts.  Columns of
-    the same names are replaced; those in ``drop`` are left out."""
+    the same names are replaced; those in ``drop`` are left out; ``make`` may
+    look at replaced columns that ``reads`` names."""
     added = [f.name for f in T.StructType.fromDDL(new).fields]
     kept = [c for c in df.columns if c not in added and c not in drop]
     schema = T.StructType([df.schema[c] for c in kept] + T.StructType.fromDDL(new).fields)
@@ -229,7 +230,7 @@ def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array]],
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([*(batch.column(c) for c in kept), *make(batch)], names=[*kept, *added])
 
-    need = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, text])])
+    need = df.select(*[F.col(f"`{c}`") for c in dict.fromkeys([*kept, text, *reads])])
     return map_texts(need, run, schema, text)
 
 
