@@ -101,6 +101,12 @@ def learn_terms(train: DataFrame, least: int = 4, precision: float = PRECISION)
     prior = some.bad / (some.bad + some.good)
     kept = {t for t, s in zip(names, sure, strict=True)
             if bad[t] / (bad[t] + good.get(t, 0)) >= precision and s >= prior + 0.4 * (1 - prior)}
+    # A stem that one word explains gives way to the word, which may also be misspelt.
+    whole = {}
+    for t in bad:
+        for k in STEMS if not t.endswith("*") else ():
+            whole[t[:k] + "*"] = max(whole.get(t[:k] + "*", 0), bad[t])
+    kept = {t for t in kept if not t.endswith("*") or bad[t] >= 1.25 * whole.get(t, 0)}
     stems = {t[:-1] for t in kept if t.endswith("*")}
 
     def covered(t: str) -> bool:
