@@ -184,17 +184,19 @@ def stars(docs: DataFrame, n: int, sim: Similarity, light: int) -> DataFrame:
     low, parts, spare = classes(sim)
 
     def local(batch: pa.RecordBatch) -> pa.RecordBatch | None:
-        keys, owner, size, seen = [], [], [], set()
+        keys, owner, names, size, seen = [], [], [], [], set()
         for s in sets(batch.column("text"), n):
             me = name(s) if len(s) else 0
             if not len(s) or me in seen:
                 continue
             seen.add(me)
-            few = min(len(s), LARGER - 1)
+            at = 2 * len(names)
+            names.append(me)
+            size.append(min(len(s), LARGER - 1))
             if len(s) <= light:
                 got, larger = subset_keys(s, sim, light)
                 keys.append(got)
-                size.append(np.where(larger, LARGER, 0).astype(np.uint16) | np.uint16(few))
+                owner.append(at + larger.astype(np.int64))
             if sim.most(len(s)) > light:
                 own = int(np.searchsorted(low, len(s), side="right") - 1)
                 below = int(np.searchsorted(low, max(1, sim.least(len(s))), side="right") - 1)
@@ -202,18 +204,24 @@ def stars(docs: DataFrame, n: int, sim: Similarity, light: int) -> DataFrame:
                 np.cumsum(W.mix(s), out=total[1:])
                 got = np.concatenate([part_keys(s, total, c, int(parts[c]), int(spare[c])) for c in range(below, own + 1)]) | W.U(1)
                 keys.append(got)
-                size.append(np.full(len(got), few, np.uint16))
-            owner.append(np.full(sum(len(k) for k in keys) - sum(len(o) for o in owner), me, np.int64))
+                owner.append(np.full(len(got), at, np.int64))
         if not keys:
             return None
-        key, own, num = np.concatenate(keys), np.concatenate(owner), np.concatenate(size)
+        key, own = np.concatenate(keys), np.concatenate(owner)
         order = np.argsort(key, kind="stable")
-        key, own, num = key[order], own[order], num[order]
+        key, own = key[order], own[order]
         cut = np.searchsorted(key, np.array([(b << 64) // parts_out for b in range(1, parts_out)], dtype=W.U))
         first = np.concatenate([[0], cut, [len(key)]])
-        rows = [(b, key[a:z].tobytes(), own[a:z].tobytes(), num[a:z].tobytes()) for b, (a, z) in enumerate(zip(first, first[1:], strict=False)) if z > a]
-        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3))],
-                                          names=["bucket", "keys", "sets", "sizes"])
+        named, sized, rows = np.array(names, dtype=np.int64), np.array(size, dtype=np.uint16), []
+        for b, (a, z) in enumerate(zip(first, first[1:], strict=False)):
+            if z > a:
+                # A set's id and size travel once per bucket; its keys only name its place among them.
+                here, place = np.unique(own[a:z] >> 1, return_inverse=True)
+                place = place << 1 | own[a:z] & 1
+                rows.append((b, key[a:z].tobytes(), place.astype(np.uint16 if len(here) < 1 << 15 else np.uint32).tobytes(),
+                             named[here].tobytes(), sized[here].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), *(pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3, 4))],
+                                          names=["bucket", "keys", "places", "sets", "sizes"])
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def out(got: list[tuple[np.ndarray, ...]]) -> Iterator[pa.RecordBatch]:
@@ -232,16 +240,18 @@ def stars(docs: DataFrame, n: int, sim: Similarity, light: int) -> DataFrame:
 
         bucket, got = None, []
         for batch in batches:
-            for b, *data in zip(batch.column("bucket").to_pylist(), batch.column("keys"), batch.column("sets"), batch.column("sizes"), strict=True):
+            for b, *data in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "places", "sets", "sizes")), strict=True):
                 if b != bucket and got:
                     yield from out(got)
                     got = []
                 bucket = b
-                got.append(tuple(np.frombuffer(x.as_buffer(), t) for x, t in zip(data, (W.U, np.int64, np.uint16), strict=True)))
+                key, named, sized = (np.frombuffer(x, t) for x, t in zip((data[0], data[2], data[3]), (W.U, np.int64, np.uint16), strict=True))
+                place = np.frombuffer(data[1], np.uint16 if 4 * len(data[1]) == len(data[0]) else np.uint32)
+                got.append((key, named[place >> 1], sized[place >> 1] | (place & 1).astype(np.uint16) << np.uint16(15)))
         if got:
             yield from out(got)
 
-    sent = W.map_texts(docs.select("text"), local, "bucket int, keys binary, sets binary, sizes binary", most=1 << 24)
+    sent = W.map_texts(docs.select("text"), local, "bucket int, keys binary, places binary, sets binary, sizes binary", most=1 << 24)
     listed = sent.repartition(parts_out, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "centre long, member long, proven boolean")
     return listed.groupBy("centre", "member").agg(F.max("proven").alias("proven"))
 
@@ -263,7 +273,7 @@ def elements(docs: DataFrame, member: DataFrame, wanted: DataFrame, n: int) -> D
         first = np.concatenate([[0], np.cumsum([len(s[i]) for i in keep])]).astype(np.int64)
         flat = np.concatenate([s[i] for i in keep]) if keep else np.zeros(0, W.U)
         return pa.RecordBatch.from_arrays([pa.array([own[i] for i in keep], pa.int64()), W.lists(flat, first)], names=["set", "items"])
-    return W.map_texts(wanted_ids, make, "set long, items array<long>").join(wanted, "set", "left_semi").dropDuplicates(["set"])
+    return W.map_texts(wanted_ids, make, "set long, items array<long>").join(broadcast_if_small(wanted, LARGEST_IDS), "set", "left_semi")
 
 
 def compared(pairs: DataFrame, items: DataFrame, sim: Similarity) -> DataFrame:
