@@ -17,11 +17,14 @@ with equal doc_id are one document; an empty table gives no rows.
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import join_same
 from ..functions.sizes import broadcast_if_small
+from ..functions.storage import materialise
 
 #: Notices of public licences.
 TEMPLATES = {
@@ -84,7 +87,9 @@ def notices(docs: DataFrame, templates: DataFrame, least: float = LEAST) -> Data
         return docs.select("doc_id", F.lit("").alias("passage"), F.lit("").alias("name"), F.lit(0.0).alias("dice")).limit(0)
     first = [r.w for r in index.select(F.array_max(F.transform(F.split("gram", " "), lambda w: F.struct(F.length(w), w.alias("w"))))["w"].alias("w")).distinct().collect()]
     any_of = "(?:^|[^\\p{L}\\p{N}])(?:" + "|".join(sorted(first)) + ")(?:$|[^\\p{L}\\p{N}])"
-    live = docs.select("doc_id", F.lower("text").alias("text")).filter(F.col("text").rlike(any_of))
+    # One plain search per anchor over the text lower-cased once; the pattern then only reads the few texts left.
+    some = F.exists(F.array(F.lower("text")), lambda t: functools.reduce(lambda a, b: a | b, [F.contains(t, F.lit(w)) for w in sorted(first)]))
+    live = docs.select("doc_id", "text").filter(some).select("doc_id", F.lower("text").alias("text"))
     passage = live.select("doc_id", F.explode(passages(normal(F.col("text")))).alias("passage")).filter(F.col("passage").rlike(any_of))
     made = passage.select("doc_id", F.trim("passage").alias("passage"), bigrams(F.col("passage")).alias("own")).withColumn("m", F.size("own"))
     low, high = least / (2 - least), (2 - least) / least
@@ -99,7 +104,7 @@ def scan(docs: DataFrame, templates: DataFrame | None = None, least: float = LEA
     if templates is None:
         templates = docs.sparkSession.createDataFrame(sorted(TEMPLATES.items()), "name string, text string")
     found = notices(docs, templates, least)
-    per = found.groupBy("doc_id").agg(F.countDistinct("passage").alias("n"),
-                                      F.min_by("name", F.struct(-F.col("dice"), F.col("name"))).alias("licence"), F.max("dice").alias("dice"))
+    per = materialise(found.groupBy("doc_id").agg(F.countDistinct("passage").alias("n"),
+                                      F.min_by("name", F.struct(-F.col("dice"), F.col("name"))).alias("licence"), F.max("dice").alias("dice")))
     out = join_same(docs.select("doc_id").distinct(), broadcast_if_small(per), ["doc_id"], "left")
     return out.select("doc_id", F.coalesce("n", F.lit(0)).cast("long").alias("n_notices"), "licence", "dice")
