@@ -106,11 +106,13 @@ def threshold_sweep(df: DataFrame, column: str,
                     probs: Sequence[float] = (0.1, 0.25, 0.5, 0.75, 0.9)) -> DataFrame:
     """Rows kept by low and high pass at several quantiles."""
     q = quantile_table(df, [column], probs)
-    specs = [FilterSpec(column, kind, q[column, p]) for p in probs for kind in ("low_pass", "high_pass")]
+    of: dict[object, list[float]] = {}
+    for p in probs:
+        of.setdefault(q[column, p], []).append(p)
+    specs = [FilterSpec(column, kind, v) for v in of for kind in ("low_pass", "high_pass")]
     stats = filter_statistics(df, specs)
-    label = {q[column, p]: p for p in reversed(probs)}
-    prob = F.coalesce(*[F.when(F.col("low") == F.lit(v), F.lit(p)) for v, p in label.items()])
-    return stats.select(prob.alias("prob"), "filter_type", F.col("low").alias("threshold"),
+    same = F.coalesce(*[F.when(F.col("low") == F.lit(v), F.array(*[F.lit(p) for p in ps])) for v, ps in of.items()])
+    return stats.select(F.explode(same).alias("prob"), "filter_type", F.col("low").alias("threshold"),
                         "filtered_count", "kept_percentage")
 
 

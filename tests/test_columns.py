@@ -203,3 +203,9 @@ def test_power_transform_parameter(spark):
     like = [(g - 1) * logs.sum() - len(x) / 2 * np.log(np.var(logs if abs(g) < 1e-9 else (x ** g - 1) / g)) for g in grid[::50]]
     assert rows["boxcox"]["lambda"] == pytest.approx(grid[::50][int(np.argmax(like))], abs=0.02)
     assert sum(r.best for r in rows.values()) == 1
+
+
+def test_equal_thresholds_keep_their_probabilities(spark):
+    df = spark.createDataFrame([(1.0,)] * 8 + [(5.0,)] * 2, "v double")
+    got = sorted((r.prob, r.filter_type) for r in filters.threshold_sweep(df, "v").collect())
+    assert [p for p, _ in got] == [0.1, 0.1, 0.25, 0.25, 0.5, 0.5, 0.75, 0.75, 0.9, 0.9]
