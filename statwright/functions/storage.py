@@ -35,3 +35,11 @@ def materialise(df: DataFrame) -> DataFrame:
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(shared_folder(spark))
     return df.checkpoint()
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The same as a Parquet table in the shared folder: smaller than a
+    checkpoint, and later steps read only the columns they use."""
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
