@@ -13,8 +13,8 @@ from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
-from pyspark.ml.clustering import KMeans
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.clustering import KMeans, KMeansModel
+from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -343,20 +343,29 @@ class Clusters(NamedTuple):
     profile: DataFrame
 
 
-def clusters(df: DataFrame, features: Sequence[str], k: int = 4, elbow: Sequence[int] = range(1, 11), seed: int = 42) -> Clusters:
-    """Standardised k-means: cost for every k of the elbow, the rows with their
-    cluster, and size and feature means per cluster."""
-    data = _assembled(df, features, "_raw")
-    scaled = StandardScaler(inputCol="_raw", outputCol="features", withMean=True, withStd=True).fit(data).transform(data)
-    scaled = scaled.select(*df.columns, "features").persist()  # read once per k
+def clusters(df: DataFrame, features: Sequence[str], k: int = 4, elbow: Sequence[int] = range(1, 11), seed: int = 42,
+             starts: int = 10) -> Clusters:
+    """K-means on columns scaled by their population deviation: cost for every
+    k of the elbow, the rows with their cluster, and size and feature means per
+    cluster.  Of several starts the one with the least cost counts; a constant
+    column does not tell rows apart."""
+    rows = complete_rows(df, features)
+    seen = rows.agg(F.count(F.lit(1)).alias("n"), *[F.avg(number(c)).alias(f"m{i}") for i, c in enumerate(features)],
+                    *[F.stddev_pop(number(c)).alias(f"s{i}") for i, c in enumerate(features)]).first()
+    spread = [i for i in range(len(features)) if seen[f"s{i}"]]
+    scaled = rows.withColumns({f"_f{i}": (number(c) - F.lit(seen[f"m{i}"])) / F.lit(seen[f"s{i}"]) if i in spread else F.lit(0.0)
+                               for i, c in enumerate(features)})
+    scaled = VectorAssembler(inputCols=[f"_f{i}" for i in range(len(features))], outputCol="features").transform(scaled)
+    scaled = scaled.select(*df.columns, "features").persist()  # read once per k and start
+
+    def best(n: int) -> tuple[float, KMeansModel]:
+        fits = [KMeans(k=n, seed=seed + i, predictionCol="cluster").fit(scaled) for i in range(starts)]
+        return min(((float(m.summary.trainingCost), m) for m in fits), key=lambda x: x[0])
+
     try:
-        costs = []
-        for n in elbow:
-            if n == 1:  # the mean itself: every deviation is one by scaling
-                costs.append((1, float(scaled.count() - 1) * len(features)))
-            else:
-                costs.append((n, float(KMeans(k=n, seed=seed).fit(scaled).summary.trainingCost)))
-        model = KMeans(k=k, seed=seed, predictionCol="cluster").fit(scaled)
+        # One cluster lies at the mean: each column that varies adds its n squared deviations of one on average.
+        costs = [(n, float(seen["n"] * len(spread)) if n == 1 else best(n)[0]) for n in elbow]
+        model = best(k)[1]
     finally:
         scaled.unpersist()
     rows = model.transform(scaled).drop("features")

@@ -13,11 +13,6 @@ SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 STATUSES = ["F", "O", "P"]
 
 
-def sql_on(df, text, **tables):
-    """Run SQL text with the tables passed as parameters of the statement."""
-    return df.sparkSession.sql(text, **tables)
-
-
 # ---- joins ------------------------------------------------------------------
 
 @query("d01_inner_join", """
@@ -70,31 +65,25 @@ def _(t):
                       F.round(F.col("c_acctbal") / F.col("population") * 1000000, 4).alias("density"))
 
 
-D07 = """
-WITH areas AS (SELECT n_nationkey, CASE WHEN n_name IN ('NATION_1', 'NATION_2', 'NATION_3') THEN 'North'
-    WHEN n_name IN ('NATION_7', 'NATION_8') THEN 'South' ELSE 'Other' END AS area FROM {nation} GROUP BY n_nationkey, n_name)
-SELECT year(o.o_orderdate) AS yr, a.area, avg(o.o_totalprice) AS avg_price
-FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey JOIN areas a ON c.c_nationkey = a.n_nationkey
-WHERE o.o_totalprice IS NOT NULL AND a.area <> 'Other' GROUP BY year(o.o_orderdate), a.area ORDER BY yr, a.area"""
-
-
-@query("d07_cte_join_group", "SELECT CAST(yr AS INT) AS yr, area, round(avg_price, 4) AS avg_price FROM ("
-       + D07.format(nation="nation", orders="orders", customer="customer") + ")", digits=4)
+@query("d07_cte_join_group", """
+SELECT CAST(year(o_orderdate) AS INT) AS yr, CASE WHEN n_name IN ('NATION_7', 'NATION_8') THEN 'South' ELSE 'North' END AS area, round(avg(o_totalprice), 4) AS avg_price
+FROM orders, customer, nation WHERE o_custkey = c_custkey AND c_nationkey = n_nationkey
+  AND n_name IN ('NATION_1', 'NATION_2', 'NATION_3', 'NATION_7', 'NATION_8') GROUP BY ALL""", digits=4)
 def _(t):
-    return sql_on(t("nation"), D07, nation=t("nation"), orders=t("orders"), customer=t("customer"))
+    areas = {"NATION_1": "North", "NATION_2": "North", "NATION_3": "North", "NATION_7": "South", "NATION_8": "South"}
+    nations = cells.lookup_recode(t("nation").select("n_nationkey", "n_name"), "n_name", areas, "area").filter("area in ('North', 'South')")
+    buyers = t("customer").join(F.broadcast(nations), F.col("c_nationkey") == F.col("n_nationkey")).select("c_custkey", "area")
+    sold = t("orders").join(buyers, F.col("o_custkey") == F.col("c_custkey"))
+    return sold.groupBy(F.year("o_orderdate").alias("yr"), "area").agg(F.avg("o_totalprice").alias("avg_price"))
 
 
-D08 = """
-SELECT d.c_mktsegment, min(d.o_totalprice) AS low, avg(d.o_totalprice) AS mean, max(d.o_totalprice) AS high
-FROM (SELECT c.c_mktsegment, o.o_totalprice FROM {customer} c JOIN {orders} o ON c.c_custkey = o.o_custkey
-      WHERE c.c_mktsegment IS NOT NULL AND o.o_totalprice IS NOT NULL) AS d
-GROUP BY d.c_mktsegment ORDER BY mean"""
-
-
-@query("d08_derived_table", "SELECT c_mktsegment, low, round(mean, 4) AS mean, high FROM ("
-       + D08.format(customer="customer", orders="orders") + ")", digits=4)
+@query("d08_derived_table", """
+SELECT c_mktsegment, min(o_totalprice) AS low, round(sum(o_totalprice) / count(o_totalprice), 4) AS mean, max(o_totalprice) AS high
+FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_mktsegment IS NOT NULL GROUP BY c_mktsegment""", digits=4)
 def _(t):
-    return sql_on(t("orders"), D08, customer=t("customer"), orders=t("orders"))
+    segments = t("customer").filter("c_mktsegment is not null").select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment")
+    return t("orders").join(segments, "o_custkey").groupBy("c_mktsegment").agg(
+        F.min("o_totalprice").alias("low"), F.avg("o_totalprice").alias("mean"), F.max("o_totalprice").alias("high"))
 
 
 # ---- profiles ---------------------------------------------------------------
@@ -172,28 +161,26 @@ def _(t):
     return pivots.rounded_group_table(t("lineitem"), ["l_returnflag", "l_linestatus"], "l_extendedprice", "l_quantity")
 
 
-E08 = """
-SELECT o_orderpriority, count(*) AS base_count, round(avg(CAST(o_totalprice AS DOUBLE)), 2) AS avg_price,
-  round(max(CAST(o_totalprice AS DOUBLE)), 2) AS max_price, round(min(CAST(o_totalprice AS DOUBLE)), 2) AS min_price
-FROM (SELECT * FROM {orders} WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL)
-WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY o_orderpriority ORDER BY avg_price DESC"""
-
-
-@query("e08_group_query", E08.format(orders="orders"), digits=None)
+@query("e08_group_query", """
+SELECT o_orderpriority, count(o_totalprice) AS orders, round(sum(o_totalprice) / count(o_totalprice), 2) AS mean_price,
+  round(max(o_totalprice), 2) AS highest, round(min(o_totalprice), 2) AS lowest
+FROM orders WHERE o_orderpriority IS NOT NULL GROUP BY o_orderpriority HAVING count(o_totalprice) > 0""", digits=None)
 def _(t):
-    return sql_on(t("orders"), E08, orders=t("orders"))
+    price = F.col("o_totalprice").cast("double")
+    return t("orders").dropna(subset=["o_totalprice", "o_orderpriority"]).groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"), F.round(F.avg(price), 2).alias("mean_price"), F.round(F.max(price), 2).alias("highest"),
+        F.round(F.min(price), 2).alias("lowest")).orderBy(F.desc("mean_price"))
 
 
-E09 = """
-SELECT o_orderpriority, count(*) AS total_bases, count(CASE WHEN o_orderstatus = 'F' THEN 1 END) AS active_bases,
-  round(avg(o_totalprice), 2) AS avg_price, round(sum(o_totalprice), 2) AS total_price,
-  round(CAST(count(CASE WHEN o_orderstatus = 'F' THEN 1 END) * 100.0 AS DOUBLE) / count(*), 1) AS active_percentage
-FROM {orders} WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY o_orderpriority ORDER BY total_price DESC"""
-
-
-@query("e09_conditional_counts", E09.format(orders="orders"), digits=None)
+@query("e09_conditional_counts", """
+SELECT o_orderpriority, count(*) AS orders, count(*) FILTER (o_orderstatus = 'F') AS filled, round(avg(o_totalprice), 2) AS mean_price,
+  round(sum(o_totalprice), 2) AS turnover, round(100 * avg(CASE WHEN o_orderstatus = 'F' THEN 1.0 ELSE 0.0 END), 1) AS filled_share
+FROM orders WHERE o_totalprice IS NOT NULL AND o_orderpriority IS NOT NULL GROUP BY ALL""", digits=None)
 def _(t):
-    return sql_on(t("orders"), E09, orders=t("orders"))
+    filled = F.count_if(F.col("o_orderstatus") == "F")
+    return t("orders").dropna(subset=["o_totalprice", "o_orderpriority"]).groupBy("o_orderpriority").agg(
+        F.count(F.lit(1)).alias("orders"), filled.alias("filled"), F.round(F.avg("o_totalprice"), 2).alias("mean_price"),
+        F.round(F.sum("o_totalprice"), 2).alias("turnover"), F.round(filled * 100.0 / F.count(F.lit(1)), 1).alias("filled_share")).orderBy(F.desc("turnover"))
 
 
 @query("e10_distinct_and_extent", """
@@ -205,38 +192,36 @@ def _(t):
                            F.min(y).alias("first_year"), F.max(y).alias("last_year"))
 
 
-E11 = """
-SELECT round(corr(l_extendedprice, l_quantity), 3) AS c_quantity, round(corr(l_extendedprice, l_discount), 3) AS c_discount,
-  round(corr(l_extendedprice, l_tax), 3) AS c_tax, round(corr(l_extendedprice, l_linenumber), 3) AS c_line,
-  round(corr(l_extendedprice, l_suppkey), 3) AS c_supplier FROM {lineitem} WHERE l_extendedprice IS NOT NULL"""
-
-
-@query("e11_correlation_query", E11.format(lineitem="lineitem"), digits=None)
+@query("e11_correlation_query", """
+SELECT round(covar_pop(l_extendedprice, l_quantity) / (stddev_pop(l_extendedprice) * stddev_pop(l_quantity)), 3) AS with_quantity,
+  round(covar_pop(l_extendedprice, l_discount) / (stddev_pop(l_extendedprice) * stddev_pop(l_discount)), 3) AS with_discount,
+  round(covar_pop(l_extendedprice, l_tax) / (stddev_pop(l_extendedprice) * stddev_pop(l_tax)), 3) AS with_tax FROM lineitem""", digits=None)
 def _(t):
-    return sql_on(t("lineitem"), E11, lineitem=t("lineitem"))
+    return t("lineitem").agg(*[F.round(F.corr("l_extendedprice", f"l_{c}"), 3).alias(f"with_{c}") for c in ("quantity", "discount", "tax")])
 
 
-E12 = """
-SELECT l_suppkey, avg(l_extendedprice - l_quantity * 1000) AS gap, avg(l_extendedprice) AS avg_price, avg(l_quantity) AS avg_quantity
-FROM {lineitem} WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL GROUP BY l_suppkey ORDER BY gap DESC, l_suppkey LIMIT 10"""
-
-
-@query("e12_gap_top_10", "SELECT l_suppkey, round(gap, 4) AS gap, round(avg_price, 4) AS avg_price, round(avg_quantity, 4) AS avg_quantity FROM ("
-       + E12.format(lineitem="lineitem") + ")", digits=4)
+@query("e12_gap_top_10", """
+SELECT l_suppkey, round(avg(l_extendedprice) - 1000 * avg(l_quantity), 4) AS gap, round(avg(l_extendedprice), 4) AS mean_price,
+  round(avg(l_quantity), 4) AS mean_quantity
+FROM lineitem WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL GROUP BY l_suppkey
+QUALIFY row_number() OVER (ORDER BY avg(l_extendedprice) - 1000 * avg(l_quantity) DESC, l_suppkey) <= 10""", digits=4)
 def _(t):
-    return sql_on(t("lineitem"), E12, lineitem=t("lineitem"))
-
-
-E13 = """
-SELECT l_suppkey, avg(l_extendedprice) AS avg_price, avg(l_quantity) AS avg_quantity FROM {lineitem}
-WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL GROUP BY l_suppkey
-HAVING avg_quantity > 25 AND avg_price > 38000 ORDER BY avg_quantity DESC, l_suppkey LIMIT 10"""
+    lines = t("lineitem").dropna(subset=["l_extendedprice", "l_quantity"])
+    return lines.groupBy("l_suppkey").agg(
+        F.avg(F.col("l_extendedprice") - F.col("l_quantity") * 1000).alias("gap"), F.avg("l_extendedprice").alias("mean_price"),
+        F.avg("l_quantity").alias("mean_quantity")).orderBy(F.desc("gap"), "l_suppkey").limit(10)
 
 
-@query("e13_having_top_10", "SELECT l_suppkey, round(avg_price, 4) AS avg_price, round(avg_quantity, 4) AS avg_quantity FROM ("
-       + E13.format(lineitem="lineitem") + ")", digits=4)
+@query("e13_having_top_10", """
+SELECT l_suppkey, round(mean_price, 4) AS mean_price, round(mean_quantity, 4) AS mean_quantity FROM (
+  SELECT *, row_number() OVER (ORDER BY mean_quantity DESC, l_suppkey) AS place FROM (
+    SELECT l_suppkey, avg(l_extendedprice) AS mean_price, avg(l_quantity) AS mean_quantity FROM lineitem
+    WHERE l_extendedprice IS NOT NULL AND l_quantity IS NOT NULL GROUP BY l_suppkey) WHERE mean_quantity > 25 AND mean_price > 38000)
+WHERE place <= 10""", digits=4)
 def _(t):
-    return sql_on(t("lineitem"), E13, lineitem=t("lineitem"))
+    means = t("lineitem").dropna(subset=["l_extendedprice", "l_quantity"]).groupBy("l_suppkey").agg(
+        F.avg("l_extendedprice").alias("mean_price"), F.avg("l_quantity").alias("mean_quantity"))
+    return means.filter("mean_quantity > 25 and mean_price > 38000").orderBy(F.desc("mean_quantity"), "l_suppkey").limit(10)
 
 
 @query("e14_cost_by_city", """

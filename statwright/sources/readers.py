@@ -67,9 +67,9 @@ def read_dirty_csv(spark: SparkSession, path: str, schema: T.StructType, sep: st
         encoding = "ISO-8859-1"
     raw = load(encoding)
     names = [f.name for f in schema.fields]
-    # Spark refuses to scan for the malformed text alone: also ask for the cells
+    # Spark refuses to scan for the malformed text alone: also ask for the cells, whatever a caller selects later
     touched = F.length(F.concat_ws("", *[F.col(f"`{n}`").cast("string") for n in names])) >= 0
-    return DirtyCsv(raw.filter(F.col("_bad").isNull()).select(*names),
+    return DirtyCsv(raw.filter(F.col("_bad").isNull() & touched).select(*names),
                     raw.filter(F.col("_bad").isNotNull() & touched).select("_bad"), encoding)
 
 

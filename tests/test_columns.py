@@ -192,7 +192,7 @@ def test_dirty_csv(spark, tmp_path):
     out = readers.read_dirty_csv(spark, str(path), spark.createDataFrame([], "id int, name string").schema)
     assert out.encoding == "ISO-8859-1"
     assert sorted((r.id, r.name) for r in out.rows.collect()) == [(1, "Café"), (2, "b")]
-    assert out.malformed.count() == 1
+    assert out.malformed.count() == 1 and out.rows.count() == 2
 
 
 def test_power_transform_parameter(spark):

@@ -204,3 +204,11 @@ def test_quadratic_projection(spark):
     assert out[2010] == pytest.approx(2 + 5 - 10) and len(out) == 11
     line = {r.yr: r.projected for r in regression.project_linear(df.withColumn("v", F.col("yr") * 2.0), "k", "yr", "v").collect()}
     assert line == pytest.approx({y: 2.0 * y for y in range(2009, 2014)})
+
+
+def test_clusters_scale_by_the_population(spark):
+    rows = [(i, float(i % 5), 3.0) for i in range(10)]
+    out = regression.clusters(spark.createDataFrame(rows, "id int, x double, c double"), ["x", "c"], 2, elbow=[1, 5], starts=3)
+    cost = {r.k: r.cost for r in out.elbow.collect()}
+    assert cost[1] == 10.0 and abs(cost[5]) < 1e-9
+    assert out.rows.count() == 10
