@@ -21,12 +21,22 @@ histogram of set sizes.
 
 A list is not expanded into pairs.  Its least member is the centre, and each
 other member is compared with it (a *star*).  A member that is not linked with
-the centre is *far*.  A pair of members of which at least one is far is found
-in the space of differences from the centre: both differences must share an
-element, rare elements first, and position bounds leave few pairs, which are
-checked exactly.  (If neither is far, both hang on the centre already.)  So no
-link is lost, near copies of one text cost as many rows as there are copies,
-and the components of links come out exact.
+the centre is *far*.  Pairs of members of which at least one is far are looked
+for among the members of one centre.  (If neither is far, both hang on the
+centre already.)  So no link is lost, near copies of one text cost as many
+rows as there are copies, and the components of links come out exact.
+
+Most candidates only share a passage.  They are turned down by *parities*: bit
+b of a set tells whether an odd number of its elements end in b.  Each element
+in which two sets differ turns one bit, so sets with more unlike bits than
+elements in which they may differ are not linked.  This loses nothing, and
+takes about a fiftieth of the elements' bytes; the elements themselves travel
+only for pairs that pass.
+
+Members of one centre are compared in one task up to a bound.  Beyond it their
+pairs are found in the space of differences from the centre by Spark joins:
+both differences must share an element, rare elements first, and position
+bounds leave few pairs, which are checked exactly.
 
 Keys travel as sorted arrays (one per task and bucket), in which a piece of
 text sends each key of each set once.
@@ -43,7 +53,7 @@ from __future__ import annotations
 import functools
 import itertools
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -53,15 +63,18 @@ from pyspark.sql import functions as F
 
 from ..functions.ordered import join_same
 from ..functions.sizes import broadcast_if_small
-from ..functions.storage import materialise
+from ..functions.storage import written
 from . import words as W
 from .components import components
 
 CHECK = 4.0
 MOST_LIGHT = 24
 LARGEST_IDS = 4_000_000
-#: Differing elements of a list that one task may hold; larger lists are joined by Spark.
+#: Elements of a centre's members that one task may hold; larger groups are joined by Spark.
 GROUP_ELEMENTS = 2_000_000
+#: Members of a centre, and elements of them all, whose parities one task may compare; larger groups are joined by Spark as well.
+GROUP_MEMBERS = 8192
+GROUP_PARITIES = 100_000_000
 #: Marks, beside a set's size, that it has the larger of a subset key's two sizes.
 LARGER = 1 << 15
 
@@ -115,6 +128,28 @@ def name(s: np.ndarray) -> int:
     return int(W.mix(total).view(np.int64)[0])
 
 
+def parity(s: np.ndarray) -> np.ndarray:
+    """Parities of a set, at least one bit an element, as whole words."""
+    bits = 64 << (max(0, len(s) - 1) >> 6).bit_length()
+    odd = np.bincount((s & W.U(bits - 1)).view(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(W.U)
+
+
+def folded(p: np.ndarray, size: int) -> np.ndarray:
+    """Rows of parities cut to ``size`` words; what they count stays whole."""
+    while p.shape[-1] > size:
+        half = p.shape[-1] // 2
+        p = p[..., :half] ^ p[..., half:]
+    return p
+
+
+def may_link(p: np.ndarray, q: np.ndarray, n: int, m: np.ndarray, sim: Similarity) -> np.ndarray:
+    """Whether the parities let a set of n elements be linked with each of the others (rows of ``q``)."""
+    size = min(p.shape[-1], q.shape[-1])
+    apart = sim.apart(np.int64(n), m)
+    return (np.bitwise_count(folded(p, size) ^ folded(q, size)).sum(axis=-1, dtype=np.int64) <= apart) & (np.abs(n - m) <= apart)
+
+
 @functools.lru_cache(maxsize=128)
 def ranges(which: int, parts: int) -> tuple[np.ndarray, np.ndarray]:
     """(first hash of each further part, what tells the parts of a class apart)."""
@@ -170,12 +205,13 @@ def boundary(sizes: dict[int, int], sim: Similarity) -> int:
 
 
 def members(docs: DataFrame, n: int) -> DataFrame:
-    """(doc_id, set, n_shingles) of every document."""
+    """(doc_id, set, n_shingles, parity) of every document."""
     def make(batch: pa.RecordBatch) -> pa.RecordBatch:
         s = sets(batch.column("text"), n)
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([name(x) for x in s], pa.int64()),
-                                           pa.array([len(x) for x in s], pa.int64())], names=["doc_id", "set", "n_shingles"])
-    return W.map_texts(docs.select("doc_id", "text"), make, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, set long, n_shingles long")
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([name(x) for x in s], pa.int64()), pa.array([len(x) for x in s], pa.int64()),
+                                           pa.array([parity(x).tobytes() for x in s], pa.binary())], names=["doc_id", "set", "n_shingles", "parity"])
+    return W.map_texts(docs.select("doc_id", "text"), make,
+                       f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, set long, n_shingles long, parity binary")
 
 
 def stars(docs: DataFrame, n: int, sim: Similarity, light: int) -> DataFrame:
@@ -297,86 +333,118 @@ def compared(pairs: DataFrame, items: DataFrame, sim: Similarity) -> DataFrame:
         run, "centre long, member long, n_centre long, n_member long, far boolean, diff array<long>")
 
 
+def plausible(pairs: DataFrame, traits: DataFrame, sim: Similarity) -> DataFrame:
+    """The pairs (centre, member) whose parities let them be linked."""
+    both = pairs.join(traits.toDF("member", "m", "mine"), "member").join(traits.toDF("centre", "n", "theirs"), "centre")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n, m = (batch.column(c).to_numpy() for c in ("n", "m"))
+            p, q = (batch.column(c).to_pylist() for c in ("theirs", "mine"))
+            keep = [bool(may_link(np.frombuffer(a, W.U), np.frombuffer(b, W.U), x, y, sim)) for a, b, x, y in zip(p, q, n, m, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("centre"), batch.column("member")], names=["centre", "member"]).filter(pa.array(keep, pa.bool_()))
+    return both.select("centre", "member", "n", "m", "theirs", "mine").mapInArrow(run, "centre long, member long")
+
+
 def lists_of(column: pa.Array) -> list[np.ndarray]:
     flat, off = column.flatten().to_numpy(zero_copy_only=False), column.offsets.to_numpy()
     off = off - off[0]
     return [flat[a:b] for a, b in zip(off, off[1:], strict=False)]
 
 
-def beyond_centres(star: DataFrame, root: DataFrame, sim: Similarity, group_elements: int = GROUP_ELEMENTS) -> DataFrame:
+def beyond_centres(docs: DataFrame, n: int, member: DataFrame, traits: DataFrame, star: DataFrame, root: DataFrame, sim: Similarity,
+                   group_elements: int = GROUP_ELEMENTS) -> DataFrame:
     """(a, b): links between members of a list of which at least one is far
     from its centre, and that ``root`` has not joined yet."""
     placed = star.join(broadcast_if_small(root.withColumnRenamed("node", "member"), LARGEST_IDS), "member", "left").withColumn(
-        "root", F.coalesce("root", "member"))
-    groups = materialise(placed.groupBy("centre").agg(F.max("far").alias("some"), F.min("root").alias("one"), F.max("root").alias("other"),
-                                             (F.sum(F.size("diff")) > group_elements).alias("wide")).filter(
-        "some and one <> other").select("centre", "wide"))
+        "root", F.coalesce("root", "member")).join(traits.select(F.col("set").alias("member"), F.col("n").alias("n_member")), "member")
+    groups = written(placed.groupBy("centre").agg(F.max("far").alias("some"), F.min("root").alias("one"), F.max("root").alias("other"),
+                                                  F.count(F.lit(1)).alias("rows"), F.sum("n_member").alias("total")).filter("some and one <> other").select(
+        "centre", ((F.col("rows") > GROUP_MEMBERS) | (F.col("total") > GROUP_PARITIES)).alias("wide")))
     rows = placed.join(broadcast_if_small(groups, LARGEST_IDS), "centre")
-    small = rows.filter("not wide").select("centre", "member", "root", "far", "n_member", "diff")
-    parts = int(star.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    near = small.repartition(parts, "centre").sortWithinPartitions("centre", "member").mapInArrow(
-        functools.partial(_by_group, sim), "a long, b long")
-    if groups.filter("wide").isEmpty():
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    kept = ["centre", "member", "root", "far"]
+    close = rows.filter("not wide").select(*kept, "n_member").join(traits.select(F.col("set").alias("member"), "parity"), "member")
+    close = written(close.repartition(parts, "centre").sortWithinPartitions("centre", "member").mapInArrow(
+        functools.partial(_by_group, functools.partial(group_candidates, sim)), "centre long, member long, root long, far boolean, n_member long"))
+    full = close.groupBy("centre").agg((F.sum("n_member") > group_elements).alias("wide"))
+    close = close.join(full, "centre")
+    small = close.filter("not wide").select(*kept)
+    items = elements(docs, member, small.select(F.col("member").alias("set")).distinct(), n).withColumnRenamed("set", "member")
+    near = small.join(items, "member").repartition(parts, "centre").sortWithinPartitions("centre", "member").mapInArrow(
+        functools.partial(_by_group, functools.partial(group_links, sim)), "a long, b long")
+    wide = written(rows.filter("wide").select(*kept).unionByName(close.filter("wide").select(*kept)))
+    if wide.isEmpty():
         return near
-    return near.unionByName(_wide_groups(materialise(rows.filter("wide")), sim))
+    ends = wide.select(F.col("centre").alias("set")).union(wide.select("member")).distinct()
+    diff = compared(wide.select("centre", "member"), written(elements(docs, member, ends, n)), sim).drop("far")
+    return near.unionByName(_wide_groups(written(diff.join(wide, ["centre", "member"])), sim))
 
 
-def _by_group(sim: Similarity, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _by_group(make: Callable[[list[pa.RecordBatch]], pa.RecordBatch], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Groups of bounded size, one after the other."""
     held: list[pa.RecordBatch] = []
     for batch in batches:
         centre = batch.column("centre").to_numpy()
+        if not len(centre):
+            continue
         cuts = [0, *(np.flatnonzero(np.diff(centre)) + 1).tolist(), len(centre)]
         for a, z in zip(cuts, cuts[1:], strict=False):
             if held and held[0].column("centre")[0].as_py() != centre[a]:
-                yield group_links(held, sim)
+                yield make(held)
                 held = []
             held.append(batch.slice(a, z - a))
     if held:
-        yield group_links(held, sim)
-
-
-def group_links(held: list[pa.RecordBatch], sim: Similarity) -> pa.RecordBatch:
+        yield make(held)
+
+
+def unsettled(parities: list[np.ndarray], n: np.ndarray, root: np.ndarray, far: np.ndarray, sim: Similarity) -> Iterator[tuple[int, np.ndarray]]:
+    """(a far member, the members it may be linked with) where the roots differ and the first is far, each pair once."""
+    words = np.array([len(p) for p in parities])
+    levels = [(np.flatnonzero(words == size), np.stack([p for p in parities if len(p) == size])) for size in np.unique(words).tolist()]
+    for y in np.flatnonzero(far).tolist():
+        found = []
+        for at, q in levels:
+            use = np.flatnonzero((root[at] != root[y]) & (~far[at] | (at > y)) & (np.abs(n[at] - n[y]) <= sim.apart(n[y], n[at])))
+            found.append(at[use[may_link(parities[y], q[use], n[y], n[at[use]], sim)]])
+        x = np.concatenate(found) if found else np.zeros(0, np.int64)
+        if len(x):
+            yield y, x
+
+
+def group_candidates(sim: Similarity, held: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """The members of one centre that take part in a pair which the parities allow."""
+    t = pa.Table.from_batches(held).combine_chunks().to_batches()[0]
+    root, n, far = (t.column(c).to_numpy(zero_copy_only=False) for c in ("root", "n_member", "far"))
+    parities = [np.frombuffer(p, W.U) for p in t.column("parity").to_pylist()]
+    used = np.zeros(len(n), dtype=bool)
+    for y, x in unsettled(parities, n, root, far, sim):
+        used[y] = used[x] = True
+    return t.select(["centre", "member", "root", "far", "n_member"]).filter(pa.array(used))
+
+
+def group_links(sim: Similarity, held: list[pa.RecordBatch]) -> pa.RecordBatch:
     """Links that join different roots in one group of a centre."""
     t = pa.Table.from_batches(held).combine_chunks()
-    diffs = [x for c in t.column("diff").chunks for x in lists_of(c)]
-    member, root, n = (t.column(c).to_numpy() for c in ("member", "root", "n_member"))
-    far, size = t.column("far").to_numpy(), np.array([len(x) for x in diffs], dtype=np.int64)
-    owner = np.repeat(np.arange(len(diffs)), size)
-    _, e, often = np.unique(np.concatenate(diffs), return_inverse=True, return_counts=True)
-    order = np.lexsort((e, often[e], owner))
-    owner, e = owner[order], e[order]
-    at = W.span(np.zeros(len(size), np.int64), size)
-    both = sim.num + sim.den
-    use = often[e] > 1
-    ys = np.flatnonzero(use & far[owner] & (at <= (sim.den - sim.num) * n[owner] // sim.num))
-    xs = np.flatnonzero(use & (at * 2 * both <= size[owner] * 2 * sim.den + 2 * both))
-    ys, xs = ys[np.argsort(e[ys], kind="stable")], xs[np.argsort(e[xs], kind="stable")]
-    found = []
-    for el in np.intersect1d(e[ys], e[xs]).tolist():
-        y = ys[np.searchsorted(e[ys], el):np.searchsorted(e[ys], el, side="right")][:, None]
-        x = xs[np.searchsorted(e[xs], el):np.searchsorted(e[xs], el, side="right")][None, :]
-        oy, ox = owner[y], owner[x]
-        apart = at[x] + at[y] + np.abs((size[ox] - at[x]) - (size[oy] - at[y]))
-        ok = (apart <= sim.apart(n[ox], n[oy])) & (root[ox] != root[oy]) & (~far[ox] | (ox < oy))
-        i, j = np.nonzero(ok)
-        if len(i):
-            found.append(np.unique(oy[i, 0] * len(size) + ox[0, j]))
+    items = [x for c in t.column("items").chunks for x in lists_of(c)]
+    member, root, far = (t.column(c).to_numpy() for c in ("member", "root", "far"))
+    n = np.array([len(x) for x in items], dtype=np.int64)
     up: dict[int, int] = {}
 
     def top(r: int) -> int:
         while up.get(r, r) != r:
+            up[r] = up.get(up[r], up[r])
             r = up[r]
         return r
 
     a, b = [], []
-    for code in (np.unique(np.concatenate(found)).tolist() if found else []):
-        y, x = divmod(code, len(size))
-        ry, rx = top(int(root[y])), top(int(root[x]))
-        if ry != rx and len(np.setxor1d(diffs[y], diffs[x], assume_unique=True)) <= sim.apart(n[y], n[x]):
-            up[max(ry, rx)] = min(ry, rx)
-            a.append(int(member[y]))
-            b.append(int(member[x]))
+    for y, xs in unsettled([parity(x.view(W.U)) for x in items], n, root, far, sim):
+        for x in xs.tolist():
+            ry, rx = top(int(root[y])), top(int(root[x]))
+            if ry != rx and len(np.setxor1d(items[y], items[x], assume_unique=True)) <= sim.apart(n[y], n[x]):
+                up[max(ry, rx)] = min(ry, rx)
+                a.append(int(member[y]))
+                b.append(int(member[x]))
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
@@ -420,22 +488,26 @@ def ngram_components(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
     """(doc_id, n_shingles, component_id): the least doc_id that links reach."""
     sim = Similarity(*similarity)
     docs = docs.select("doc_id", "text")
-    member = materialise(members(docs, n))
+    member = written(members(docs, n))
     if light is None:
         sizes = member.filter(f"n_shingles > 0 and n_shingles <= {sim.most(MOST_LIGHT + 1)}").groupBy("n_shingles").agg(F.countDistinct("set").alias("k"))
         light = boundary({r.n_shingles: r.k for r in sizes.collect()}, sim)
-    listed = materialise(stars(docs, n, sim, light))
+    listed = written(stars(docs, n, sim, light))
     proven = listed.filter("proven").select(F.col("centre").alias("a"), F.col("member").alias("b"))
     open_pairs = listed.filter("not proven").select("centre", "member")
-    wanted = materialise(open_pairs.select(F.col("centre").alias("set")).union(open_pairs.select("member")).distinct())
-    items = materialise(elements(docs, member, wanted, n))
-    star = materialise(compared(open_pairs, items, sim))
-    near = star.filter("not far").select(F.col("centre").alias("a"), F.col("member").alias("b"))
-    root = materialise(components(proven.unionByName(near)))
-    more = materialise(beyond_centres(star, root, sim))
+    listed_sets = listed.select(F.col("centre").alias("set")).union(listed.select("member")).distinct()
+    traits = written(member.join(listed_sets, "set", "left_semi").groupBy("set").agg(F.first("n_shingles").alias("n"), F.first("parity").alias("parity")))
+    candidates = written(plausible(open_pairs, traits, sim))
+    wanted = candidates.select(F.col("centre").alias("set")).union(candidates.select("member")).distinct()
+    near = written(compared(candidates, elements(docs, member, wanted, n), sim).filter("not far").select("centre", "member").distinct())
+    root = written(components(proven.unionByName(near.toDF("a", "b"))))
+    # A pair that a subset key proves may also share a list with others, so it stays a member of the star.
+    star = listed.join(near.withColumn("near", F.lit(True)), ["centre", "member"], "left").select(
+        "centre", "member", (~F.col("proven") & F.col("near").isNull()).alias("far"))
+    more = written(beyond_centres(docs, n, member, traits, star, root, sim))
     if not more.isEmpty():
         root = components(root.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-    placed = member.join(broadcast_if_small(root.withColumnRenamed("node", "set"), LARGEST_IDS), "set", "left").withColumn(
+    placed = member.drop("parity").join(broadcast_if_small(root.withColumnRenamed("node", "set"), LARGEST_IDS), "set", "left").withColumn(
         "root", F.coalesce("root", "set"))
     full = placed.filter("n_shingles > 0").groupBy("root").agg(F.min("doc_id").alias("least"))
     out = placed.join(broadcast_if_small(full, LARGEST_IDS), "root", "left")
@@ -446,7 +518,7 @@ def deduplicate(docs: DataFrame, n: int = 5, similarity: tuple[int, int] = (4, 5
     """One document of each component, the one with the least doc_id.  Rows
     with the same doc_id are one document, of which one row stays; documents
     without words or without doc_id stay."""
-    found = materialise(ngram_components(docs, n, similarity).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
+    found = written(ngram_components(docs, n, similarity).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
     kept = join_same(docs, broadcast_if_small(found.select("doc_id"), LARGEST_IDS), ["doc_id"], "left_semi")
     if not found.filter("rows > 1").isEmpty():
         kept = kept.dropDuplicates(["doc_id"])
