@@ -244,6 +244,7 @@ def stars(docs: DataFrame, n: int, sim: Similarity, light: int) -> DataFrame:
         if not keys:
             return None
         key, own = np.concatenate(keys), np.concatenate(owner)
+        del keys, owner
         order = np.argsort(key, kind="stable")
         key, own = key[order], own[order]
         cut = np.searchsorted(key, np.array([(b << 64) // parts_out for b in range(1, parts_out)], dtype=W.U))
@@ -287,7 +288,7 @@ def stars(docs: DataFrame, n: int, sim: Similarity, light: int) -> DataFrame:
         if got:
             yield from out(got)
 
-    sent = W.map_texts(docs.select("text"), local, "bucket int, keys binary, places binary, sets binary, sizes binary", most=1 << 24)
+    sent = W.map_texts(docs.select("text"), local, "bucket int, keys binary, places binary, sets binary, sizes binary")
     listed = sent.repartition(parts_out, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "centre long, member long, proven boolean")
     return listed.groupBy("centre", "member").agg(F.max("proven").alias("proven"))
 
