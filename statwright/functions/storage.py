@@ -11,12 +11,15 @@ _test_folder: str | None = None
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; only where that is unset (a
-    laptop, a test) a folder of this machine."""
+    """Folder named by ``spark.checkpoint.dir``, else the context's checkpoint
+    folder.  Only a local session without either (a laptop, a test) takes a
+    folder of this machine; a cluster has to name one that it shares."""
     global _test_folder
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     if _test_folder is None:
         _test_folder = tempfile.mkdtemp(prefix="statwright-")
     return _test_folder

@@ -263,15 +263,29 @@ def _group_table(df: DataFrame, value: str, group: str) -> DataFrame:
             .agg(F.count(v).alias("n"), F.avg(v).alias("mean"), F.var_samp(v).alias("var")).filter("n > 0"))
 
 
-def two_group_t(df: DataFrame, value: str, group: str) -> DataFrame:
-    """Pooled-variance t test of the first two groups in name order."""
-    first = _group_table(df, value, group).orderBy(group).limit(2).collect()
-    if len(first) < 2:
+def _two_groups(df: DataFrame, value: str, group: str, groups: Sequence | None) -> DataFrame:
+    """Rows of the two named groups; without names there must be exactly two."""
+    if groups is not None:
+        if len(set(groups)) != 2:
+            raise ValueError("two groups are needed")
+        return df.filter(F.col(group).isin(list(groups)))
+    found = df.filter(F.col(group).isNotNull() & number(value).isNotNull()).select(group).distinct().limit(3).count()
+    if found != 2:
+        raise ValueError("at least two groups are needed" if found < 2 else "more than two groups: name the two to compare")
+    return df
+
+
+def two_group_t(df: DataFrame, value: str, group: str, groups: Sequence | None = None) -> DataFrame:
+    """Pooled-variance t test of the two groups, in name order; without spread there is no statistic."""
+    found = _group_table(_two_groups(df, value, group, groups), value, group).orderBy(group).collect()
+    if len(found) < 2:
         raise ValueError("at least two groups are needed")
-    a, b = first
+    a, b = found
     dof = a.n + b.n - 2
-    pooled = ((a.n - 1) * a["var"] + (b.n - 1) * b["var"]) / dof
-    t = (a["mean"] - b["mean"]) / math.sqrt(pooled * (1 / a.n + 1 / b.n))
+    spread = (a.n - 1) * (a["var"] or 0.0) + (b.n - 1) * (b["var"] or 0.0)
+    if not spread:
+        return _one(df, ("t-test", None, None, float(dof), None), RESULT)
+    t = (a["mean"] - b["mean"]) / math.sqrt(spread / dof * (1 / a.n + 1 / b.n))
     return _one(df, ("t-test", t, special.t_two_sided(t, dof), float(dof), None), RESULT)
 
 
@@ -315,6 +329,9 @@ def tukey(df: DataFrame, value: str, group: str, alpha: float = 0.05) -> DataFra
     rows = []
     for i, a in enumerate(groups):
         for b in groups[i + 1:]:
+            if not mse:
+                rows.append((str(a[0]), str(b[0]), b["mean"] - a["mean"], None, None, None))
+                continue
             q = abs(b["mean"] - a["mean"]) / math.sqrt(mse / 2 * (1 / a.n + 1 / b.n))
             p = special.studentized_range_sf(q, len(groups), dof)
             rows.append((str(a[0]), str(b[0]), b["mean"] - a["mean"], q, float(p), bool(p < alpha)))
@@ -339,25 +356,26 @@ def _exact_mann_whitney(u: float, n1: int, n2: int) -> float:
     counts[0] = 1.0  # coefficients of the Gaussian binomial
     for i in range(1, n1 + 1):
         up, down = n2 + i, i
-        for k in range(len(counts) - 1, up - 1, -1):
-            counts[k] -= counts[k - up]
-        for k in range(down, len(counts)):
-            counts[k] += counts[k - down]
+        counts[up:] = counts[up:] - counts[:-up]  # times 1 - x^up
+        whole = np.zeros(-(-len(counts) // down) * down)
+        whole[:len(counts)] = counts
+        counts = whole.reshape(-1, down).cumsum(axis=0).ravel()[:len(counts)]  # over 1 - x^down
     tail = counts[int(math.ceil(u)):].sum() / counts.sum()
     return float(min(1.0, 2 * tail))
 
 
-def mann_whitney(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:
-    """U of the first group in name order, two-sided, tie-corrected."""
-    present = df.filter(F.col(group).isNotNull() & number(value).isNotNull()).select(group).distinct()
-    names = [r[0] for r in present.orderBy(group).limit(2).collect()]
-    if len(names) < 2:
+def mann_whitney(df: DataFrame, value: str, group: str, groups: Sequence | None = None, exact: bool | None = None, **sizes) -> DataFrame:
+    """U of the first of two groups in name order, two-sided, tie-corrected.
+    The exact p-value is for values without ties whose smaller group has at
+    most 8, unless ``exact`` says which to use."""
+    sums, ties, n = _rank_sums(_two_groups(df, value, group, groups), value, group, **sizes)
+    found = sums.orderBy("g").collect()
+    if len(found) < 2:
         raise ValueError("at least two groups are needed")
-    sums, ties, n = _rank_sums(df.filter(F.col(group).isin(names)), value, group, **sizes)
-    a, b = sums.orderBy("g").collect()
+    a, b = found
     u1 = a.ranks - a.n * (a.n + 1) / 2
     u = max(u1, a.n * b.n - u1)
-    if ties == 0 and min(a.n, b.n) <= 8 and a.n * b.n <= 10_000:
+    if exact if exact is not None else ties == 0 and min(a.n, b.n) <= 8:
         p = _exact_mann_whitney(u, a.n, b.n)
     else:
         scale = math.sqrt(a.n * b.n / 12 * (n + 1 - ties / (n * (n - 1))))
@@ -370,6 +388,8 @@ def kruskal(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:
     s = sums.agg(F.count(F.lit(1)).alias("k"), F.sum(F.col("ranks") * F.col("ranks") / F.col("n")).alias("s")).first()
     if s.k < 2:
         raise ValueError("at least two groups are needed")
+    if ties / (n ** 3 - n) >= 1:  # one value only
+        return _one(df, ("Kruskal-Wallis H test", None, None, float(s.k - 1), None), RESULT)
     h = (12 / (n * (n + 1)) * s.s - 3 * (n + 1)) / (1 - ties / (n ** 3 - n))
     return _one(df, ("Kruskal-Wallis H test", h, special.chi2_sf(h, s.k - 1), float(s.k - 1), None), RESULT)
 
@@ -384,6 +404,9 @@ def dunn(df: DataFrame, value: str, group: str, alpha: float = 0.05, **sizes) ->
     for i, a in enumerate(groups):
         for b in groups[i + 1:]:
             gap = a.ranks / a.n - b.ranks / b.n
+            if base <= 0:
+                rows.append((str(a.g), str(b.g), gap, None, None, None))
+                continue
             z = abs(gap) / math.sqrt(base * (1 / a.n + 1 / b.n))
             p = min(1.0, 2 * special.norm_sf(z) * m)
             rows.append((str(a.g), str(b.g), gap, z, p, p < alpha))
@@ -407,7 +430,7 @@ def group_normality(df: DataFrame, value: str, group: str, alpha: float = 0.05)
     none = F.struct(F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("double").alias("p"))
     middle = s.filter((F.col("n") >= 8) & (F.col("n") < SHAPIRO_ROWS)).select("g")
     small = kept.join(middle, "g", "left_semi").groupBy("g").agg(F.collect_list("v").alias("v"))
-    return (result(s.filter("n < 8"), "skipped (too few samples)", none)
+    return (result(s.filter("n < 8"), "fewer than 8 values", none)
             .unionByName(result(s.filter(F.col("n") >= SHAPIRO_ROWS), "D'Agostino's K^2", k2("n", "skew", "kurt")))
             .unionByName(result(small, "Shapiro-Wilk", w("v"))))
 
@@ -438,6 +461,6 @@ def compare_groups(df: DataFrame, value: str, group: str, test: str = "auto", al
 def post_hoc(df: DataFrame, value: str, group: str, test: str, alpha: float = 0.05, **sizes) -> DataFrame:
     """Pairwise table after a significant ANOVA or Kruskal-Wallis, else empty."""
     overall = compare_groups(df, value, group, test, alpha, **sizes).first()
-    if overall.p_value >= alpha:
+    if overall.p_value is None or overall.p_value >= alpha:
         return df.sparkSession.createDataFrame([], PAIRWISE)
     return tukey(df, value, group, alpha) if test == "anova" else dunn(df, value, group, alpha, **sizes)

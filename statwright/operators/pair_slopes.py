@@ -102,7 +102,9 @@ def _slopes(xs: pd.Series, ys: pd.Series) -> pd.Series:
 def _distributed(rows: DataFrame, keys: list[str], block_rows: int | None) -> DataFrame:
     """The same halving for groups beyond a task.  The state, one interval per
     group and wanted rank, is a table that is written once per round."""
-    points = rows.select(*keys, "x", "y")
+    named = {k: f"_key{i}" for i, k in enumerate(keys)}  # the caller's names may be those used here
+    points = rows.select(*[F.col(f"`{k}`").alias(c) for k, c in named.items()], "x", "y")
+    keys = list(named.values())
     ties = points.groupBy(*keys, "x").agg(F.count(F.lit(1)).cast("double").alias("t"))
     fr = framed(ties, keys, ["x"], 1, 0, block_rows)
     gaps = fr.own(fr.df.withColumn("gap", F.col("x") - F.lag("x").over(fr.window)))
@@ -125,7 +127,8 @@ def _distributed(rows: DataFrame, keys: list[str], block_rows: int | None) -> Da
         state = materialise(trial.join(below, [*keys, "k"], "left").select(
             *keys, "k", F.when(over, F.col("lo")).otherwise(F.col("s")).alias("lo"),
             F.when(over, F.col("s")).otherwise(F.col("hi")).alias("hi")))
-    return state.groupBy(*keys).agg(F.avg(F.col("lo") + (F.col("hi") - F.col("lo")) / 2).alias("slope"))
+    return state.groupBy(*keys).agg(F.avg(F.col("lo") + (F.col("hi") - F.col("lo")) / 2).alias("slope")).withColumnsRenamed(
+        {c: k for k, c in named.items()})
 
 
 def _count_disorder(rows: DataFrame, keys: list[str], block_rows: int | None) -> DataFrame:

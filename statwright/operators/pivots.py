@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.cells import half_even
@@ -100,8 +100,8 @@ def path_counts(df: DataFrame, parent: str, child: str) -> DataFrame:
     """Counts of both levels of a hierarchy."""
     pairs = (df.filter(F.col(parent).isNotNull() & F.col(child).isNotNull())
                .groupBy(parent, child).agg(F.count(F.lit(1)).alias("count")))
-    total = F.sum("count").over(Window.partitionBy(parent))  # over aggregated pairs
-    return pairs.withColumn("parent_count", total)
+    totals = df.filter(F.col(parent).isNotNull() & F.col(child).isNotNull()).groupBy(parent).agg(F.count(F.lit(1)).alias("parent_count"))
+    return pairs.join(totals, parent)
 
 
 def pair_frequencies(df: DataFrame, a: str, b: str, ordered: bool = True) -> DataFrame:

@@ -104,11 +104,6 @@ def _(t):
          R("order_part", "l_partkey", "part", "p_partkey")], {"nation": ["n_nationkey"]})
 
 
-@query("b06_required_columns")
-def _(t):
-    return quality.missing_columns(t("orders"), ["o_orderkey", "o_totalprice", "o_clerk"])
-
-
 _MISS = "CAST(balance IS NULL AS INT) + CAST(segment IS NULL AS INT) + CAST(nation IS NULL AS INT)"
 
 

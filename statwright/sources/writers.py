@@ -16,12 +16,13 @@ def export(df: DataFrame, path: str, kind: str = "csv", mode: str = "overwrite")
 
 
 def keyed_append(table: DataFrame | None, rows: DataFrame, key: Sequence[str], strategy: str = "insert",
-                 clear_first: bool = False) -> DataFrame:
+                 clear_first: bool = False, order: str | None = None) -> DataFrame:
     """The table after INSERT, INSERT OR REPLACE or INSERT OR IGNORE of rows.
 
     Columns the table does not have are left out.  Of several new rows of one
     key, REPLACE keeps the greatest and IGNORE the smallest by the remaining
-    columns, as rows have no order.  INSERT raises on a key that exists twice.
+    columns, as rows have no order; with an ``order`` column of the new rows,
+    REPLACE keeps the last and IGNORE the first by it.  INSERT raises on a key that exists twice.
     """
     key = list(key)
     if not key:
@@ -38,7 +39,10 @@ def keyed_append(table: DataFrame | None, rows: DataFrame, key: Sequence[str], s
         return both
     rest = [c for c in new.columns if c not in key]
     pick = {"replace": F.max, "ignore": F.min}[strategy]
-    if rest:  # one row per key by a partial aggregate, so a repeated key is no burden
+    if order:
+        at = rows.groupBy(*key).agg((F.max_by if strategy == "replace" else F.min_by)(F.struct(F.lit(1).alias("_one"), *rest), order).alias("_r"))
+        new = at.select(*key, *[f"_r.{c}" for c in rest])
+    elif rest:  # one row per key by a partial aggregate, so a repeated key is no burden
         new = new.groupBy(*key).agg(pick(F.struct(*rest)).alias("_r")).select(*key, "_r.*")
     else:
         new = new.dropDuplicates()

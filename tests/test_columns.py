@@ -144,6 +144,9 @@ def test_keyed_append(spark):
     with pytest.raises(ValueError):
         writers.keyed_append(old, new, ["k"])
     assert pick(writers.keyed_append(old, new, ["k"], clear_first=True)) == [(2, "c"), (3, "d")]
+    loads = spark.createDataFrame([(2, "z", 1), (2, "c", 2), (4, None, 2), (4, "e", 1)], "k int, v string, load int")
+    assert pick(writers.keyed_append(old, loads, ["k"], "replace", order="load"))[1:] == [(2, "c"), (4, None)]
+    assert pick(writers.keyed_append(old, loads, ["k"], "ignore", order="load"))[1:] == [(2, "b"), (4, "e")]
 
 
 def test_table_replaced_by_rows_read_from_it(spark, tmp_path):

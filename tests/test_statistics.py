@@ -212,3 +212,33 @@ def test_clusters_scale_by_the_population(spark):
     cost = {r.k: r.cost for r in out.elbow.collect()}
     assert cost[1] == 10.0 and abs(cost[5]) < 1e-9
     assert out.rows.count() == 10
+
+
+def test_two_groups_are_named(spark):
+    df = spark.createDataFrame([(g, float(v)) for g, v in zip("aabbcc", (1, 2, 5, 7, 9, 12))], "g string, v double")
+    for test in (inference.two_group_t, inference.mann_whitney):
+        with pytest.raises(ValueError):
+            test(df, "v", "g")
+        assert test(df, "v", "g", ["b", "c"]).first() == test(df.filter("g <> 'a'"), "v", "g").first()
+
+
+def test_constant_values_have_no_statistic(spark):
+    df = spark.createDataFrame([(g, 2.0) for g in "aabbcc"], "g string, v double")
+    assert inference.two_group_t(df, "v", "g", ["a", "b"]).first().statistic is None
+    assert inference.kruskal(df, "v", "g").first().statistic is None
+    assert {r.statistic for r in inference.dunn(df, "v", "g").collect() + inference.tukey(df, "v", "g").collect()} == {None}
+
+
+def test_exact_ranks_of_unequal_groups():
+    from itertools import combinations
+    n1, n2 = 3, 6
+    us = [sum(c) - n1 * (n1 + 1) // 2 for c in combinations(range(1, n1 + n2 + 1), n1)]
+    for u in range(9, 19):
+        assert inference._exact_mann_whitney(u, n1, n2) == pytest.approx(min(1.0, 2 * sum(x >= u for x in us) / len(us)))
+
+
+def test_slopes_of_large_groups_with_any_key_name(spark, monkeypatch):
+    monkeypatch.setattr(pair_slopes, "ROUNDS", 1)  # each round is several Spark jobs
+    df = spark.createDataFrame([(7, float(x), y) for x, y in enumerate((0.0, 1.0, 5.0, 3.0))], "k int, x double, y double")
+    got = pair_slopes.median_pair_slopes(df, ["k"], group_rows=2)
+    assert got.columns == ["k", "slope"] and [r.k for r in got.collect()] == [7]
