@@ -313,6 +313,14 @@ def elements(docs: DataFrame, member: DataFrame, wanted: DataFrame, n: int) -> D
     return W.map_texts(wanted_ids, make, "set long, items array<long>").join(broadcast_if_small(wanted, LARGEST_IDS), "set", "left_semi")
 
 
+def linked(pairs: DataFrame, items: DataFrame, sim: Similarity) -> DataFrame:
+    """The pairs (centre, member) that are similar enough, row by row: no batch of many sets is held."""
+    both = pairs.join(items.withColumnsRenamed({"set": "member", "items": "mine"}), "member").join(
+        items.withColumnsRenamed({"set": "centre", "items": "theirs"}), "centre")
+    shared = F.size(F.array_intersect("theirs", "mine")).cast("long")
+    return both.filter(shared * (sim.num + sim.den) >= (F.size("theirs") + F.size("mine")).cast("long") * sim.num).select("centre", "member")
+
+
 def compared(pairs: DataFrame, items: DataFrame, sim: Similarity) -> DataFrame:
     """(centre, member, n_centre, n_member, far, diff): the elements in which the two differ."""
     both = pairs.join(items.withColumnsRenamed({"set": "member", "items": "mine"}), "member").join(
@@ -500,7 +508,7 @@ def ngram_components(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
     traits = written(member.join(listed_sets, "set", "left_semi").groupBy("set").agg(F.first("n_shingles").alias("n"), F.first("parity").alias("parity")))
     candidates = written(plausible(open_pairs, traits, sim))
     wanted = candidates.select(F.col("centre").alias("set")).union(candidates.select("member")).distinct()
-    near = written(compared(candidates, elements(docs, member, wanted, n), sim).filter("not far").select("centre", "member").distinct())
+    near = written(linked(candidates, written(elements(docs, member, wanted, n)), sim).distinct())
     root = written(components(proven.unionByName(near.toDF("a", "b"))))
     # A pair that a subset key proves may also share a list with others, so it stays a member of the star.
     star = listed.join(near.withColumn("near", F.lit(True)), ["centre", "member"], "left").select(
