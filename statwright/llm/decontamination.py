@@ -6,7 +6,7 @@ streamed through it word by word; the state and the matched length say the
 longest run of item words that ends at each word.  Runs of ``window`` words or
 more are hits, and so is a whole shorter item.  Words that are not part of any
 three-word run of an item can't lengthen a match to a hit, so the stream only
-walks over stretches of words where such runs follow each other.
+walks over stretches of words where such runs follow each other in one text.
 
 Items are taken in blocks of at most ``MAX_WORDS`` words with one automaton
 each, so the size of what is broadcast is bounded; more items mean more passes
@@ -175,10 +175,11 @@ def scan(docs: DataFrame, block: list[tuple[int, list[int]]], window: int) -> Da
             maybe = np.flatnonzero(table[(key & W.U((1 << GATE_BITS) - 1)).astype(np.int64)])
             place = np.minimum(np.searchsorted(runs, key[maybe]), len(runs) - 1)
             live = maybe[runs[place] == key[maybe]]
-            cut = np.flatnonzero(np.diff(live) != 1)
-            heads, tails = live[np.concatenate([[0], cut + 1])] if len(live) else live, live[np.concatenate([cut, [-1]])] if len(live) else live
+            holder = np.searchsorted(w.first, live, side="right") - 1
+            cut = np.flatnonzero((np.diff(live) != 1) | (np.diff(holder) != 0))
+            at = np.concatenate([[0], cut + 1]) if len(live) else cut
+            heads, tails, owner = live[at], live[np.concatenate([cut, [-1]])] if len(live) else live, holder[at]
             long = tails - heads + n >= machine.least
-            owner = np.searchsorted(w.first, heads, side="right") - 1
             marked: dict[int, np.ndarray] = {}
             for a, b, i in zip(heads[long].tolist(), (tails + n)[long].tolist(), owner[long].tolist(), strict=True):
                 start = int(w.first[i])

@@ -123,6 +123,17 @@ def test_decontamination_finds_every_window(spark, docs, none, max_words):
     assert decontamination.hits(docs, bench.limit(0)).filter("n_hit > 0").count() == 0
 
 
+def test_one_word_items_stay_inside_their_documents(spark):
+    rows = [(i, t) for i, t in enumerate(["x alpha beta", "gamma delta y", "alpha", "beta", "gamma", None, "alpha", "", "beta gamma delta", "gamma"])]
+    items = [(1, "gamma"), (2, "alpha beta gamma delta"), (3, "beta alpha")]
+    one = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = {r.doc_id: r for r in decontamination.hits(one, bench, 3).collect()}
+    assert {d: (r.n_words, r.n_hit, sorted(r["items"])) for d, r in found.items()} == hits(rows, items, 3)
+    apart = {r.doc_id: r for r in decontamination.hits(one.repartition(len(rows), "doc_id"), bench, 3).collect()}
+    assert apart == found and found[1].spans == [(0, 5)]
+
+
 def test_token_files_round_trip(spark, docs, none, tmp_path):
     from tokenizers import Tokenizer
     tok = Tokenizer.from_file(Q.tokenizer_path())
