@@ -249,6 +249,25 @@ def test_language_model(docs, none):
     assert backoff_lm.score(docs, empty, counts).filter("n_known > 0").count() == 0
 
 
+def test_every_bigram_seen_twice_is_learned_at_any_size(spark):
+    texts, many = ["x y", "x y", "once"], 5_000_000
+    df = spark.createDataFrame(list(enumerate([*texts, "z " * many])), "doc_id long, text string").repartition(2)
+    model, entries = backoff_lm.train(df)
+    c = {"x": 2, "y": 2, "once": 1, "z": many, "\0end": 4}
+    pair = {("\0begin", "x"): 2, ("x", "y"): 2, ("y", "\0end"): 2, ("z", "z"): many - 1}
+    # Seen once with two words seen twice: begin z and z end.
+    discount, size = 2 / (2 + 2 * 3), sum(c.values()) + len(c) + 1
+    assert (model.tokens, model.distinct) == (sum(c.values()), len(c))
+    got = {r.doc_id: r for r in backoff_lm.score(df.filter(F.length("text") < 9), model, entries).collect()}
+    for d, t in enumerate(texts):
+        w, want = [*t.split(), "\0end"], 0.0
+        for v, x in zip(["\0begin", *w], w, strict=False):
+            of = {**c, "\0begin": 4}[v]
+            held = sum((k - discount) / of for (h, _), k in pair.items() if h == v)
+            want += math.log10(((pair[v, x] - discount) / of if (v, x) in pair else 0) + (1 - held) * (c[x] + 1) / size)
+        assert math.isclose(got[d].score, want, rel_tol=1e-9) and got[d].n_known == len(w)
+
+
 def test_levenshtein_trie_matches_edit_distance():
     def edits(a, b):
         row = list(range(len(b) + 1))
