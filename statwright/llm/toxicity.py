@@ -2,7 +2,8 @@
 
 Labelled texts give the lexicon: words and word stems whose documents are
 nearly always toxic.  A stem stands for all words that begin with it, so it
-covers compounds that no label has shown.  The terms form a trie; its
+covers compounds that no label has shown; learned words stay beside it for
+their misspellings.  The terms form a trie; its
 intersection with the Levenshtein automata of its terms (one edit, for terms of
 five letters or more) is one machine whose states are sets of (trie node,
 edits).  Its transitions are made when a word first needs them and kept, so
@@ -109,8 +110,11 @@ def learn_terms(train: DataFrame, least: int = 4, precision: float = PRECISION)
     kept = {t for t in kept if not t.endswith("*") or bad[t] >= 1.25 * whole.get(t, 0)}
     stems = {t[:-1] for t in kept if t.endswith("*")}
 
+    # A stem covers the words that begin with it, but not their misspellings; words long enough to be misspelt stay beside it.
     def covered(t: str) -> bool:
         name = t.rstrip("*")
+        if name == t and len(name) >= FUZZY_FROM:
+            return False
         return any(name[:k] in stems and name[:k] + "*" != t for k in STEMS if k < len(name) or (k == len(name) and not t.endswith("*")))
     return {t: (bad[t], good.get(t, 0)) for t in kept if not covered(t)}
 

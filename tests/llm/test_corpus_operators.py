@@ -307,6 +307,17 @@ def test_toxicity_on_held_out_rows(spark, none):
     assert toxicity.score(df, lab.limit(0)).filter("predicted = 1").count() == 0
 
 
+def test_misspelt_words_of_a_stem_are_found(spark):
+    rows = [(i, f"alpha beta {('stupid', 'stupidity')[i // 6 % 2] if i % 6 == 0 else 'gamma'} delta") for i in range(240)]
+    labels = spark.createDataFrame([(i, int(i % 6 == 0)) for i, _ in rows], "doc_id long, toxic int")
+    rows += [(900, "alpha stpid beta"), (901, "alpha stupidness beta"), (902, "alpha sutpidness beta"), (903, "alpha stxpidity beta")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    terms = toxicity.learn_terms(toxicity.labelled(df, labels))
+    assert {"stup*", "stupid", "stupidity"} == set(terms)
+    out = {r.doc_id: (r.n_direct, r.n_misspelt) for r in toxicity.score(df, labels).collect()}
+    assert [out[i] for i in (0, 6, 900, 901, 902, 903)] == [(1, 0), (1, 0), (0, 1), (1, 0), (0, 0), (0, 1)]
+
+
 def test_url_rules(spark):
     urls = [None, "", "no scheme", "http://A.Example.com/en/1", "https://www.example.com/en/x?q=/fr/", "http://x.net/es/", "http://x.net/fr",
             "http://example.com", "ftp://notexample.com/en/", "http://com/", "http://b.net/fr/9#top", "http://spam.org/buy/3"]
