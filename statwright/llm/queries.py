@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.storage import scratch_path
-from . import (backoff_lm, decontamination, licences, mixing, ngram_jaccard, pseudonyms, quality, token_codes,
-               toxicity, url_rules)
+from . import (backoff_lm, conversations, decontamination, licences, mixing, ngram_jaccard, pseudonyms, quality,
+               substring_dedup, token_codes, toxicity, url_rules, whitening)
 from .oracles import SQL  # noqa: F401
 
 TOKENIZER = "word_bpe_49k.json"
@@ -102,6 +102,27 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return out.select("doc_id", F.expr(fold).alias("held_out"), "score", "predicted")
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults and cheapest repairs of all conversations after the planned damage."""
+    out = conversations.repair(conversations.damaged(table(spark, folder, "conversations")), "copies")
+    return out.report.select("conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit", "repaired_sha256")
+
+
+def op12_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of all documents without those in sequences of 35 words found twice."""
+    out = substring_dedup.remove_repeats(table(spark, folder, "documents").select("doc_id", "text"), keep_text=False)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_embedding_whitening(spark: SparkSession, folder: str) -> DataFrame:
+    """The first four whitened coordinates of all embeddings, one row each."""
+    out = whitening.whiten(table(spark, folder, "embeddings").select("vec_id", "embedding"))
+    each = F.posexplode(F.arrays_zip("whitened", "explained")).alias("place", "x")
+    return out.select("vec_id", "n", "deviation", "identity_error", each).select(
+        "vec_id", (F.col("place") + 1).alias("component"), "n", F.col("deviation").try_cast("long").alias("deviation"), "x.whitened", "x.explained", "identity_error")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_ngram_jaccard, op2_decontamination, op3_url_rules, op4_token_codes, op5_licences,
-                            op6_pseudonyms, op7_backoff_lm, op8_toxicity, op9_mixing, op10_quality)}
+                            op6_pseudonyms, op7_backoff_lm, op8_toxicity, op9_mixing, op10_quality, op11_conversation_repair,
+                            op12_substring_dedup, op13_embedding_whitening)}

@@ -237,7 +237,10 @@ def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array]],
 def shielded(docs: DataFrame, used: tuple[str, ...]) -> tuple[DataFrame, list[Column]]:
     """Rename the columns an operator does not use, so that none clashes with
     its own; the second value selects the documents' columns again."""
-    names = {c: f"_own_{i}" for i, c in enumerate(docs.columns) if c not in used}
+    prefix = "_own_"
+    while any(c.startswith(prefix) for c in docs.columns):
+        prefix += "_"
+    names = {c: f"{prefix}{i}" for i, c in enumerate(docs.columns) if c not in used}
     return docs.withColumnsRenamed(names), [F.col(f"`{names.get(c, c)}`").alias(c) for c in docs.columns]
 
 
