@@ -1,24 +1,33 @@
-"""Exact, linearly interpolated quantiles.
-
-Spark's ``percentile`` keeps every distinct value of a group in one task.  It
-is used while the largest group is small (``EXACT_ROWS``).  Beyond that, a
-bounded sketch per group gives cut points just below and just above every
-wanted quantile; counting rows between the cut points tells which narrow
-slice holds the wanted ranks, and only these slices are sorted.  The sketch
-only decides how narrow the slices are: the result is exact either way.
+"""Exact, linearly interpolated quantiles in bounded memory.
+
+Spark's ``percentile`` keeps every distinct value of a group in a map that is
+merged in one task.  It is used only while the largest group has at most
+``SMALL_GROUP`` rows.  Beyond that the wanted ranks are narrowed:
+
+1. One aggregate takes a bounded sketch of every column and group.  The values
+   it names a little below and above each wanted rank are a *slice*, which
+   holds the rank however the sketch erred.
+2. One aggregate counts, by plain comparisons, the rows below each slice and up to it.
+   Should a slice miss its rank, it is widened and counted again.
+3. The rows inside the slices, a few in ten thousand, are counted by value and
+   ordered, split into blocks where a slice is still large; the wanted ranks are read off.
+
+Groups smaller than the sketch is accurate are one slice.  The sketch decides
+how much is ordered, never the result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import BLOCK_ROWS, join_same, largest_group, value_counts_ranked
+from .ordered import BLOCK_ROWS, join_same, largest_group, running_sum
+from .storage import written
 
-EXACT_ROWS = 2_000_000
-SKETCH_ACCURACY = 10_000
+SMALL_GROUP = 10_000
+SKETCH_ACCURACY = 2_000
 
 
 def number(column: str):
@@ -36,9 +45,9 @@ def long_form(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ()) -
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
-              keys: Sequence[str] = (), exact_rows: int = EXACT_ROWS,
+              keys: Sequence[str] = (), exact_rows: int = SMALL_GROUP,
               block_rows: int = BLOCK_ROWS) -> DataFrame:
-    """keys, variable, prob, value."""
+    """keys, variable, prob, value.  Groups of up to ``exact_rows`` rows may be merged in one task."""
     top, _ = largest_group(df, keys)
     if top <= exact_rows:
         wide = df.groupBy(*keys).agg(*[
@@ -49,36 +58,81 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                      F.col(f"_q{i}")[j].alias("value"))
             for i, c in enumerate(columns) for j, p in enumerate(probs)]))
         return wide.select(*keys, cells.alias("q")).select(*keys, "q.*")
-    return _narrowed(long_form(df, columns, keys), probs, [*keys, "variable"], block_rows)
-
-
-def _narrowed(rows: DataFrame, probs: Sequence[float], keys: list[str],
-              block_rows: int) -> DataFrame:
-    margin = 2.0 / SKETCH_ACCURACY
-    around = sorted({min(1.0, max(0.0, p + s)) for p in probs for s in (-margin, margin)})
-    cuts = rows.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.percentile_approx("value", around, SKETCH_ACCURACY).alias("_cuts"))
-    below = F.size(F.filter("_cuts", lambda cut: cut < F.col("value")))
-    placed = join_same(rows, cuts.drop("_n"), keys).select(*keys, "value", below.alias("_slice"))
-    # rows per slice, then the ranks that end before each slice
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    slices = placed.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
-    slices = slices.withColumn("_start", F.coalesce(F.sum("_rows").over(before), F.lit(0)))
-    spot = F.col("prob") * (F.col("_n") - 1)
-    wanted = (cuts.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
-                  .withColumn("_ranks", F.array_distinct(F.array(F.floor(spot), F.ceil(spot))))
-                  .select(*keys, "_n", "prob", F.explode("_ranks").alias("_rank")))
-    inside = (F.col("_rank") >= F.col("_start")) & (F.col("_rank") < F.col("_start") + F.col("_rows"))
-    targets = join_same(wanted, slices, keys, extra=inside).drop("_rows")
-    narrow = join_same(placed, targets.select(*keys, "_slice"), [*keys, "_slice"], "left_semi")
-    ranked = value_counts_ranked(narrow, [*keys, "_slice"], "value", block_rows)
-    local = F.col("_rank") - F.col("_start")
-    found = (join_same(ranked, targets, [*keys, "_slice"])
-             .filter((local < F.col("upto")) & (local >= F.col("upto") - F.col("n"))))
-    share = F.max(spot) - F.min("_rank")
-    low, high = F.min_by("value", "_rank"), F.max_by("value", "_rank")
-    return found.groupBy(*keys, "prob").agg((low + (high - low) * share).alias("value"))
+    return _narrowed(df, columns, [float(p) for p in probs], list(keys), block_rows)
+
+
+def _slices(rows: DataFrame, count: int, probs: list[float], keys: list[str], accuracy: int) -> DataFrame:
+    """keys, and per column its size ``_n`` and arrays ``_lo``, ``_hi`` with a slice per probability.  ``accuracy`` says how
+    many rows in that many a sketch may be wrong by one; a margin of three errors on both sides leaves no doubt."""
+    margin = 3.0 / accuracy
+    asked = [min(1.0, max(0.0, p + s)) for s in (-margin, margin) for p in probs]
+    sketch = rows.groupBy(*keys).agg(*[x for i in range(count) for x in (
+        F.count(f"_v{i}").alias(f"_n{i}"), F.percentile_approx(f"_v{i}", asked, accuracy).alias(f"_q{i}"))])
+    ends = {}
+    for i in range(count):
+        whole = F.col(f"_n{i}") <= 2 * accuracy
+        for name, at, all_of in (("_lo", 1, float("-inf")), ("_hi", len(probs) + 1, float("inf"))):
+            ends[f"{name}{i}"] = F.when(whole, F.array_repeat(F.lit(all_of), len(probs))).otherwise(F.slice(f"_q{i}", at, len(probs)))
+    return sketch.withColumns(ends).drop(*[f"_q{i}" for i in range(count)])
+
+
+def _settled(table: DataFrame, keys: list[str]) -> DataFrame:
+    """A small table that later steps read again: written where its size follows the groups, else its few rows themselves."""
+    return written(table) if keys else table.sparkSession.createDataFrame(table.collect(), table.schema)
+
+
+def _with_slices(rows: DataFrame, slices: DataFrame, keys: list[str], count: int) -> DataFrame:
+    """The rows next to the slices of their group; without keys the slices are plain numbers."""
+    if keys:
+        return join_same(rows, slices, keys)
+    row = slices.first()
+    return rows.withColumns({f"{name}{i}": F.array(*[F.lit(x) for x in row[f"{name}{i}"] or ()]).cast("array<double>")
+                             for name in ("_lo", "_hi") for i in range(count)})
+
+
+def _counted(both: DataFrame, count: int, probs: list[float], keys: list[str]) -> DataFrame:
+    """keys, and per column and probability the rows below its slice and up to its end."""
+    sizes = [F.count(f"_v{i}").alias(f"_n{i}") for i in range(count)]
+    return both.groupBy(*keys).agg(*sizes, *[x for i in range(count) for j in range(len(probs)) for x in (
+        F.count_if(F.col(f"_v{i}") < F.get(f"_lo{i}", j)).alias(f"_b{i}_{j}"),
+        F.count_if(F.col(f"_v{i}") <= F.get(f"_hi{i}", j)).alias(f"_u{i}_{j}"))])
+
+
+def _narrowed(df: DataFrame, columns: Sequence[str], probs: list[float], keys: list[str], block_rows: int) -> DataFrame:
+    count, places = len(columns), range(len(probs))
+    rows = df.select(*keys, *[number(c).alias(f"_v{i}") for i, c in enumerate(columns)])
+    accuracy = SKETCH_ACCURACY
+    while True:
+        slices = _settled(_slices(rows, count, probs, keys, accuracy), keys)
+        both = _with_slices(rows, slices, keys, count)
+        counts = _counted(both, count, probs, keys)
+        found = F.array(*[F.struct(
+            F.lit(i).alias("_column"), F.lit(j).alias("_place"), F.col(f"_n{i}").alias("_n"), F.col(f"_b{i}_{j}").alias("_below"), F.col(f"_u{i}_{j}").alias("_upto"))
+            for i in range(count) for j in places])
+        spot = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_place") + 1) * (F.col("_n") - 1)
+        ranks = _settled(counts.select(*keys, F.explode(found).alias("x")).select(*keys, "x.*").filter("_n > 0").withColumn("_spot", spot), keys)
+        check = ranks.agg(F.bool_or((F.col("_below") > F.floor("_spot")) | (F.col("_upto") <= F.ceil("_spot"))).alias("missed"),
+                          F.max(F.col("_upto") - F.col("_below")).alias("most")).first()
+        if not check.missed:
+            break
+        accuracy = max(1, accuracy // 4)  # wider slices; below 2 * accuracy rows a group is one slice
+    inside = F.explode(F.filter(F.array(*[F.struct(F.lit(i).alias("_column"), F.lit(j).alias("_place"), F.when(
+        F.col(f"_v{i}").between(F.get(f"_lo{i}", j), F.get(f"_hi{i}", j)), F.col(f"_v{i}")).alias("value")) for i in range(count) for j in places]),
+        lambda x: x["value"].isNotNull()))
+    group = [*keys, "_column", "_place"]
+    values = both.select(*keys, inside.alias("x")).select(*keys, "x.*").groupBy(*group, "value").agg(F.count(F.lit(1)).alias("_rows"))
+    ordered = running_sum(values, group, ["value"], {"_to": "_rows"}, None if (check.most or 0) <= block_rows else block_rows)
+    placed = join_same(ordered, ranks, group)
+    first, last = F.col("_below") + F.col("_to") - F.col("_rows"), F.col("_below") + F.col("_to")
+    holds = [(first <= at(F.col("_spot"))) & (at(F.col("_spot")) < last) for at in (F.floor, F.ceil)]
+    low, high = (F.max(F.when(h, F.col("value"))) for h in holds)
+    share = F.max(F.col("_spot") - F.floor("_spot"))
+    named = [F.element_at(F.array(*[F.lit(x) for x in all_of]), F.col(c) + 1) for all_of, c in ((list(columns), "_column"), (probs, "_place"))]
+    got = placed.groupBy(*group).agg((low + (high - low) * share).alias("value")).select(*keys, "_column", "_place", "value")
+    # columns and groups without a value have a row as well
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("_column"), F.lit(j).alias("_place")) for i in range(count) for j in places]))
+    every = slices.select(*keys, cells.alias("x")).select(*keys, "x.*")
+    return join_same(every, got, group, "left").select(*keys, named[0].alias("variable"), named[1].alias("prob"), "value")
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 
 from ..functions import special
 from ..functions.normal import normal_cdf
-from ..functions.ordered import value_counts_ranked
-from ..functions.quantiles import number, quantile_table, quantiles
+from ..functions.ordered import join_same, value_counts_ranked
+from ..functions.quantiles import long_form, number, quantile_table, quantiles
 from ..functions.sizes import broadcast_if_small
+from ..functions.storage import materialise
+from .normality import group_tests, upper_tail
 from .profile import summary
 
-SHAPIRO_ROWS = 5000
-
 
 def _one(df: DataFrame, row: tuple, schema: str) -> DataFrame:
     return df.sparkSession.createDataFrame([row], schema)
@@ -117,27 +117,15 @@ def repeated_samples(df: DataFrame, row_id: str, column: str, runs: int, sample_
 
 # ---- distributions ----------------------------------------------------------
 
-def _normality(df: DataFrame, column: str, alpha: float) -> tuple:
-    s = summary(df, [column], ["count", "skew_pop", "kurt_pop"]).first()
-    n = s["count"]
-    if n < 3:
-        return column, None, None, None, None
-    if n < SHAPIRO_ROWS:  # counted above
-        values = [r[0] for r in df.select(number(column).alias("v")).filter("v IS NOT NULL").collect()]
-        name, (stat, p) = "Shapiro-Wilk", special.shapiro_wilk(np.array(values))
-    else:
-        if s.skew_pop is None:
-            return column, "D'Agostino's K^2", None, None, None
-        name, (stat, p) = "D'Agostino's K^2", special.dagostino_k2(n, s.skew_pop, s.kurt_pop)
-    return column, name, float(stat), float(p), bool(p > alpha)
-
-
-TEST_SCHEMA = "variable string, test string, statistic double, p_value double, fits boolean"
-
-
-def normality(df: DataFrame, columns: Sequence[str], alpha: float = 0.05) -> DataFrame:
-    """Shapiro-Wilk under 5000 values, D'Agostino's K squared from there on."""
-    return df.sparkSession.createDataFrame([_normality(df, c, alpha) for c in columns], TEST_SCHEMA)
+def normality(df: DataFrame, columns: Sequence[str], alpha: float = 0.05, test: str = "shapiro", **sizes) -> DataFrame:
+    """variable, test, statistic, p_value, fits: one row per column, of whole columns of any size; see
+    ``normality.group_tests`` for the tests.  Columns without values have none."""
+    named = {f"_{i}": c for i, c in enumerate(columns)}
+    rows = long_form(df.select(*[number(c).alias(k) for k, c in named.items()]), list(named))
+    found = group_tests(rows, ["variable"], "value", test, **sizes)
+    names = F.create_map(*[F.lit(x) for pair in named.items() for x in pair])
+    known = found.select(F.element_at(names, F.col("variable")).alias("variable"), "test", "statistic", "p_value", (F.col("p_value") > alpha).alias("fits"))
+    return join_same(df.sparkSession.createDataFrame([(c,) for c in columns], "variable string"), known, ["variable"], "left")
 
 
 def _cdf(name: str, v: Column, p: dict[str, float]) -> Column:
@@ -146,9 +134,17 @@ def _cdf(name: str, v: Column, p: dict[str, float]) -> Column:
     if name == "expon":
         return F.when(v <= 0, F.lit(0.0)).otherwise(1 - F.exp(-v / F.lit(p["scale"])))
     if name == "norm":
-        return normal_cdf((v - F.lit(p["loc"])) / F.lit(p["scale"]))
-    return F.when(v <= 0, F.lit(0.0)).otherwise(
-        normal_cdf((F.ln(F.greatest(v, F.lit(1e-300))) - F.lit(p["loc"])) / F.lit(p["scale"])))
+        return normal_cdf(F.col("z"))
+    return F.when(v <= 0, F.lit(0.0)).otherwise(normal_cdf(F.col("z")))
+
+
+def _standard(name: str, v: Column, p: dict[str, float]) -> Column:
+    """The value (or its logarithm) less the mean, over the spread, for the normal forms."""
+    if name == "norm":
+        return F.try_divide(v - F.lit(p["loc"]), F.lit(p["scale"]))
+    if name == "lognorm":
+        return F.try_divide(F.ln(F.when(v > 0, v)) - F.lit(p["loc"]), F.lit(p["scale"]))
+    return F.lit(None).cast("double")
 
 
 def _parameters(df: DataFrame, column: str, name: str) -> dict[str, float]:
@@ -173,7 +169,7 @@ def _ks(df: DataFrame, column: str, name: str, **sizes) -> tuple[float, float, i
     n = df.agg(F.count(number(column))).first()[0]
     f = F.col("f")
     below, at = (F.col("upto") - F.col("n")) / F.lit(float(n)), F.col("upto") / F.lit(float(n))
-    d = (ranked.withColumn("f", _cdf(name, F.col("v"), p))
+    d = (ranked.withColumn("z", _standard(name, F.col("v"), p)).withColumn("f", _cdf(name, F.col("v"), p))
          .agg(F.max(F.greatest(at - f, f - below))).first()[0])
     return float(d), special.kolmogorov_sf(d, n), n, p
 
@@ -201,8 +197,9 @@ def _anderson(df: DataFrame, column: str, name: str, alpha: float, **sizes) -> t
         log_f, log_rest = F.ln(F.greatest(low, F.lit(1e-300))), -F.col("v") / F.lit(s["mean"])
         critical = [c / (1 + 0.6 / n) for c in ANDERSON_EXPONENTIAL]
     else:
-        z = (F.col("v") - F.lit(s["mean"])) / F.lit(s["std"])
-        ranked = ranked.withColumns({"lo": normal_cdf(z), "hi": normal_cdf(-z)})
+        z = F.col("z")
+        ranked = (ranked.withColumn("z", (F.col("v") - F.lit(s["mean"])) / F.lit(s["std"]))
+                  .withColumns({"lo": normal_cdf(z), "hi": normal_cdf(-z)}))
         log_f, log_rest = F.ln(F.greatest("lo", F.lit(1e-300))), F.ln(F.greatest("hi", F.lit(1e-300)))
         critical = [c / (1 + 4 / n - 25 / n / n) for c in ANDERSON_NORMAL]
     # equal values share their ranks: sums of 2i-1 and 2n+1-2i over the run
@@ -222,14 +219,14 @@ def anderson_darling(df: DataFrame, column: str, distribution: str = "norm", alp
 
 
 def distribution_fits(df: DataFrame, column: str, alpha: float = 0.05,
-                      names: Sequence[str] = ("norm", "uniform", "expon", "lognorm"), **sizes) -> DataFrame:
+                      names: Sequence[str] = ("norm", "uniform", "expon", "lognorm"), normal_test: str = "shapiro", **sizes) -> DataFrame:
     """One row per candidate; ``best`` has the highest p-value, or the lowest
-    statistic where no candidate has one."""
+    statistic where no candidate has one.  ``normal_test`` is the test of the normal candidate."""
     rows = []
     for name in names:
         if name == "norm":
-            _, test, stat, p, fits = _normality(df, column, alpha)
-            rows.append((name, test, stat, p, None, fits))
+            r = normality(df, [column], alpha, normal_test, **sizes).first()
+            rows.append((name, r.test, r.statistic, r.p_value, None, r.fits))
         elif name in ("uniform", "expon"):
             d, p, _, _ = _ks(df, column, name, **sizes)
             rows.append((name, "Kolmogorov-Smirnov", d, p, None, p > alpha))
@@ -321,21 +318,25 @@ def levene(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:
 PAIRWISE = "group1 string, group2 string, difference double, statistic double, p_value double, reject boolean"
 
 
+def _pairs(groups: DataFrame, name: str, *columns: str) -> DataFrame:
+    """Every pair of groups once, in name order: a table of pairs is the result, so this join makes no more than that."""
+    groups = materialise(groups.select(name, *columns))
+    a = groups.select(F.col(name).alias("_a"), *[F.col(c).alias(f"{c}_a") for c in columns])
+    b = groups.select(F.col(name).alias("_b"), *[F.col(c).alias(f"{c}_b") for c in columns])
+    return a.join(b, F.col("_a") < F.col("_b")).withColumns({"group1": F.col("_a").cast("string"), "group2": F.col("_b").cast("string")})
+
+
 def tukey(df: DataFrame, value: str, group: str, alpha: float = 0.05) -> DataFrame:
-    """All pairs of groups against the studentised range: a table of pairs for
-    people to read, so the groups are few."""
-    groups = _group_table(df, value, group).orderBy(group).collect()
-    _, _, _, dof, mse = _f_test(df, value, group)
-    rows = []
-    for i, a in enumerate(groups):
-        for b in groups[i + 1:]:
-            if not mse:
-                rows.append((str(a[0]), str(b[0]), b["mean"] - a["mean"], None, None, None))
-                continue
-            q = abs(b["mean"] - a["mean"]) / math.sqrt(mse / 2 * (1 / a.n + 1 / b.n))
-            p = special.studentized_range_sf(q, len(groups), dof)
-            rows.append((str(a[0]), str(b[0]), b["mean"] - a["mean"], q, float(p), bool(p < alpha)))
-    return df.sparkSession.createDataFrame(rows, PAIRWISE)
+    """All pairs of groups against the studentised range."""
+    _, _, k, dof, mse = _f_test(df, value, group)
+    q = F.abs("difference") / F.sqrt(F.lit(mse / 2) * (1 / F.col("n_a") + 1 / F.col("n_b"))) if mse else F.lit(None).cast("double")
+    pairs = _pairs(_group_table(df, value, group), group, "n", "mean").withColumn("difference", F.col("mean_b") - F.col("mean_a")).withColumn("statistic", q)
+
+    def tails(q: pd.Series) -> pd.Series:
+        return q.map(lambda x: None if pd.isna(x) else float(special.studentized_range_sf(x, k + 1, dof))).astype(float)
+    p = F.pandas_udf(tails, "double")(F.col("statistic"))
+    return pairs.withColumn("p_value", p if mse else F.lit(None).cast("double")).select(
+        "group1", "group2", "difference", "statistic", "p_value", (F.col("p_value") < alpha).alias("reject"))
 
 
 def _rank_sums(df: DataFrame, value: str, group: str, **sizes) -> tuple[DataFrame, float, int]:
@@ -397,58 +398,33 @@ def kruskal(df: DataFrame, value: str, group: str, **sizes) -> DataFrame:
 def dunn(df: DataFrame, value: str, group: str, alpha: float = 0.05, **sizes) -> DataFrame:
     """Pairwise z of mean ranks, tie-corrected, Bonferroni-adjusted."""
     sums, ties, n = _rank_sums(df, value, group, **sizes)
-    groups = sums.orderBy("g").collect()  # a table of pairs for people to read
-    base = n * (n + 1) / 12 - ties / (12 * (n - 1))
-    m = len(groups) * (len(groups) - 1) // 2
-    rows = []
-    for i, a in enumerate(groups):
-        for b in groups[i + 1:]:
-            gap = a.ranks / a.n - b.ranks / b.n
-            if base <= 0:
-                rows.append((str(a.g), str(b.g), gap, None, None, None))
-                continue
-            z = abs(gap) / math.sqrt(base * (1 / a.n + 1 / b.n))
-            p = min(1.0, 2 * special.norm_sf(z) * m)
-            rows.append((str(a.g), str(b.g), gap, z, p, p < alpha))
-    return df.sparkSession.createDataFrame(rows, PAIRWISE)
-
-
-def group_normality(df: DataFrame, value: str, group: str, alpha: float = 0.05) -> DataFrame:
-    """Per group: skipped below 8 values, Shapiro-Wilk under 5000 (a task gets
-    one such group), K squared beyond (from the moments alone)."""
+    base = n * (n + 1) / 12 - ties / (12 * (n - 1)) if n > 1 else 0.0
+    means = materialise(sums.select("g", "n", (F.col("ranks") / F.col("n")).alias("mean")))
+    k = means.count()
+    z = F.abs("difference") / F.sqrt(F.lit(float(base)) * (1 / F.col("n_a") + 1 / F.col("n_b"))) if base > 0 else F.lit(None).cast("double")
+    pairs = _pairs(means, "g", "n", "mean").withColumn("difference", F.col("mean_a") - F.col("mean_b")).withColumn("statistic", z)
+    p = F.least(F.lit(1.0), 2 * upper_tail(F.col("statistic")) * F.lit(k * (k - 1) / 2))
+    return pairs.withColumn("p_value", F.when(F.col("statistic").isNotNull(), p)).select(
+        "group1", "group2", "difference", "statistic", "p_value", (F.col("p_value") < alpha).alias("reject"))
+
+
+def group_normality(df: DataFrame, value: str, group: str, alpha: float = 0.05, test: str = "shapiro", **sizes) -> DataFrame:
+    """group, test, statistic, p_value, normal; groups below 8 values are not tested."""
     kept = df.filter(F.col(group).isNotNull()).select(F.col(group).alias("g"), number(value).alias("v")).filter("v IS NOT NULL")
-    s = kept.groupBy("g").agg(F.count("v").alias("n"), F.skewness("v").alias("skew"), F.kurtosis("v").alias("kurt"))
-    label = F.col("g").cast("string").alias("group")
-
-    def result(df: DataFrame, test: str, r: Column) -> DataFrame:
-        return df.withColumn("_r", r).select(label, F.lit(test).alias("test"), F.col("_r.statistic").alias("statistic"),
-                                             F.col("_r.p").alias("p_value"), (F.col("_r.p") > alpha).alias("normal"))
-
-    pair = "statistic double, p double"
-    k2 = F.pandas_udf(_k2_rows, pair)
-    w = F.pandas_udf(_shapiro_rows, pair)
-    none = F.struct(F.lit(None).cast("double").alias("statistic"), F.lit(None).cast("double").alias("p"))
-    middle = s.filter((F.col("n") >= 8) & (F.col("n") < SHAPIRO_ROWS)).select("g")
-    small = kept.join(middle, "g", "left_semi").groupBy("g").agg(F.collect_list("v").alias("v"))
-    return (result(s.filter("n < 8"), "fewer than 8 values", none)
-            .unionByName(result(s.filter(F.col("n") >= SHAPIRO_ROWS), "D'Agostino's K^2", k2("n", "skew", "kurt")))
-            .unionByName(result(small, "Shapiro-Wilk", w("v"))))
-
-
-def _k2_rows(n: pd.Series, skew: pd.Series, kurt: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([special.dagostino_k2(*r) for r in zip(n, skew, kurt)], columns=["statistic", "p"])
-
-
-def _shapiro_rows(values: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([special.shapiro_wilk(v) for v in values], columns=["statistic", "p"])
+    found = group_tests(kept, ["g"], "v", test, **sizes)
+    enough = F.col("n") >= 8
+    return found.select(
+        F.col("g").cast("string").alias("group"), F.when(enough, F.col("test")).otherwise("fewer than 8 values").alias("test"),
+        F.when(enough, F.col("statistic")).alias("statistic"), F.when(enough, F.col("p_value")).alias("p_value"),
+        F.when(enough, F.col("p_value") > alpha).alias("normal"))
 
 
 def compare_groups(df: DataFrame, value: str, group: str, test: str = "auto", alpha: float = 0.05,
-                   **sizes) -> DataFrame:
-    """The named test, or the one that normality and the number of groups ask
-    for; a two-group t test always pools the variance."""
+                   normal_test: str = "shapiro", **sizes) -> DataFrame:
+    """The named test, or the one that normality (by ``normal_test``) and the
+    number of groups ask for; a two-group t test always pools the variance."""
     if test == "auto":
-        checks = group_normality(df, value, group, alpha).agg(
+        checks = group_normality(df, value, group, alpha, normal_test, **sizes).agg(
             F.count(F.lit(1)).alias("k"), F.bool_and(F.coalesce("normal", F.lit(False))).alias("normal")).first()
         normal, two = checks.normal, checks.k == 2
         test = ("ttest" if normal else "mannwhitney") if two else ("anova" if normal else "kruskal")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions.cells import corrected_kurtosis, corrected_skew, sturges_bins
 from ..functions.normal import normal_quantile
 from ..functions.ordered import join_same, largest_group, positions, value_counts_ranked
-from ..functions.quantiles import (EXACT_ROWS, number, quantile_columns,
+from ..functions.quantiles import (SMALL_GROUP, number, quantile_columns,
                                    quantile_table)
 
 QUARTILES = {"q25": 0.25, "q50": 0.5, "q75": 0.75}
@@ -31,7 +31,7 @@ def _moments(c: str) -> dict:
 
 def summary(df: DataFrame, columns: Sequence[str], wanted: Sequence[str],
             probs: dict[str, float] | None = None, keys: Sequence[str] = (),
-            exact_rows: int = EXACT_ROWS) -> DataFrame:
+            exact_rows: int = SMALL_GROUP) -> DataFrame:
     """keys, variable, wanted moments and named quantiles.
 
     Everything comes from one aggregate while the groups are small enough for
@@ -217,7 +217,8 @@ def qq_points(df: DataFrame, column: str, distribution: str = "norm", **sizes) -
     p = (F.when(i == 1, 1 - 0.5 ** (1 / n)).when(i == n, 0.5 ** (1 / n))
           .otherwise((i - 0.3175) / (n + 0.365)))
     if distribution == "norm":
-        theory = normal_quantile(p)
+        placed = placed.withColumn("_p", p)
+        theory = normal_quantile(F.col("_p"))
     elif distribution == "uniform":
         theory = p
     elif distribution == "expon":

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import components, correlation, inference, outliers
+from . import normal_sql as NS
 from . import workflows
 from .registry import query
 
@@ -228,12 +229,34 @@ def _(t):
     return both.agg(F.count_if(F.col("side") == 1).alias("train"), F.count_if(F.col("side") == 0).alias("test"))
 
 
-@query("f21_normality")
+def _shapiro(rows):
+    return f"""SELECT variable, 'Shapiro-Wilk' AS test, round(statistic, 6) AS statistic, round(p_value, 6) AS p_value, p_value > 0.05 AS fits FROM {NS.shapiro(rows)}"""
+
+
+_EVENT_ROWS = " UNION ALL ".join(f"SELECT '{c}' AS variable, {c}::DOUBLE AS v FROM events" for c in EVENT)
+
+
+@query("f21_normality", _shapiro(_EVENT_ROWS))
 def _(t):
     return inference.normality(t("events"), EVENT)
 
 
-@query("f21_normality_small")
+@query("f21_dagostino", """
+SELECT variable, 'D''Agostino''s K^2' AS test, round(k2, 6) AS statistic, round(exp(-k2 / 2), 6) AS p_value, exp(-k2 / 2) > 0.05 AS fits FROM (
+  SELECT variable, z1 * z1 + z2 * z2 AS k2 FROM (
+    SELECT variable, asinh(skew * sqrt((n + 1) * (n + 3) / (6 * (n - 2))) / sqrt(2 / (w - 1))) / sqrt(0.5 * ln(w)) AS z1,
+      (1 - 2 / (9 * a) - sign(below) * cbrt(abs((1 - 2 / a) / below))) / sqrt(2 / (9 * a)) AS z2 FROM (
+      SELECT *, 1 + (kurt + 3 - 3 * (n - 1) / (n + 1)) / sqrt(24 * n * (n - 2) * (n - 3) / ((n + 1) * (n + 1) * (n + 3) * (n + 5))) * sqrt(2 / (a - 4)) AS below FROM (
+        SELECT *, 6 + 8 / root * (2 / root + sqrt(1 + 4 / (root * root))) AS a FROM (
+          SELECT *, -1 + sqrt(2 * (3 * (n * n + 27 * n - 70) * (n + 1) * (n + 3) / ((n - 2) * (n + 5) * (n + 7) * (n + 9)) - 1)) AS w,
+            6 * (n * n - 5 * n + 2) / ((n + 7) * (n + 9)) * sqrt(6 * (n + 3) * (n + 5) / (n * (n - 2) * (n - 3))) AS root FROM (
+            SELECT variable, any_value(n) AS n, avg(pow(x, 3)) / pow(avg(x * x), 1.5) AS skew, avg(pow(x, 4)) / pow(avg(x * x), 2) - 3 AS kurt FROM (
+              SELECT variable, v - avg(v) OVER (PARTITION BY variable) AS x, count(*) OVER (PARTITION BY variable)::DOUBLE AS n FROM (""" + _EVENT_ROWS + """)) GROUP BY variable)))))) """)
+def _(t):
+    return inference.normality(t("events"), EVENT, test="dagostino")
+
+
+@query("f21_normality_small", _shapiro("SELECT 's_acctbal' AS variable, s_acctbal::DOUBLE AS v FROM supplier"))
 def _(t):
     return inference.normality(t("supplier"), ["s_acctbal"])
 
@@ -254,11 +277,24 @@ def _(t):
     return inference.kolmogorov_smirnov(t("events"), "value", "expon").select("statistic")
 
 
-@query("f22_ks_normal")
+_KS_NORMAL = """
+WITH r AS (SELECT {v} AS v, count(*) AS c FROM events WHERE value > {least} GROUP BY v),
+s AS (SELECT *, sum(c) OVER (ORDER BY v) AS upto, (SELECT count(value) FROM events)::DOUBLE AS n, (v - (SELECT avg({v}) FROM events WHERE value > {least})) / (SELECT stddev_pop({v}) FROM events WHERE value > {least}) AS z FROM r),
+d AS (SELECT max(greatest(upto / n - f, f - (upto - c) / n)) AS d, any_value(n) AS n FROM (SELECT *, {cdf} AS f FROM s))
+SELECT '{name}' AS distribution, 'Kolmogorov-Smirnov' AS test, round(d, 6) AS statistic, round({tail}, 6) AS p_value, {tail} > 0.05 AS fits,
+  round((SELECT avg({v}) FROM events WHERE value > {least}), 6) AS loc, round((SELECT stddev_pop({v}) FROM events WHERE value > {least}), 6) AS scale FROM d"""
+
+
+@query("f22_ks_normal", _KS_NORMAL.format(name="norm", v="value", least="-1e300", cdf=NS.cdf("z"), tail=NS.kolmogorov_tail("d", "n")))
 def _(t):
     return inference.kolmogorov_smirnov(t("events"), "value", "norm")
 
 
+@query("f22_ks_lognormal", _KS_NORMAL.format(name="lognorm", v="ln(value)", least="0", cdf=NS.cdf("z"), tail=NS.kolmogorov_tail("d", "n")))
+def _(t):
+    return inference.kolmogorov_smirnov(t("events"), "value", "lognorm")
+
+
 @query("f23_anderson_exponential", """
 SELECT round(-n - total / n, 5) AS statistic FROM (SELECT any_value(n) AS n, sum((2 * i - 1) * (ln(1 - exp(-value / m)) - up / m)) AS total FROM (
   SELECT value, row_number() OVER (ORDER BY value) AS i, count(*) OVER () AS n, avg(value) OVER () AS m,
@@ -269,12 +305,34 @@ def _(t):
     return inference.anderson_darling(t("events"), "value", "expon").select("statistic")
 
 
-@query("f23_anderson_normal")
+_ANDERSON = """(SELECT -n - total / n AS statistic, 0.787 / (1 + 4 / n - 25 / n / n) AS critical FROM (
+  SELECT any_value(n) AS n, sum((2 * i - 1) * ln(greatest(lo, 1e-300)) + (2 * (n - i) + 1) * ln(greatest(hi, 1e-300))) AS total FROM (
+    SELECT i, n, {lo} AS lo, {hi} AS hi FROM (
+      SELECT row_number() OVER (ORDER BY v) AS i, count(*) OVER ()::DOUBLE AS n, (v - avg(v) OVER ()) / stddev_samp(v) OVER () AS z FROM (SELECT {v} AS v FROM events WHERE value > {least}))))
+)""".format(lo=NS.cdf("z"), hi=NS.tail("z"), v="{v}", least="{least}")
+
+
+@query("f23_anderson_normal", f"""
+SELECT 'norm' AS distribution, 'Anderson-Darling' AS test, round(statistic, 5) AS statistic, round(critical, 5) AS critical, 0.05::DOUBLE AS level, statistic < critical AS fits
+FROM {_ANDERSON.format(v='value', least='-1e300')}""", digits=5)
 def _(t):
     return inference.anderson_darling(t("events"), "value", "norm")
 
 
-@query("f24_distribution_fits")
+_KS_PLAIN = f"""
+SELECT '{{name}}' AS distribution, 'Kolmogorov-Smirnov' AS test, d AS statistic, {NS.kolmogorov_tail("d", "n")} AS p_value, NULL::DOUBLE AS critical, {NS.kolmogorov_tail("d", "n")} > 0.05 AS fits FROM (
+  SELECT max(greatest(upto / n - f, f - (upto - c) / n)) AS d, any_value(n) AS n FROM (SELECT *, {{f}} AS f FROM (
+    SELECT value, c, sum(c) OVER (ORDER BY value) AS upto, sum(c) OVER ()::DOUBLE AS n, (SELECT min(value) FROM events) AS lo, (SELECT max(value) FROM events) AS hi,
+      (SELECT avg(value) FROM events) AS mean FROM (SELECT value, count(*) AS c FROM events GROUP BY value))))"""
+
+
+@query("f24_distribution_fits", f"""
+SELECT 'value' AS variable, distribution, test, round(statistic, 5) AS statistic, round(p_value, 5) AS p_value, round(critical, 5) AS critical, fits,
+  coalesce(p_value = max(p_value) OVER (), false) AND row_number() OVER (PARTITION BY p_value ORDER BY place) = 1 AS best FROM (
+  SELECT 1 AS place, 'norm' AS distribution, 'Shapiro-Wilk' AS test, statistic, p_value, NULL::DOUBLE AS critical, p_value > 0.05 AS fits FROM {NS.shapiro("SELECT 'value' AS variable, value::DOUBLE AS v FROM events")}
+  UNION ALL SELECT 2, * FROM ({_KS_PLAIN.format(name="uniform", f="(value - lo) / (hi - lo)")})
+  UNION ALL SELECT 3, * FROM ({_KS_PLAIN.format(name="expon", f="1 - exp(-value / mean)")})
+  UNION ALL SELECT 4, 'lognorm', 'Anderson-Darling', statistic, NULL, critical, statistic < critical FROM {_ANDERSON.format(v='ln(value)', least='0')})""", digits=5)
 def _(t):
     return inference.analyse_distributions(t("events"), ["value"])
 
@@ -313,6 +371,15 @@ def _(t):
     return inference.tukey(t("events"), "value", "event_type")
 
 
+@query("f26_tukey_ranges", """
+WITH g AS (SELECT event_type AS g, count(value) AS n, avg(value) AS m, var_samp(value) AS v FROM events GROUP BY event_type)
+SELECT a.g AS group1, b.g AS group2, round(b.m - a.m, 6) AS difference,
+  round(abs(b.m - a.m) / sqrt((SELECT sum((n - 1) * v) / (sum(n) - count(*)) FROM g) / 2 * (1.0 / a.n + 1.0 / b.n)), 6) AS statistic
+FROM g a JOIN g b ON a.g < b.g""")
+def _(t):
+    return inference.tukey(t("events"), "value", "event_type").select("group1", "group2", "difference", "statistic")
+
+
 _RANKED = "(SELECT g, value, rank() OVER (ORDER BY value) + (count(*) OVER (PARTITION BY value) - 1) / 2 AS r FROM {src})"
 
 
@@ -333,12 +400,28 @@ def _(t):
     return inference.kruskal(t("events"), "value", "event_type").select("statistic")
 
 
-@query("f28_dunn")
+_DUNN = f"""
+WITH g AS (SELECT g, CAST(count(*) AS DOUBLE) AS n, sum(r) / count(*) AS m FROM {_RANKED.format(src=_ALL)} GROUP BY g),
+base AS (SELECT n * (n + 1) / 12 - ties / (12 * (n - 1)) AS base FROM (SELECT sum(n) AS n FROM g), (SELECT sum(pow(c, 3) - c) AS ties FROM (SELECT CAST(count(*) AS DOUBLE) AS c FROM events GROUP BY value))),
+z AS (SELECT a.g AS group1, b.g AS group2, a.m - b.m AS difference, abs(a.m - b.m) / sqrt(base * (1 / a.n + 1 / b.n)) AS z, (SELECT count(*) * (count(*) - 1) / 2 FROM g) AS pairs FROM g a JOIN g b ON a.g < b.g, base)
+SELECT group1, group2, round(difference, 6) AS difference, round(z, 6) AS statistic, round(least(1.0, 2 * {NS.tail('z')} * pairs), 6) AS p_value, least(1.0, 2 * {NS.tail('z')} * pairs) < 0.05 AS reject FROM z"""
+
+
+@query("f28_dunn", _DUNN)
 def _(t):
     return inference.dunn(t("events"), "value", "event_type")
 
 
-@query("f29_automatic_test")
+_NORMAL_GROUPS = f"(SELECT bool_and(p_value > 0.05) FROM {NS.shapiro('SELECT event_type AS variable, value::DOUBLE AS v FROM events')})"
+_CHI4 = "exp(-h / 2) * list_sum(list_transform(range(0, k // 2), lambda j: pow(h / 2, j) / gamma(j + 1)))"
+
+
+@query("f29_automatic_test", f"""
+SELECT CASE WHEN {_NORMAL_GROUPS} THEN 'One-way ANOVA' ELSE 'Kruskal-Wallis H test' END AS test, round(h, 6) AS statistic,
+  round({_CHI4}, 6) AS p_value, k::DOUBLE AS df1, NULL::DOUBLE AS df2 FROM (
+  SELECT k - 1 AS k, (12.0 / (n * (n + 1)) * s - 3 * (n + 1)) / (1 - ties / (pow(n, 3) - n)) AS h FROM
+    (SELECT count(*) AS k, sum(n) AS n, sum(r * r / n) AS s FROM (SELECT g, CAST(count(*) AS DOUBLE) AS n, sum(r) AS r FROM {_RANKED.format(src=_ALL)} GROUP BY g)),
+    (SELECT sum(pow(c, 3) - c) AS ties FROM (SELECT CAST(count(*) AS DOUBLE) AS c FROM events GROUP BY value)))""")
 def _(t):
     return inference.compare_groups(t("events"), "value", "event_type")
 
@@ -381,9 +464,9 @@ def _(t):
     return correlation.correlation_pairs(t("customer"), ["c_acctbal", "c_nationkey"], "kendall")
 
 
-@query("f31_high_pairs", f"SELECT var1, var2, round(r, 6) AS r FROM ({_PEARSON}) WHERE abs(r) >= 0.3")
+@query("f31_high_pairs", f"SELECT var1, var2, round(r, 6) AS r FROM ({_PEARSON}) WHERE abs(r) >= 0.001")
 def _(t):
-    return correlation.high_pairs(correlation.correlation_pairs(t("lineitem"), CORR), 0.3)
+    return correlation.high_pairs(correlation.correlation_pairs(t("lineitem"), CORR), 0.001)
 
 
 @query("f32_correlation_edges", f"SELECT var1 AS source, var2 AS target, round(abs(r), 6) AS weight, CASE WHEN r >= 0 THEN 'positive' ELSE 'negative' END AS sign FROM ({_PEARSON}) WHERE abs(r) >= 0.001")
@@ -416,6 +499,6 @@ def _(t):
     return correlation.variance_inflation(t("lineitem"), CORR)
 
 
-@query("f35_correlation_report")
+@query("f35_correlation_report", f"SELECT var1, var2, round(r, 6) AS r FROM ({_PEARSON}) WHERE abs(r) >= 0.001")
 def _(t):
-    return workflows.correlation_report(t("lineitem"), CORR, threshold=0.3).high
+    return workflows.correlation_report(t("lineitem"), CORR, threshold=0.001).high

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import cells
 from ..functions.quantiles import quantile_table
 from ..operators import joins, pivots, profile
+from . import normal_sql as NS
 from .registry import query
 
 SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
@@ -434,7 +435,9 @@ def _(t):
     return profile.ecdf(t("events"), "value")
 
 
-@query("e31_qq_normal")
+@query("e31_qq_normal", f"""
+SELECT value AS ordered, round({NS.quantile('p')}, 6) AS theoretical FROM (SELECT value, CASE i WHEN 1 THEN 1 - pow(0.5, 1.0 / n) WHEN n THEN pow(0.5, 1.0 / n) ELSE (i - 0.3175) / (n + 0.365) END AS p
+FROM (SELECT value, row_number() OVER (ORDER BY value) AS i, count(*) OVER () AS n FROM events))""")
 def _(t):
     return profile.qq_points(t("events"), "value", "norm")
 
