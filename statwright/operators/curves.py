@@ -515,14 +515,15 @@ def nearest_sum(a: DataFrame, b: DataFrame, key: str, block_rows: int | None = B
         key, F.coalesce("_sum", F.lit(float("inf"))).alias("distance_sum"))
 
 
-QUERY_POINTS = 10_000
+#: Points of the query curve that travel together.
+QUERY_BLOCK = 1024
 
 
 def best_matches(query: DataFrame, points: DataFrame, key: str, k: int = 3, samples: int | None = 200,
                  block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """The k curves nearest to the query curve: both normalised and resampled
-    (``samples`` None: not), summed over the query's points.  The query is one
-    curve; its points travel inside the plan, so their number is checked."""
+    (``samples`` None: not), summed over the query's points.  Every curve is
+    asked about every point of the query, which meets the curves in blocks."""
     probe = normalise(query.select(F.lit(0).alias("_q"), "seq", "x", "y"), "_q")
     others = normalise(points, key)
     if samples is not None:
@@ -531,11 +532,10 @@ def best_matches(query: DataFrame, points: DataFrame, key: str, k: int = 3, samp
         size = probe.count()
         same = others.groupBy(F.col(key).alias("_key")).count().filter(F.col("count") == size)
         others = others.join(same, F.col(key) == F.col("_key"), "left_semi")
-    wanted = probe.select("seq", "x", "y").limit(QUERY_POINTS + 1).collect()
-    if len(wanted) > QUERY_POINTS:
-        raise ValueError("the query curve is too long: resample it")
-    literal = F.array(*[F.struct(F.lit(r.seq).alias("seq"), F.lit(r.x).alias("x"), F.lit(r.y).alias("y")) for r in wanted])
-    asked = others.select(key).distinct().select(key, F.explode(literal).alias("p")).select(key, "p.*")
+    numbered = positions(probe.select("seq", "x", "y"), [], ["seq", "x", "y"], "seq_", block_rows)
+    blocks = (numbered.groupBy(F.floor(F.col("seq_") / QUERY_BLOCK).alias("_block"))
+              .agg(F.collect_list(F.struct(F.col("seq_").alias("seq"), "x", "y")).alias("_points")).select("_points"))
+    asked = others.select(key).distinct().crossJoin(blocks).select(key, F.explode("_points").alias("p")).select(key, "p.*")
     return nearest_sum(asked, others, key, block_rows).orderBy("distance_sum", key).limit(k)
 
 

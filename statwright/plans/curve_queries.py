@@ -166,7 +166,7 @@ def _(t):
 
 @query("i14_resample")
 def _(t):
-    return curves.resample(points(t), "curve", 20)
+    return curves.resample(points(t), "curve")
 
 
 _VEC = "(SELECT vec_id AS curve, unnest(embedding) AS y, unnest(range(len(embedding))) AS seq FROM embeddings)"
@@ -206,7 +206,7 @@ def _(t):
 @query("i17_best_matches_resampled")
 def _(t):
     v = vectors(t)
-    return curves.best_matches(v.filter("curve = 0"), v, "curve", 3, samples=40)
+    return curves.best_matches(v.filter("curve = 0"), v, "curve", 3)
 
 
 _COARSE = "(SELECT l_orderkey AS curve, CAST(l_linenumber AS BIGINT) * 100000000000 + l_partkey * 10000 + l_suppkey AS seq, floor(l_quantity / 10) AS x, CAST(l_linenumber % 2 AS DOUBLE) AS y FROM lineitem)"
