@@ -7,6 +7,7 @@ and neighbours come from ``functions.ordered``, sizes are pre-aggregated.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 import numpy as np
@@ -550,15 +551,54 @@ def drop_repeats(points: DataFrame, key: str) -> DataFrame:
     return inner.select(key, "seq", "x", "y").unionByName(end.select(key, "seq", "x", "y"))
 
 
+#: Rows of a close group that one task settles at a time.
+GROUP_POINTS = 200_000
+
+
+def _close_groups(points: DataFrame, key: str, tolerance: float, block_rows: int | None) -> DataFrame:
+    """Adds ``_g0`` to ``_g2``, numbers of groups of points such that points of different groups are at least the tolerance apart:
+    cut at gaps along x, then along y inside these, then along x again."""
+    groups: list[str] = []
+    for i, axis in enumerate(("x", "y", "x")):
+        keys = [key, *groups]
+        fr = framed(points, keys, [axis, "seq"], 1, 0, block_rows)
+        step = F.col(axis) - F.lag(axis).over(fr.window)
+        marked = fr.own(fr.df.withColumn("_new", (step.isNull() | (step >= tolerance)).cast("long")))
+        points = running_sum(marked, keys, [axis, "seq"], {f"_g{i}": "_new"}, block_rows).drop("_new")
+        groups.append(f"_g{i}")
+    return points
+
+
+GROUP = ["_g0", "_g1", "_g2"]
+
+
+def _settle(key: str, tolerance: float):
+    """Greedy pass by seq over some groups: the kept points of a group fall into cells of the tolerance, at most a few in each."""
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("seq", kind="stable").reset_index(drop=True)
+        cells: dict[tuple, list[tuple[float, float]]] = {}
+        keep = np.zeros(len(pdf), dtype=bool)
+        for i, (x, y, *group) in enumerate(zip(*(pdf[c].tolist() for c in ("x", "y", key, *GROUP)), strict=True)):
+            cx, cy = math.floor(x / tolerance), math.floor(y / tolerance)
+            near = (k for dx in (-1, 0, 1) for dy in (-1, 0, 1) for k in cells.get((*group, cx + dx, cy + dy), ()))
+            if not any(math.sqrt((x - a) * (x - a) + (y - b) * (y - b)) < tolerance for a, b in near):
+                keep[i] = True
+                cells.setdefault((*group, cx, cy), []).append((x, y))
+        return pdf[keep]
+    return run
+
+
 def drop_near_repeats(points: DataFrame, key: str, tolerance: float = 1e-8,
-                      block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+                      block_rows: int | None = BLOCK_ROWS, group_points: int = GROUP_POINTS) -> DataFrame:
     """A point nearer than the tolerance to an earlier kept one goes; the last
     point of the curve always stays.
 
-    After exact repeats are gone, points fall into cells so small that a cell
-    keeps at most one.  Per round the earliest open point of a cell is settled
-    once no earlier open point is near; kept points then remove their
-    surroundings.  Isolated points, normally all, settle in the first round.
+    After exact repeats are gone, points without a neighbour in x order, nearly
+    all, stay.  The others form groups that do not see each other; a task
+    settles a group in one pass by seq.  A group beyond ``group_points`` is cut
+    by seq, and its blocks are settled one after the other: the points kept so
+    far, which are that far apart, first remove what is near them.  Rounds
+    follow the size of the largest group, not the length of its chains.
     """
     once = drop_repeats(points, key)
     known = _own_stats(once, key, [F.max("seq").alias("_last")])
@@ -567,28 +607,29 @@ def drop_near_repeats(points: DataFrame, key: str, tolerance: float = 1e-8,
     fr = framed(known.filter(F.col("seq") < F.col("_last")).select(key, "seq", "x", "y"), [key], ["x", "seq"], 1, 1, block_rows)
     gap = lambda k: F.coalesce(F.abs(F.lag("x", -k).over(fr.window) - F.col("x")) < tolerance, F.lit(False))
     inner = materialise(fr.own(fr.df.withColumn("_near", gap(1) | gap(-1))))
-    side = tolerance / 1.5
-    cell = lambda c: F.floor(F.col(c) / side).cast("long")
-    open_ = inner.filter("_near").select(key, "seq", "x", "y", cell("x").alias("gx"), cell("y").alias("gy"))
-    at = [key, "gx", "gy"]
-    ring = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in range(-2, 3) for dy in range(-2, 3)]))
-
-    def around(df: DataFrame) -> DataFrame:
-        """Every row in its own and the surrounding cells."""
-        return (df.withColumn("_o", ring).withColumns({"gx": F.col("gx") + F.col("_o.dx"), "gy": F.col("gy") + F.col("_o.dy")}).drop("_o"))
-
-    kept_parts = [inner.filter("NOT _near").select(key, "seq", "x", "y")]
-    while not open_.isEmpty():
-        firsts = open_.groupBy(*at).agg(F.min("seq").alias("seq"), F.min_by(F.struct("x", "y"), "seq").alias("p"))
-        lowest = around(firsts.select(*at, "seq")).groupBy(*at).agg(F.min("seq").alias("_low"))
-        kept = firsts.join(lowest, at).filter(F.col("seq") == F.col("_low")).select(*at, "seq", F.col("p.x").alias("x"), F.col("p.y").alias("y"))
-        kept = materialise(kept)
-        kept_parts.append(kept.select(key, "seq", "x", "y"))
-        near = around(kept.select(*at, F.col("x").alias("kx"), F.col("y").alias("ky")))
-        gone = (open_.join(near, at).filter(_hypot(F.col("x") - F.col("kx"), F.col("y") - F.col("ky")) < tolerance)
-                .select(key, "seq").distinct())
-        open_ = materialise(open_.join(gone, [key, "seq"], "left_anti"))
-    return reduce(DataFrame.unionByName, [*kept_parts, end])
+    alone, open_ = inner.filter("NOT _near").select(key, "seq", "x", "y"), inner.filter("_near").select(key, "seq", "x", "y")
+    grouped = _close_groups(open_, key, tolerance, block_rows)
+    placed = positions(grouped, [key, *GROUP], ["seq"], "_pos", block_rows)
+    blocks = materialise(placed.withColumn("_block", F.floor((F.col("_pos") - 1) / group_points).cast("long")).drop("_pos"))
+    last, rows = blocks.agg(F.max("_block"), F.count(F.lit(1))).first()
+    if last is None:
+        return alone.unionByName(end)
+    tasks = blocks.sparkSession.sparkContext.defaultParallelism + 2 * rows // group_points
+    share = F.pmod(F.xxhash64(key, *GROUP), F.lit(tasks)).alias("_share")
+    cell = {f"_c{c}": F.floor(F.col(c) / tolerance).cast("long") for c in "xy"}
+    ring = F.explode(F.array(*[F.struct(F.lit(dx).alias("dx"), F.lit(dy).alias("dy")) for dx in (-1, 0, 1) for dy in (-1, 0, 1)]))
+    at = [key, *GROUP, "_cx", "_cy"]
+    kept: list[DataFrame] = []
+    for k in range(last + 1):
+        block = blocks.filter(F.col("_block") == k)
+        if kept:
+            around = (reduce(DataFrame.unionByName, kept).withColumns(cell).withColumn("_o", ring)
+                      .select(key, *GROUP, (F.col("_cx") + F.col("_o.dx")).alias("_cx"), (F.col("_cy") + F.col("_o.dy")).alias("_cy"), F.col("x").alias("_kx"), F.col("y").alias("_ky")))
+            gone = (block.withColumns(cell).join(around, at).filter(_hypot(F.col("x") - F.col("_kx"), F.col("y") - F.col("_ky")) < tolerance)
+                    .select(key, "seq").distinct())
+            block = block.join(gone, [key, "seq"], "left_anti").select(*blocks.columns)
+        kept.append(materialise(block.groupBy(share).applyInPandas(_settle(key, tolerance), blocks.schema)))
+    return reduce(DataFrame.unionByName, [alone, *[d.select(key, "seq", "x", "y") for d in kept], end])
 
 
 def clean_up(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) -> tuple[DataFrame, DataFrame]:

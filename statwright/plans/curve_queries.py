@@ -225,7 +225,15 @@ def _(t):
     return curves.drop_repeats(coarse(t), "curve")
 
 
-@query("i18_drop_near_repeats")
+@query("i18_drop_near_repeats", f"""
+WITH RECURSIVE every AS (SELECT *, max(seq) OVER (PARTITION BY curve) AS last FROM {CURVES}),
+once AS (SELECT curve, min(seq) AS seq, x, y FROM every WHERE seq < last GROUP BY curve, x, y),
+p AS (SELECT *, row_number() OVER (PARTITION BY curve ORDER BY seq) AS i, count(*) OVER (PARTITION BY curve) AS n FROM once),
+walk AS (SELECT DISTINCT curve, 0::BIGINT AS i, n, []::STRUCT(seq BIGINT, x DOUBLE, y DOUBLE)[] AS kept FROM p
+  UNION ALL SELECT w.curve, p.i, w.n, CASE WHEN len(list_filter(w.kept, lambda k: sqrt((k.x - p.x) * (k.x - p.x) + (k.y - p.y) * (k.y - p.y)) < 0.8)) = 0
+    THEN list_append(w.kept, {{'seq': p.seq, 'x': p.x::DOUBLE, 'y': p.y::DOUBLE}}) ELSE w.kept END FROM walk w JOIN p ON p.curve = w.curve AND p.i = w.i + 1)
+SELECT curve, k.seq AS seq, round(k.x, 6) AS x, round(k.y, 6) AS y FROM (SELECT curve, unnest(kept) AS k FROM walk WHERE i = n)
+UNION ALL SELECT curve, seq, round(x, 6), round(y, 6) FROM every WHERE seq = last""")
 def _(t):
     return curves.drop_near_repeats(points(t), "curve", 0.8)
 

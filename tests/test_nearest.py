@@ -47,3 +47,34 @@ def test_a_long_query_curve_stays_a_table(spark):
     other = wave.filter("seq % 7 = 0").withColumns({"c": F.lit(1), "y": F.col("y") + 0.5})
     got = curves.best_matches(wave, wave.unionByName(other), "c", 2, samples=None).collect()
     assert [r.c for r in got] == [0, 1] and got[0].distance_sum == pytest.approx(0, abs=1e-6) and got[1].distance_sum > 1
+
+
+def greedy(rows, tolerance):
+    kept, seen = [], set()
+    rows = sorted(rows)
+    for s, x, y in rows[:-1]:
+        if (x, y) not in seen and all(np.hypot(x - a, y - b) >= tolerance for _, a, b in kept):
+            kept.append((s, x, y))
+        seen.add((x, y))
+    return kept + rows[-1:]
+
+
+@pytest.mark.parametrize("group_points", [200_000, 7])
+def test_near_repeats_of_groups_cut_by_seq(spark, group_points):
+    rng = np.random.default_rng(6)
+    frames, want = [], {}
+    for name, n, spread in [("dense", 120, 1.0), ("loose", 60, 30.0), ("line", 80, 0.0), ("one", 1, 1.0)]:
+        p = np.round(np.c_[np.arange(n) * 0.03 if name == "line" else rng.random(n) * spread, rng.random(n) * spread], 3)
+        p = p[rng.permutation(n)]
+        frames.append(pd.DataFrame({"c": name, "seq": np.arange(n), "x": p[:, 0], "y": p[:, 1]}))
+        want[name] = greedy([(i, *map(float, v)) for i, v in enumerate(p)], 0.1)
+    got = curves.drop_near_repeats(spark.createDataFrame(pd.concat(frames)), "c", 0.1, group_points=group_points)
+    for name, rows in want.items():
+        assert sorted((r.seq, r.x, r.y) for r in got.filter(F.col("c") == name).collect()) == rows
+
+
+def test_a_long_chain_is_settled_in_few_rounds(spark):
+    """Each point is near the one before it only; every second one goes."""
+    chain = spark.range(100_000).select(F.lit("a").alias("c"), F.col("id").alias("seq"), (F.col("id") * 0.75).alias("x"), F.lit(0.0).alias("y"))
+    got = curves.drop_near_repeats(chain, "c", 1.0)
+    assert got.agg(F.count("seq"), F.sum(F.col("seq") % 2)).first() == (50_001, 1)
