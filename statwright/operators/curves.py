@@ -546,9 +546,7 @@ def drop_repeats(points: DataFrame, key: str) -> DataFrame:
     """Exact repeats: the first of equal points stays, and so does the last
     point of the curve."""
     known = _own_stats(points.select(key, "seq", "x", "y"), key, [F.max("seq").alias("_last")])
-    inner = known.filter(F.col("seq") < F.col("_last")).groupBy(key, "x", "y").agg(F.min("seq").alias("seq"))
-    end = known.filter(F.col("seq") == F.col("_last"))
-    return inner.select(key, "seq", "x", "y").unionByName(end.select(key, "seq", "x", "y"))
+    return known.groupBy(key, "x", "y", (F.col("seq") == F.col("_last")).alias("_end")).agg(F.min("seq").alias("seq")).select(key, "seq", "x", "y")
 
 
 #: Rows of a close group that one task settles at a time.
