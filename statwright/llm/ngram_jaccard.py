@@ -289,7 +289,7 @@ def stars(docs: DataFrame, n: int, sim: Similarity, light: int) -> DataFrame:
             yield from out(got)
 
     sent = W.map_texts(docs.select("text"), local, "bucket int, keys binary, places binary, sets binary, sizes binary")
-    listed = sent.repartition(parts_out, "bucket").sortWithinPartitions("bucket").mapInArrow(merge, "centre long, member long, proven boolean")
+    listed = sent.repartition(parts_out, "bucket").sortWithinPartitions("bucket").mapInArrow(W.tidy(merge), "centre long, member long, proven boolean")
     return listed.groupBy("centre", "member").agg(F.max("proven").alias("proven"))
 
 
@@ -352,7 +352,7 @@ def plausible(pairs: DataFrame, traits: DataFrame, sim: Similarity) -> DataFrame
             p, q = (batch.column(c).to_pylist() for c in ("theirs", "mine"))
             keep = [bool(may_link(np.frombuffer(a, W.U), np.frombuffer(b, W.U), x, y, sim)) for a, b, x, y in zip(p, q, n, m, strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column("centre"), batch.column("member")], names=["centre", "member"]).filter(pa.array(keep, pa.bool_()))
-    return both.select("centre", "member", "n", "m", "theirs", "mine").mapInArrow(run, "centre long, member long")
+    return both.select("centre", "member", "n", "m", "theirs", "mine").mapInArrow(W.tidy(run), "centre long, member long")
 
 
 def lists_of(column: pa.Array) -> list[np.ndarray]:
@@ -490,7 +490,7 @@ def _checked(pairs: DataFrame, rows: DataFrame, sim: Similarity) -> DataFrame:
                           zip(lists_of(batch.column("x")), lists_of(batch.column("y")), strict=True)], dtype=np.int64)
             keep = pa.array(d <= sim.apart(batch.column("x_n").to_numpy(), batch.column("y_n").to_numpy()))
             yield pa.RecordBatch.from_arrays([batch.column("x_member"), batch.column("y_member")], names=["a", "b"]).filter(keep)
-    return both.select("x_member", "y_member", "x_n", "y_n", "x", "y").mapInArrow(run, "a long, b long").distinct()
+    return both.select("x_member", "y_member", "x_n", "y_n", "x", "y").mapInArrow(W.tidy(run), "a long, b long").distinct()
 
 
 def ngram_components(docs: DataFrame, n: int = 5, similarity: tuple[int, int] = (4, 5), light: int | None = None) -> DataFrame:

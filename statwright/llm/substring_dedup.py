@@ -123,7 +123,7 @@ def live_keys(docs: DataFrame, window: int, bits: int) -> DataFrame:
                 part = slice(a, a + ROWS)
                 yield pa.RecordBatch.from_arrays([pa.array(keys[head[part]].view(np.int64)), pa.array(times[part].astype(np.int64)), pa.array(owned[part])],
                                                  names=["key", "n", "own"])
-    found = docs.select("text").mapInArrow(run, "key long, n long, own boolean")
+    found = docs.select("text").mapInArrow(W.tidy(run), "key long, n long, own boolean")
     return found.groupBy("key").agg(F.sum("n").alias("n"), F.max("own").alias("own")).filter((F.col("n") > 1) & F.col("own")).select("key")
 
 
@@ -165,7 +165,7 @@ def lone_windows(docs: DataFrame, live, window: int) -> DataFrame:
             for a in range(0, len(head), ROWS):
                 yield pa.RecordBatch.from_arrays([pa.array(c[a:a + ROWS]) for c in columns], names=["key", "more", "_f", "_g", "at", "n"])
 
-    rows = docs.select("text", *text_key("text")).mapInArrow(run, "key long, more int, _f long, _g int, at int, n int")
+    rows = docs.select("text", *text_key("text")).mapInArrow(W.tidy(run), "key long, more int, _f long, _g int, at int, n int")
     counted = rows.groupBy("key", "more").agg(F.sum("n").alias("n"), *(F.min(c).alias(c) for c in ("_f", "_g", "at")))
     return counted.filter("n = 1").groupBy("_f", "_g").agg(F.collect_list("at").alias("_lone"))
 

@@ -206,7 +206,7 @@ def shards(docs: DataFrame, path: str, n: int, end_id: int | None = END_ID) -> D
         if rows:
             yield pa.RecordBatch.from_pylist([block(shard, number, rows)], schema)
 
-    return dealt.mapInArrow(run, FILE)
+    return dealt.mapInArrow(W.tidy(run), FILE)
 
 
 def write(docs: DataFrame, folder: str, path: str, end_id: int | None = END_ID, n: int | None = None) -> None:
@@ -258,4 +258,4 @@ def lookup(spark: SparkSession, folder: str, wanted: DataFrame) -> DataFrame:
                 got = fetch(row["levels"], row["marks"], row["ranks"], at - row["first_id"])
                 yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(got.astype(np.int64))], names=["position", "token"])
     files = spark.read.schema(FILE).parquet(folder).select("shard", "block", "levels", "marks", "ranks")
-    return files.join(asked, ["shard", "block"]).drop("shard", "block").mapInArrow(run, "position long, token long")
+    return files.join(asked, ["shard", "block"]).drop("shard", "block").mapInArrow(W.tidy(run), "position long, token long")

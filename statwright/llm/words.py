@@ -13,6 +13,7 @@ comparison meet with a probability near 2**-64.
 
 from __future__ import annotations
 
+import ctypes
 import functools
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
@@ -207,6 +208,20 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str, most: int = 1 << 22) ->
                 yield batch.slice(a, b - a)
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same, and at the end of a task the memory it has freed goes back to
+    the machine: workers live on, and each task would add its own peak."""
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+            if trim is not None:
+                trim(0)
+    return wrapped
+
+
 def map_texts(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | None],
               schema: str | T.StructType, text: str = "text", most: int = 1 << 22) -> DataFrame:
     """Apply ``make`` to runs of rows of bounded text; rows stay in the tasks that read them."""
@@ -215,7 +230,7 @@ def map_texts(df: DataFrame, make: Callable[[pa.RecordBatch], pa.RecordBatch | N
             out = make(piece)
             if out is not None and out.num_rows:
                 yield out
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(tidy(run), schema)
 
 
 def add_columns(df: DataFrame, make: Callable[[pa.RecordBatch], list[pa.Array]], new: str,
