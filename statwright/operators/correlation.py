@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ordered import positions, running_sum, value_counts_ranked
-from ..functions.quantiles import number
+from ..functions.quantiles import long_form, number
+from ..functions.storage import written
 from .components import complete_rows
 
 CHUNK_BITS = 18
@@ -29,11 +30,10 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str], method: str = "pear
             F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"p{i}").alias("r"))
             for i, (a, b) in enumerate(pairs)]))
         return row.select(cells.alias("c")).select("c.*")
-    points = _weighted_points(df, pairs)
     if method == "spearman":
-        return _spearman(points, **sizes)
+        return _rank_pairs(df, pairs, **sizes)
     if method == "kendall":
-        return _kendall(points, **sizes)
+        return _kendall(_weighted_points(df, pairs), **sizes)
     raise ValueError("method must be pearson, spearman or kendall")
 
 
@@ -61,6 +61,30 @@ def _axis_counts(points: DataFrame, axis: str) -> DataFrame:
     return points.groupBy(*PAIR, axis).agg(F.sum("w").alias("n"))
 
 
+def _rank_pairs(df: DataFrame, pairs, **sizes) -> DataFrame:
+    """A column without missing values has one rank per value, whatever the pair: a dictionary of its distinct values.
+    Pairs with missing values rank the rows that have both, each pair by itself."""
+    columns = sorted({c for pair in pairs for c in pair})
+    gaps = df.agg(*[F.count_if(number(c).isNull()).alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    full = {c: i for i, c in enumerate(columns) if not gaps[i]}
+    whole = [p for p in pairs if p[0] in full and p[1] in full]
+    rest = [p for p in pairs if p not in whole]
+    parts = []
+    if rest:
+        parts.append(_spearman(_weighted_points(df, rest), **sizes))
+    if whole:
+        rows = df.select(*[number(c).alias(f"_v{i}") for c, i in full.items()])
+        counts = long_form(rows, rows.columns).groupBy("variable", "value").agg(F.count(F.lit(1)).alias("n"))
+        ranked = running_sum(counts, ["variable"], ["value"], {"upto": "n"}, **sizes)
+        ranks = written(ranked.select("variable", "value", (F.col("upto") - (F.col("n") - 1) / 2.0).alias("rank")))
+        for i in full.values():
+            rows = rows.join(ranks.filter(F.col("variable") == f"_v{i}").select(F.col("value").alias(f"_v{i}"), F.col("rank").alias(f"_r{i}")), f"_v{i}")
+        cells = F.array(*[F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"), F.col(f"_{k}").alias("r")) for k, (a, b) in enumerate(whole)])
+        row = rows.agg(*[F.nullif(F.corr(f"_r{full[a]}", f"_r{full[b]}"), F.lit(float("nan"))).alias(f"_{k}") for k, (a, b) in enumerate(whole)])
+        parts.append(row.select(F.explode(cells).alias("c")).select("c.*"))
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+
 def _spearman(points: DataFrame, **sizes) -> DataFrame:
     out = points
     for axis in ("x", "y"):

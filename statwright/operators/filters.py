@@ -165,11 +165,23 @@ def lookup(df: DataFrame, **wanted) -> DataFrame:
     return df
 
 
-def one_hot(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """0/1 columns for every level but the first; the number of levels is a
-    number of columns, so it is read on the driver."""
+def one_hot_long(df: DataFrame, row_id: str, columns: Sequence[str]) -> DataFrame:
+    """row_id, column, level: the ones of a one-hot table without its zeros, for
+    any number of levels.  The first level of a column has no rows, as it has
+    no column in the wide form; one aggregate finds it."""
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("level")) for c in columns]))
+    first = df.agg(*[F.min(c).cast("string").alias(f"_{i}") for i, c in enumerate(columns)]).first()
+    known = F.create_map(*[x for i, c in enumerate(columns) for x in (F.lit(c), F.lit(first[i]).cast("string"))])
+    return df.select(row_id, cells.alias("x")).select(row_id, "x.*").filter(F.col("level") != F.element_at(known, F.col("column")))
+
+
+def one_hot(df: DataFrame, columns: Sequence[str], max_levels: int = 1000) -> DataFrame:
+    """0/1 columns for every level but the first.  Each level is a column of the
+    plan, so there may be ``max_levels`` of them; ``one_hot_long`` takes any number."""
     for column in columns:
-        levels = sorted(r[0] for r in df.select(column).distinct().collect() if r[0] is not None)
+        levels = sorted(r[0] for r in df.select(column).filter(F.col(column).isNotNull()).distinct().limit(max_levels + 1).collect())
+        if len(levels) > max_levels:
+            raise ValueError(f"{column} has more than {max_levels} levels: use one_hot_long")
         df = df.withColumns({f"{column}_{v}": F.coalesce((F.col(column) == v).cast("int"), F.lit(0))
                              for v in levels[1:]}).drop(column)
     return df

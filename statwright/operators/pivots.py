@@ -46,7 +46,7 @@ def group_score(df: DataFrame, keys: Sequence[str], name: str, area: str, perime
     score = (0.4 * part(area, 1000) + 0.3 * part(perimeter, 100)
              + 0.3 * F.avg(_status(F.col(status))) * 100)
     return df.groupBy(*keys).agg(
-        F.count(name).alias("base_count"), half_even(F.avg(area), 4).alias("average_area"),
+        F.count(name).alias("members"), half_even(F.avg(area), 4).alias("mean_value"),
         half_even(F.stddev_samp(length), 4).alias("std_dev_length"), half_even(score, 4).alias("score"))
 
 
@@ -58,14 +58,14 @@ def group_score_sql(df: DataFrame, keys: Sequence[str], name: str, area: str, pe
     score = (0.4 * F.avg(zero(area)) / 1000 + 0.3 * F.avg(zero(perimeter)) / 100
              + 0.3 * F.avg(_status(F.upper(F.col(status)))) * 100)
     return df.groupBy(*keys).agg(
-        F.count(name).alias("base_count"), F.avg(area).alias("average_area"),
+        F.count(name).alias("members"), F.avg(area).alias("mean_value"),
         F.coalesce(F.stddev_samp(length), F.lit(0.0)).alias("std_dev_length"), score.alias("score"))
 
 
 def roll_up(groups: DataFrame, key: str) -> DataFrame:
     """Sum of counts and mean of group means one level higher."""
     return groups.groupBy(key).agg(
-        F.sum("base_count").alias("total_bases"), half_even(F.avg("average_area"), 4).alias("avg_area"),
+        F.sum("members").alias("total_members"), half_even(F.avg("mean_value"), 4).alias("avg_area"),
         half_even(F.avg("std_dev_length"), 4).alias("avg_spread"), half_even(F.avg("score"), 4).alias("avg_score"))
 
 
@@ -118,7 +118,7 @@ def rounded_group_table(df: DataFrame, keys: Sequence[str], value: str, second:
     """count, rounded mean, max, min, deviation and sum per group, largest sum
     first."""
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("base_count"), F.round(F.avg(value), 2).alias("avg_value"),
+        F.count(F.lit(1)).alias("members"), F.round(F.avg(value), 2).alias("avg_value"),
         F.round(F.avg(second), 2).alias("avg_second"), F.max(value).alias("max_value"),
         F.min(value).alias("min_value"), F.round(F.stddev(value), 2).alias("std_value"),
         F.round(F.sum(value), 2).alias("total_value")).orderBy(F.desc("total_value"))

@@ -204,10 +204,10 @@ SELECT '{c}' AS "column", '{k}' AS filter_type, round(q, 6) AS low, round(q, 6)
   n AS original_count, n - f AS removed_count, round(f * 100.0 / n, 6) AS kept_percentage
 FROM (SELECT any_value(q) AS q, count(*) AS n, count(*) FILTER ({c} {op} q) AS f
       FROM lineitem, (SELECT quantile_cont({c}, {p}) AS q FROM lineitem))"""
-    for c in ("l_quantity", "l_extendedprice") for k, op, p in (("low_pass", "<=", 0.9), ("high_pass", ">=", 0.1))))
+    for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax") for k, op, p in (("low_pass", "<=", 0.9), ("high_pass", ">=", 0.1))))
 def _(t):
     li = t("lineitem")
-    return filters.filter_statistics(li, filters.default_filters(li, ["l_quantity", "l_extendedprice"]))
+    return filters.filter_statistics(li, filters.default_filters(li, ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]))
 
 
 @query("c04_threshold_sweep", " UNION ALL ".join(f"""
@@ -326,18 +326,13 @@ def _(t):
     return out.select("p_partkey", "category", "efficiency", "is_economy", "priority")
 
 
-C14 = """
-SELECT o_orderkey, CAST(o_totalprice AS DOUBLE) AS price,
-  CASE WHEN o_totalprice > 400000 THEN 'Very Large' WHEN o_totalprice > 300000 THEN 'Large'
-       WHEN o_totalprice > 100000 THEN 'Medium' ELSE 'Small' END AS size_category
-FROM orders WHERE o_totalprice IS NOT NULL AND o_totalprice > 100000 AND o_orderstatus = 'F'
-ORDER BY o_totalprice DESC, o_orderkey LIMIT 20"""
-
-
-@query("c14_case_top_20", C14)
+@query("c14_case_top_20", """
+WITH banded AS (SELECT p_partkey, p_retailprice, CASE WHEN p_size < 10 THEN 'hand' WHEN p_size < 30 THEN 'shelf' ELSE 'floor' END AS place FROM part)
+SELECT p_partkey, p_retailprice, place FROM (SELECT *, row_number() OVER (ORDER BY p_retailprice DESC, p_partkey) AS i FROM banded WHERE place <> 'hand') WHERE i <= 20""")
 def _(t):
-    o = t("orders")
-    return o.sparkSession.sql(C14.replace("FROM orders", "FROM {orders}"), orders=o)
+    size = F.col("p_size")
+    banded = t("part").select("p_partkey", "p_retailprice", F.when(size < 10, "hand").when(size < 30, "shelf").otherwise("floor").alias("place"))
+    return banded.filter("place <> 'hand'").orderBy(F.desc("p_retailprice"), "p_partkey").limit(20)
 
 
 @query("c15_ratio_over_time", """
@@ -398,13 +393,17 @@ def _(t):
 
 
 @query("c21_text_assembly", """
-SELECT c_custkey, c_name || ', ' || CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END || ' ' || CAST(c_nationkey AS VARCHAR) AS address,
-  'Home: ' || coalesce(CASE WHEN c_custkey % 4 <> 0 THEN c_mktsegment END, 'N/A') || ' | Cell: ' || c_name AS phone FROM customer""")
+SELECT s_suppkey, concat_ws(' / ', s_name, nullif('nation ' || s_nationkey, 'nation 0'), CASE WHEN s_acctbal >= 0 THEN 'credit' END) AS label,
+  s_name || ' (' || CASE WHEN s_suppkey % 3 = 0 THEN 'no balance' ELSE CAST(CAST(floor(s_acctbal) AS BIGINT) AS VARCHAR) END || ')' AS shown,
+  CASE WHEN s_acctbal >= 0 THEN s_name || ': credit' END AS whole FROM supplier""")
 def _(t):
-    city = F.when(F.col("c_custkey") % 4 != 0, F.col("c_mktsegment"))
-    return t("customer").select(
-        "c_custkey", F.concat("c_name", F.lit(", "), city, F.lit(" "), F.col("c_nationkey").cast("string")).alias("address"),
-        F.concat(F.lit("Home: "), F.coalesce(city, F.lit("N/A")), F.lit(" | Cell: "), "c_name").alias("phone"))
+    nation = F.when(F.col("s_nationkey") != 0, F.concat(F.lit("nation "), F.col("s_nationkey").cast("string")))
+    credit = F.when(F.col("s_acctbal") >= 0, F.lit("credit"))
+    balance = F.when(F.col("s_suppkey") % 3 != 0, F.floor("s_acctbal").cast("string"))
+    return t("supplier").select(
+        "s_suppkey", F.concat_ws(" / ", "s_name", nation, credit).alias("label"),
+        F.concat("s_name", F.lit(" ("), F.coalesce(balance, F.lit("no balance")), F.lit(")")).alias("shown"),
+        F.concat("s_name", F.lit(": "), credit).alias("whole"))
 
 
 @query("c22_currency", """
@@ -495,3 +494,10 @@ _PRIORITIES = ["2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
     f"CAST(o_orderpriority = '{p}' AS INT) AS \"o_orderpriority_{p}\"" for p in _PRIORITIES) + " FROM orders")
 def _(t):
     return filters.one_hot(t("orders").select("o_orderkey", "o_orderpriority"), ["o_orderpriority"])
+
+
+@query("c30_one_hot_long", """
+SELECT o_orderkey, 'o_orderpriority' AS "column", o_orderpriority AS level FROM orders WHERE o_orderpriority <> (SELECT min(o_orderpriority) FROM orders)
+UNION ALL SELECT o_orderkey, 'o_custkey', CAST(o_custkey AS VARCHAR) FROM orders WHERE o_custkey <> (SELECT min(o_custkey) FROM orders)""")
+def _(t):
+    return filters.one_hot_long(t("orders"), "o_orderkey", ["o_orderpriority", "o_custkey"])

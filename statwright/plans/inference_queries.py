@@ -450,10 +450,10 @@ _AVG_RANK = "rank() OVER (ORDER BY {c}) + (count(*) OVER (PARTITION BY {c}) - 1)
 
 
 @query("f30_spearman", f"SELECT var1, var2, round(r, 6) AS r FROM (" + _pairs_sql(
-    ["l_quantity", "l_extendedprice", "l_discount"], "corr(x, y)",
+    CORR, "corr(x, y)",
     "(SELECT " + _AVG_RANK.format(c="{a}") + " AS x, " + _AVG_RANK.format(c="{b}") + " AS y FROM lineitem)") + ")")
 def _(t):
-    return correlation.correlation_pairs(t("lineitem"), ["l_quantity", "l_extendedprice", "l_discount"], "spearman")
+    return correlation.correlation_pairs(t("lineitem"), CORR, "spearman")
 
 
 @query("f30_kendall", "SELECT var1, var2, round(r, 6) AS r FROM (" + _pairs_sql(
@@ -464,6 +464,18 @@ def _(t):
     return correlation.correlation_pairs(t("customer"), ["c_acctbal", "c_nationkey"], "kendall")
 
 
+_STEPS = ["l_quantity", "l_discount", "l_tax", "l_linenumber"]
+_CELLS = "(SELECT {a} AS x, {b} AS y, count(*)::DOUBLE AS w FROM lineitem GROUP BY ALL)"
+
+
+@query("f30_kendall_lineitem", " UNION ALL ".join(f"""
+SELECT '{a}' AS var1, '{b}' AS var2, round((SELECT sum(p.w * q.w * sign(p.x - q.x) * sign(p.y - q.y)) FROM {_CELLS.format(a=a, b=b)} p, {_CELLS.format(a=a, b=b)} q)
+  / sqrt((SELECT sum(p.w * q.w) FROM {_CELLS.format(a=a, b=b)} p, {_CELLS.format(a=a, b=b)} q WHERE p.x <> q.x) * (SELECT sum(p.w * q.w) FROM {_CELLS.format(a=a, b=b)} p, {_CELLS.format(a=a, b=b)} q WHERE p.y <> q.y)), 6) AS r"""
+    for i, a in enumerate(_STEPS) for b in _STEPS[i + 1:]))
+def _(t):
+    return correlation.correlation_pairs(t("lineitem"), _STEPS, "kendall")
+
+
 @query("f31_high_pairs", f"SELECT var1, var2, round(r, 6) AS r FROM ({_PEARSON}) WHERE abs(r) >= 0.001")
 def _(t):
     return correlation.high_pairs(correlation.correlation_pairs(t("lineitem"), CORR), 0.001)

@@ -100,17 +100,17 @@ def vectors(t):
 
 @query("g09_cluster_profile")
 def _(t):
-    return regression.clusters(vectors(t), FEATURES, 4, elbow=[], starts=2).profile
+    return regression.clusters(vectors(t), FEATURES, 4, elbow=[]).profile
 
 
 @query("g09_elbow")
 def _(t):
-    return regression.clusters(vectors(t), FEATURES, 4, starts=2).elbow
+    return regression.clusters(vectors(t), FEATURES, 4).elbow
 
 
 @query("g10_cluster_projection")
 def _(t):
-    rows = regression.clusters(vectors(t), FEATURES, 4, elbow=[], starts=2).rows
+    rows = regression.clusters(vectors(t), FEATURES, 4, elbow=[]).rows
     return components.scores(rows, components.fit(rows, FEATURES, 2)).select("vec_id", "cluster", "PC1", "PC2")
 
 

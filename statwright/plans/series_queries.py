@@ -66,10 +66,11 @@ def _(t):
     return series.gradient_outliers(t("events"), *ARGS, threshold=2.5).withColumn("x", F.round("x", 3))
 
 
-# Series of at least five points, so that no fall-back rule applies.
-_LONG = "(SELECT user_id, epoch_us(ts) / 1e6 AS x, value AS y FROM events WHERE user_id IN (SELECT user_id FROM events GROUP BY user_id HAVING count(*) >= 5))"
-_DERIV = f"""d1 AS (SELECT *, (lead(y) OVER w - lag(y) OVER w) / (lead(x) OVER w - lag(x) OVER w) AS d1 FROM {_LONG} {_W}),
-d2 AS (SELECT *, (lead(d1) OVER w - lag(d1) OVER w) / (lead(x) OVER w - lag(x) OVER w) AS d2 FROM d1 {_W}),
+# The middle points of a series of four have only each other: their second derivative is the difference of the two.
+_ALL = "(SELECT user_id, epoch_us(ts) / 1e6 AS x, value AS y FROM events)"
+_DERIV = f"""d1 AS (SELECT *, (lead(y) OVER w - lag(y) OVER w) / (lead(x) OVER w - lag(x) OVER w) AS d1 FROM {_ALL} {_W}),
+d2 AS (SELECT *, CASE WHEN lag(d1) OVER w IS NOT NULL THEN (lead(d1) OVER w - lag(d1) OVER w) / (lead(x) OVER w - lag(x) OVER w)
+  WHEN lead(d1, 2) OVER w IS NULL THEN (lead(d1) OVER w - d1) / (lead(x) OVER w - x) END AS d2 FROM d1 {_W}),
 n AS (SELECT *, lead(x) OVER w - x AS dx, lead(y) OVER w - y AS dy, lead(d1) OVER w AS e1, lead(d2) OVER w AS e2,
   coalesce(d2, lead(d2) OVER w, lag(d2) OVER w) AS here, coalesce(lead(d2) OVER w, lead(d2, 2) OVER w, d2) AS nxt FROM d2 {_W}),
 k AS (SELECT *, CASE WHEN abs(e2 - d2) > 1e-10 THEN -d2 / (e2 - d2) ELSE 0 END AS t2, CASE WHEN abs(e1 - d1) > 1e-10 THEN -d1 / (e1 - d1) ELSE 0 END AS t1 FROM n)"""
@@ -81,9 +82,7 @@ SELECT user_id, 'inflection' AS type, round(x + t2 * dx, 3) AS x, round(y + t2 *
 UNION ALL SELECT user_id, CASE WHEN (CASE WHEN t1 = 0 THEN here ELSE nxt END) < 0 THEN 'maximum' ELSE 'minimum' END, round(x + t1 * dx, 3), round(y + t1 * dy, 6)
 FROM k WHERE d1 * e1 <= 0 AND abs(d1) < 0.01 AND (CASE WHEN t1 = 0 THEN here ELSE nxt END) IS NOT NULL""")
 def _(t):
-    e = t("events")
-    long = e.groupBy("user_id").count().filter("count >= 5").select("user_id")
-    out = series.turning_points(e.join(long, "user_id", "left_semi"), *ARGS, inflection_threshold=1e-6, extrema_threshold=0.01)
+    out = series.turning_points(t("events"), *ARGS, inflection_threshold=1e-6, extrema_threshold=0.01)
     return out.withColumn("x", F.round("x", 3))
 
 

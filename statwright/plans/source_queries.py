@@ -247,13 +247,27 @@ def _(t):
     return pick("part", "p_partkey").unionByName(pick("lineitem", "l_partkey"))
 
 
-_TABLES = {"region": ["r_regionkey int", "r_name string"], "nation": ["n_nationkey int", "n_name string", "n_regionkey int"],
-           "labels": ["doc_id bigint", "quality int", "toxic int"]}
+_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
 
 
 @query("a17_catalogue_report", " UNION ALL ".join(
     f"SELECT '{n}' AS \"table\", CAST({i + 1} AS INT) AS position, '{c.split()[0]}' AS \"column\", '{c.split()[1]}' AS type, (SELECT count(*) FROM {n}) AS rows"
-    for n, cols in _TABLES.items() for i, c in enumerate(cols)))
+    for n, cols in _TABLES.items() for i, c in enumerate(cols.split(", "))))
 def _(t):
     return writers.catalogue_report(t("nation").sparkSession, {n: t(n) for n in _TABLES})
 
@@ -269,10 +283,10 @@ def _(t):
     return readers.read_parameter_tables(li.sparkSession, path, ["alpha", "cl", "cd", "cdp", "cm"], parameter=r"re=(\d+)").drop("line")
 
 
-@query("a19_curve_files")
+@query("a19_curve_files", "SELECT l_discount AS x, l_quantity / 40 AS y FROM lineitem WHERE l_quantity <= 40")
 def _(t):
     li = t("lineitem")
     path = scratch_path(li.sparkSession, "curves")
     text = F.concat_ws(" ", F.col("l_discount").cast("string"), (F.col("l_quantity") / 40).cast("string"))
-    li.select(text.alias("value")).write.text(path)
-    return readers.read_curve_files(li.sparkSession, path).points
+    li.select(text.alias("value")).mapInPandas(headed(), "value string").write.text(path)
+    return readers.read_curve_files(li.sparkSession, path).points.select("x", "y")

@@ -155,7 +155,7 @@ def _(t):
 
 
 @query("e07_rounded_group_table", """
-SELECT l_returnflag, l_linestatus, count(*) AS base_count, round(avg(l_extendedprice), 2) AS avg_value, round(avg(l_quantity), 2) AS avg_second,
+SELECT l_returnflag, l_linestatus, count(*) AS members, round(avg(l_extendedprice), 2) AS avg_value, round(avg(l_quantity), 2) AS avg_second,
   max(l_extendedprice) AS max_value, min(l_extendedprice) AS min_value, round(stddev_samp(l_extendedprice), 2) AS std_value,
   round(sum(l_extendedprice), 2) AS total_value FROM lineitem GROUP BY ALL ORDER BY total_value DESC""", digits=None)
 def _(t):
@@ -196,9 +196,11 @@ def _(t):
 @query("e11_correlation_query", """
 SELECT round(covar_pop(l_extendedprice, l_quantity) / (stddev_pop(l_extendedprice) * stddev_pop(l_quantity)), 3) AS with_quantity,
   round(covar_pop(l_extendedprice, l_discount) / (stddev_pop(l_extendedprice) * stddev_pop(l_discount)), 3) AS with_discount,
-  round(covar_pop(l_extendedprice, l_tax) / (stddev_pop(l_extendedprice) * stddev_pop(l_tax)), 3) AS with_tax FROM lineitem""", digits=None)
+  round(covar_pop(l_extendedprice, l_tax) / (stddev_pop(l_extendedprice) * stddev_pop(l_tax)), 3) AS with_tax,
+  round(covar_pop(l_extendedprice, l_linenumber) / (stddev_pop(l_extendedprice) * stddev_pop(l_linenumber)), 3) AS with_linenumber,
+  round(covar_pop(l_extendedprice, l_suppkey) / (stddev_pop(l_extendedprice) * stddev_pop(l_suppkey)), 3) AS with_suppkey FROM lineitem""", digits=None)
 def _(t):
-    return t("lineitem").agg(*[F.round(F.corr("l_extendedprice", f"l_{c}"), 3).alias(f"with_{c}") for c in ("quantity", "discount", "tax")])
+    return t("lineitem").agg(*[F.round(F.corr("l_extendedprice", f"l_{c}"), 3).alias(f"with_{c}") for c in ("quantity", "discount", "tax", "linenumber", "suppkey")])
 
 
 @query("e12_gap_top_10", """
@@ -356,7 +358,7 @@ def bases(t):
         F.when(k % 4 == 0, "ACTIVE").when(k % 4 == 1, "Active").when(k % 4 == 2, "INACTIVE").otherwise("closed").alias("status"))
 
 
-_PLAIN = f"""SELECT p_brand, p_type, count(p_name) AS base_count, round_even(avg(area), 4) AS average_area, round_even(stddev_samp(len), 4) AS std_dev_length,
+_PLAIN = f"""SELECT p_brand, p_type, count(p_name) AS members, round_even(avg(area), 4) AS mean_value, round_even(stddev_samp(len), 4) AS std_dev_length,
   round_even(0.4 * coalesce(avg(area) / 1000, 0) + 0.3 * avg(perimeter) / 100 + 0.3 * avg(CASE status WHEN 'ACTIVE' THEN 1.0 WHEN 'INACTIVE' THEN 0.5
     WHEN 'UNKNOWN' THEN 0.25 ELSE 0.1 END) * 100, 4) AS score FROM {_BASES} GROUP BY ALL"""
 _GROUPS = dict(name="p_name", area="area", perimeter="perimeter", length="len", status="status")
@@ -368,7 +370,7 @@ def _(t):
 
 
 @query("e25_group_score_sql", f"""
-SELECT p_brand, p_type, count(p_name) AS base_count, round(avg(area), 4) AS average_area, round(coalesce(stddev_samp(len), 0), 4) AS std_dev_length,
+SELECT p_brand, p_type, count(p_name) AS members, round(avg(area), 4) AS mean_value, round(coalesce(stddev_samp(len), 0), 4) AS std_dev_length,
   round(0.4 * avg(coalesce(area, 0)) / 1000 + 0.3 * avg(coalesce(perimeter, 0)) / 100 + 0.3 * avg(CAST(CASE upper(status) WHEN 'ACTIVE' THEN 1.0 WHEN 'INACTIVE' THEN 0.5
     WHEN 'UNKNOWN' THEN 0.25 ELSE 0.1 END AS DOUBLE)) * 100, 4) AS score FROM {_BASES} GROUP BY ALL""", digits=4)
 def _(t):
@@ -376,7 +378,7 @@ def _(t):
 
 
 @query("e26_roll_up", f"""
-SELECT p_type, CAST(sum(base_count) AS BIGINT) AS total_bases, round_even(avg(average_area), 4) AS avg_area, round_even(avg(std_dev_length), 4) AS avg_spread,
+SELECT p_type, CAST(sum(members) AS BIGINT) AS total_members, round_even(avg(mean_value), 4) AS avg_area, round_even(avg(std_dev_length), 4) AS avg_spread,
   round_even(avg(score), 4) AS avg_score FROM ({_PLAIN}) GROUP BY p_type""")
 def _(t):
     return pivots.roll_up(pivots.group_score(bases(t), ["p_brand", "p_type"], **_GROUPS), "p_type")

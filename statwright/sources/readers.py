@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.cells import FILE_MISSING, missing_to_null, partial_date, profile_family
+from ..functions.sizes import broadcast_if_small
+from ..functions.storage import written
 
 
 def _parsed(text: Column, kind: T.DataType) -> Column:
@@ -97,17 +99,17 @@ def read_keyed_json(spark: SparkSession, path: str, record: str, key: str = "nam
 
 
 def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
-    """file, line (1..), value.  Lines are numbered inside each split (at most
-    one split of text per window), and splits are shifted by the sizes of the
-    earlier ones of their file."""
+    """file, line (1..), value, without moving a line.  The rows of a split
+    carry ids that follow each other, so a line's number is its id less the
+    first one of its split, plus the lines in the earlier splits of its file.
+    Only one row per split is counted, and joined back."""
     raw = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_split"),
         F.monotonically_increasing_id().alias("_id"), "value")
-    inside = raw.withColumn("_line", F.row_number().over(Window.partitionBy("file", "_split").orderBy("_id")))
-    sizes = raw.groupBy("file", "_split").agg(F.count(F.lit(1)).alias("_n"))
+    splits = raw.groupBy("file", "_split").agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
     earlier = Window.partitionBy("file").orderBy("_split").rowsBetween(Window.unboundedPreceding, -1)
-    shift = sizes.select("file", "_split", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_shift"))
-    return inside.join(shift, ["file", "_split"]).select("file", (F.col("_line") + F.col("_shift")).alias("line"), "value")
+    start = written(splits.select("file", "_split", (F.coalesce(F.sum("_n").over(earlier), F.lit(0)) - F.col("_first") + 1).alias("_shift")))
+    return raw.join(broadcast_if_small(start), ["file", "_split"]).select("file", (F.col("_id") + F.col("_shift")).alias("line"), "value")
 
 
 def _numbers(value: Column, n: int) -> list[Column]:
@@ -131,11 +133,11 @@ def read_parameter_tables(spark: SparkSession, path: str, columns: Sequence[str]
     lines = numbered_lines(spark, path)
     has_words = reduce(lambda a, b: a & b, [F.col("value").contains(w) for w in header_words])
     number = F.regexp_extract(F.col("file"), parameter + r"[^/]*(/part-[^/]*)?$", 1).try_cast("long")
-    start = lines.filter(has_words).groupBy("file").agg(F.min("line").alias("_header"))
-    rows = lines.join(start, "file").filter(F.col("line") >= F.col("_header") + 2)
+    start = written(lines.filter(has_words).groupBy("file").agg(F.min("line").alias("_header")))
+    rows = lines.join(broadcast_if_small(start), "file").filter(F.col("line") >= F.col("_header") + 2)
     cells = [c.alias(n) for c, n in zip(_numbers(F.col("value"), len(columns)), columns)]
     rows = rows.filter(F.size(F.split(F.trim("value"), r"\s+")) >= len(columns)).select(number.alias("parameter"), "line", *cells)
-    return rows.filter(F.col("parameter") > 0).orderBy("parameter", "line")
+    return rows.filter(F.col("parameter") > 0)
 
 
 class CurveFiles(NamedTuple):
