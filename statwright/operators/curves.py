@@ -16,9 +16,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ordered import BLOCK_ROWS, framed, positions, running_sum, settled
-from ..functions.sizes import spread_out
 from ..functions.storage import materialise
 from .nearest import nearest_distances
+from .splines import CHUNK_KNOTS, spline_points
 
 
 def _own_stats(points: DataFrame, key: str, aggs: list[Column]) -> DataFrame:
@@ -385,54 +385,6 @@ def _cell_crossings(seg: DataFrame, key: str, cells: list[str]) -> DataFrame:
 
 # ---- resampling -------------------------------------------------------------
 
-HALO = 64
-CHUNK_KNOTS = 50_000
-
-
-def _bends(u: np.ndarray, v: np.ndarray) -> np.ndarray:
-    """Second derivatives at the knots; third derivatives are joined at the
-    second and the last but one knot."""
-    n = len(u)
-    h = np.diff(u)
-    right = 6 * np.diff(np.diff(v, axis=0) / h[:, None], axis=0)
-    main, upper, lower = 2 * (h[:-1] + h[1:]), h[1:].copy(), h[:-1].copy()
-    r0, r1 = h[0] / h[1], h[-1] / h[-2]
-    # the end conditions give the end values from their two neighbours
-    main[0] += h[0] * (1 + r0)
-    main[-1] += h[-1] * (1 + r1)
-    upper[0] -= h[0] * r0
-    lower[-1] -= h[-1] * r1
-    if n <= 66:
-        m = np.linalg.solve(np.diag(main) + np.diag(upper[:-1], 1) + np.diag(lower[1:], -1), right)
-    else:
-        m = np.empty_like(right)
-        c, d = [upper[0] / main[0]], [right[0] / main[0]]
-        for k in range(1, n - 2):
-            w = main[k] - lower[k] * c[-1]
-            c.append(upper[k] / w)
-            d.append((right[k] - lower[k] * d[-1]) / w)
-        m[-1] = d[-1]
-        for k in range(n - 4, -1, -1):
-            m[k] = d[k] - c[k] * m[k + 1]
-    first = (1 + r0) * m[0] - r0 * m[1]
-    last = (1 + r1) * m[-1] - r1 * m[-2]
-    return np.vstack([first, m, last])
-
-
-def _spline(u: np.ndarray, v: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Interpolating cubic of the columns of v; a parabola for three knots."""
-    if len(u) == 3:
-        a, b, c = u
-        t = at[:, None]
-        return (v[0] * (t - b) * (t - c) / ((a - b) * (a - c)) + v[1] * (t - a) * (t - c) / ((b - a) * (b - c))
-                + v[2] * (t - a) * (t - b) / ((c - a) * (c - b)))
-    m, h = _bends(u, v), np.diff(u)
-    k = np.clip(np.searchsorted(u, at, side="right") - 1, 0, len(u) - 2)
-    t, s, w = (at - u[k])[:, None], (u[k + 1] - at)[:, None], h[k][:, None]
-    return ((m[k] * s ** 3 + m[k + 1] * t ** 3) / (6 * w) + (v[k] / w - m[k] * w / 6) * s
-            + (v[k + 1] / w - m[k + 1] * w / 6) * t)
-
-
 def merged_by_x(points: DataFrame, key: str, tolerance: float = 1e-8, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """Points in x order with those of (nearly) equal x averaged: a run of
     points whose steps stay below the tolerance is cut every tolerance."""
@@ -449,14 +401,11 @@ def merged_by_x(points: DataFrame, key: str, tolerance: float = 1e-8, block_rows
             .agg(F.min("x").alias("x"), (F.sum("sy") / F.sum("c")).alias("y")).select(key, "x", "y"))
 
 
-def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8, block_rows: int | None = BLOCK_ROWS) -> DataFrame:
+def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8, block_rows: int | None = BLOCK_ROWS,
+             chunk_knots: int = CHUNK_KNOTS) -> DataFrame:
     """n points at equal steps of the chord length along the interpolating cubic
-    through the merged points.  Curves of fewer than three points stay as they
-    are, two merged points too.
-
-    Each task solves one chunk of knots with ``HALO`` knots on either side; the
-    influence of a knot falls at least by half from knot to knot, so the cut is
-    beyond the precision of a double.
+    through the merged points (``splines``, chunk by chunk for long curves).
+    Curves of fewer than three points stay as they are, two merged points too.
     """
     block_rows = settled(points, [key], block_rows)
     size = points.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
@@ -470,32 +419,10 @@ def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8,
     rows = _own_stats(rows, key, [F.max("u").alias("total"), F.count(F.lit(1)).alias("m")])
     short = positions(rows.filter("m <= 2").select(key, "x", "y"), [key], ["x"], "seq", block_rows)
     long = rows.filter("m > 2").withColumn("u", F.col("u") / F.col("total")).select(key, "u", "x", "y")
-    cut = framed(long, [key], ["u"], HALO, HALO, None if block_rows is None else min(block_rows, CHUNK_KNOTS))
-    # one row per chunk, its knots as arrays of bounded length
-    sets = cut.df.groupBy(key, "_chunk").agg(F.array_sort(F.collect_list(F.struct("u", "x", "y", "_own"))).alias("k"))
-    sets = sets.select(key, *[F.col(f"k.{c}").alias(c) for c in ("u", "x", "y", "_own")])
-    sets = spread_out(sets, key)
-    spline = F.pandas_udf(_chunk_spline(n), "seq array<bigint>, x array<double>, y array<double>")
-    made = sets.select(key, spline("u", "x", "y", "_own").alias("p"))
-    done = made.select(key, F.explode(F.arrays_zip("p.seq", "p.x", "p.y")).alias("q")).select(key, "q.*")
+    done = spline_points(long, key, n, chunk_knots, block_rows)
     return few.unionByName(short.select(key, "seq", "x", "y")).unionByName(done)
 
 
-def _chunk_spline(n: int):
-    def evaluate(us: pd.Series, xs: pd.Series, ys: pd.Series, owned: pd.Series) -> pd.DataFrame:
-        grid, out = np.linspace(0, 1, n), []
-        for u, x, y, own in zip(us, xs, ys, owned):
-            mine = u[own.astype(bool)]
-            later = u[u > mine[-1]]
-            # a grid point belongs to the chunk that owns the knot at or before it
-            take = (grid >= mine[0]) & ((grid < later[0]) if len(later) else True)
-            at = grid[take]
-            p = _spline(u, np.column_stack([x, y]), at)
-            out.append((np.flatnonzero(take) + 1, p[:, 0], p[:, 1]))
-        return pd.DataFrame(out, columns=["seq", "x", "y"])
-    return evaluate
-
-
 # ---- distances and matching -------------------------------------------------
 
 def mean_distance(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

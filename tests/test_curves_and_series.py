@@ -159,7 +159,7 @@ def test_resampling(spark):
     x = np.sort(np.random.default_rng(8).random(400)) * 5
     df = table(spark, {"a": list(zip(x, np.sin(3 * x))), "two": [(0, 0), (1, 1)], "three": [(0, 0), (1, 1), (2, 2)]})
     whole = curves.resample(df, "curve", 50)
-    cut = curves.resample(df, "curve", 50, block_rows=70)
+    cut = curves.resample(df, "curve", 50, block_rows=70, chunk_knots=30)
     assert np.allclose(listed(whole), listed(cut), atol=1e-9) and len(listed(whole)) == 50
     got = np.array(listed(whole))
     assert np.abs(got[:, 1] - np.sin(3 * got[:, 0])).max() < 1e-2 and (np.diff(got[:, 0]) >= 0).all()
