@@ -306,15 +306,22 @@ def reorder(points: DataFrame, key: str, block_rows: int | None = BLOCK_ROWS) ->
 CELL_SEGMENTS = 48
 
 
-def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SEGMENTS, max_depth: int = 40,
+#: Quartering ends here, or when the segments' pieces are so many times the segments.
+MAX_DEPTH = 24
+MAX_PIECES = 64
+
+
+def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SEGMENTS, max_depth: int = MAX_DEPTH,
                        block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """curve, crosses: does the line through all points but the last touch or
     cross itself (a closing end point apart)?
 
-    Segments are sorted into cells of a grid; cells with more than
-    ``cell_segments`` are quartered until they are small, and only segments of
-    one cell are compared, inside one array.  Meeting vertices and turning
-    straight back are found by counting.
+    Meeting vertices and turning straight back are found by counting.  The
+    segments of the other curves are sorted into cells of a grid; cells with
+    more than ``cell_segments`` are quartered, and only segments of one cell are
+    compared, inside one array.  A curve that crosses is done and leaves.  Cells
+    that quartering does not empty, as around a spot that many lines pass
+    closely, are compared in blocks: every answer rests on a comparison.
     """
     block_rows = settled(points, [key], block_rows)
     fr = framed(points.select(key, "seq", "x", "y"), [key], ["seq"], 1, 1, block_rows)
@@ -328,8 +335,8 @@ def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SE
     line = line.join(n, F.col(key) == F.col("_key")).drop("_key")
     ring = (F.col("n") > 3) & (F.col("_a") == F.col("_b"))
     line = line.withColumn("ring", ring).drop("_a", "_b")
-    met = (line.filter(~(F.col("ring") & (F.col("i") == F.col("n")))).groupBy(key, "x", "y").agg(F.count(F.lit(1)).alias("c"))
-           .filter("c > 1").select(key))
+    met = (line.filter(~(F.col("ring") & (F.col("i") == F.col("n")))).groupBy(key, "x", "y").agg(F.count(F.lit(1)).alias("_met"))
+           .filter("_met > 1").select(key))
     fr = framed(line, [key], ["i"], 0, 2, block_rows)
     at = lambda c, k: F.lag(c, -k).over(fr.window)
     seg = fr.own(fr.df.withColumns({"bx": at("x", 1), "by": at("y", 1), "cx": at("x", 2), "cy": at("y", 2)})).filter("bx IS NOT NULL")
@@ -338,18 +345,20 @@ def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SE
     back = seg.filter((ux * vy - uy * vx == 0) & (ux * vx + uy * vy < 0)).select(key)
     seg = seg.select(key, "i", "n", "ring", F.col("x").alias("ax"), F.col("y").alias("ay"), "bx", "by", "x0", "x1", "y0", "y1")
     seg = seg.withColumns({"gx": F.lit(0).cast("long"), "gy": F.lit(0).cast("long")})
-    cells, parts, depth = [key, "gx", "gy"], [], 0
+    cells, depth = [key, "gx", "gy"], 0
+    hits = [materialise(met.unionByName(back).distinct())]
+    seg = materialise(seg.join(hits[0], key, "left_anti"))
+    most = MAX_PIECES * seg.count()
     while True:
-        sizes = seg.groupBy(*cells).agg(F.count(F.lit(1)).alias("_c"))
-        big = sizes.filter(F.col("_c") > cell_segments).drop("_c")
-        if depth == max_depth:  # so many lines within 2**-40 of the extent do touch
-            parts += [_cell_crossings(seg.join(big, cells, "left_anti"), key, cells), big.select(key)]
+        big = materialise(seg.groupBy(*cells).agg(F.count(F.lit(1)).alias("_c")).filter(F.col("_c") > cell_segments).drop("_c"))
+        hits.append(materialise(_cell_crossings(seg.join(big, cells, "left_anti"), key, cells).distinct()))
+        seg = materialise(seg.join(big, cells, "left_semi").join(hits[-1], key, "left_anti"))
+        left = seg.count()
+        if not left:
             break
-        if big.isEmpty():
-            parts.append(_cell_crossings(seg, key, cells))
+        if depth >= max_depth or left > most:
+            hits.append(_block_crossings(seg, key, cells, cell_segments, block_rows))
             break
-        parts.append(_cell_crossings(seg.join(big, cells, "left_anti"), key, cells))
-        seg = seg.join(big, cells, "left_semi")
         depth += 1
         side = float(2 ** depth)
         kids = F.explode(F.array(*[F.struct((F.col("gx") * 2 + dx).alias("gx"), (F.col("gy") * 2 + dy).alias("gy")) for dx in (0, 1) for dy in (0, 1)]))
@@ -364,10 +373,20 @@ def self_intersections(points: DataFrame, key: str, cell_segments: int = CELL_SE
         seg = seg.filter((F.greatest("ax", "bx") >= lo_x) & (F.least("ax", "bx") <= hi_x) & (F.greatest("ay", "by") >= lo_y)
                          & (F.least("ay", "by") <= hi_y) & (F.greatest(*corners) >= 0) & (F.least(*corners) <= 0))
         seg = materialise(seg)
-    hits = reduce(DataFrame.unionByName, [*parts, met, back]).distinct().withColumn("_hit", F.lit(True))
+    hits = reduce(DataFrame.unionByName, hits).distinct().withColumn("_hit", F.lit(True))
     return points.select(key).distinct().join(hits, key, "left").select(key, F.coalesce("_hit", F.lit(False)).alias("crosses"))
 
 
+def _block_crossings(seg: DataFrame, key: str, cells: list[str], size: int, block_rows: int | None) -> DataFrame:
+    """Curves with crossings in full cells: the segments of a cell in blocks, every block with every other, two at a time."""
+    block = F.floor((F.col("_place") - 1) / size).cast("long")
+    placed = positions(seg, cells, ["i"], "_place", block_rows).withColumn("_b", block).drop("_place")
+    last = placed.groupBy(*cells).agg(F.max("_b").alias("_last"))
+    other = F.explode(F.sequence(F.lit(0).cast("long"), F.col("_last")))
+    pairs = placed.join(last, cells).withColumn("_o", other).withColumns({"_b1": F.least("_b", "_o"), "_b2": F.greatest("_b", "_o")})
+    return _cell_crossings(pairs, key, [*cells, "_b1", "_b2"]).distinct()
+
+
 def _cell_crossings(seg: DataFrame, key: str, cells: list[str]) -> DataFrame:
     sets = seg.groupBy(*cells, "n", "ring").agg(F.collect_list(F.struct("i", "ax", "ay", "bx", "by")).alias("s"))
 

@@ -78,3 +78,23 @@ def test_a_long_chain_is_settled_in_few_rounds(spark):
     chain = spark.range(100_000).select(F.lit("a").alias("c"), F.col("id").alias("seq"), (F.col("id") * 0.75).alias("x"), F.lit(0.0).alias("y"))
     got = curves.drop_near_repeats(chain, "c", 1.0)
     assert got.agg(F.count("seq"), F.sum(F.col("seq") % 2)).first() == (50_001, 1)
+
+
+def star(spokes, inner, swap=False):
+    """A zigzag around a spot that it never meets; swapped inner points make it cross itself."""
+    turn = np.arange(spokes) * 2 * np.pi / spokes
+    near = turn + np.pi / spokes
+    if swap:
+        near[[10, spokes // 2]] = near[[spokes // 2, 10]]
+    p = np.empty((2 * spokes, 2))
+    p[::2], p[1::2] = np.c_[np.cos(turn), np.sin(turn)], inner * np.c_[np.cos(near), np.sin(near)]
+    return p
+
+
+@pytest.mark.parametrize("depth", [0, 3, 24])
+def test_lines_around_a_spot(spark, depth):
+    shapes = {"apart": star(500, 1e-13), "crossed": star(500, 1e-13, True), "wide": star(100, 0.5), "wide crossed": star(100, 0.5, True),
+              "met": np.concatenate([star(20, 0.3), [[0.0, 0.0]], star(20, 0.3) * 2, [[9.0, 9.0]]])}
+    frames = [pd.DataFrame({"c": k, "seq": np.arange(len(p)), "x": p[:, 0], "y": p[:, 1]}) for k, p in shapes.items()]
+    got = {r.c: r.crosses for r in curves.self_intersections(spark.createDataFrame(pd.concat(frames)), "c", max_depth=depth).collect()}
+    assert got == {"apart": False, "crossed": True, "wide": False, "wide crossed": True, "met": True}
