@@ -15,7 +15,8 @@ over the texts, never a larger automaton.
 Defined results: a null or empty text has no words and no hits; items without
 words are ignored; repeated items count once per row; repeated documents are
 judged alike; an empty table of either kind gives documents without hits;
-other columns are kept, those named like a result are replaced.
+item ids may be of any type that can be ordered; other columns are kept, those
+named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from . import words as W
 
 MAX_WORDS = 2_000_000
 GATE_BITS = 20
-RESULT = "n_words long, n_hit long, items array<long>, spans array<struct<start:int,end:int>>"
+RESULT = "n_words long, n_hit long, items array<{}>, spans array<struct<start:int,end:int>>"
 
 
 class Automaton:
@@ -139,7 +140,7 @@ def item_blocks(items: DataFrame, max_words: int = MAX_WORDS) -> list[list[tuple
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         w = W.words(batch.column("text"), W.NOT_ALNUM)
         return pa.RecordBatch.from_arrays([batch.column("item_id"), W.lists(w.hashes, w.first)], names=["item_id", "seq"])
-    rows = W.map_texts(items.select(F.col("item_id").cast("long"), "text"), run, "item_id long, seq array<long>")
+    rows = W.map_texts(items.select("item_id", "text"), run, f"item_id {items.schema['item_id'].dataType.simpleString()}, seq array<long>")
     out: list[list[tuple[int, list[int]]]] = [[]]
     size = 0
     for r in rows.orderBy("item_id").toLocalIterator():
@@ -151,8 +152,9 @@ def item_blocks(items: DataFrame, max_words: int = MAX_WORDS) -> list[list[tuple
     return out
 
 
-def scan(docs: DataFrame, block: list[tuple[int, list[int]]], window: int) -> DataFrame:
-    """Adds the hits of one block of items to the documents."""
+def scan(docs: DataFrame, block: list[tuple[int, list[int]]], window: int, ids: DataFrame) -> DataFrame:
+    """Adds the hits of one block of items to the documents; ``ids`` has the type of their item_id."""
+    id_type, arrow_type = ids.schema["item_id"].dataType.simpleString(), ids.select("item_id").limit(0).toArrow().schema.field(0).type
     machine = Automaton(block, window)
     runs = set()
     for _, seq in block:
@@ -193,9 +195,9 @@ def scan(docs: DataFrame, block: list[tuple[int, list[int]]], window: int) -> Da
                             for a, b in zip(edge[::2], edge[1::2], strict=True)]
         kind = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
         return [pa.array(np.diff(w.first).astype(np.int64)), pa.array(hits),
-                pa.array([sorted(x, key=lambda v: (v is not None, v)) for x in met], pa.list_(pa.int64())), pa.array(spans, kind)]
+                pa.array([sorted(x, key=lambda v: (v is not None, v)) for x in met], pa.list_(arrow_type)), pa.array(spans, kind)]
 
-    return W.add_columns(docs, make, RESULT)
+    return W.add_columns(docs, make, RESULT.format(id_type))
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int = 10, max_words: int = MAX_WORDS) -> DataFrame:
@@ -205,10 +207,10 @@ def hits(docs: DataFrame, items: DataFrame, window: int = 10, max_words: int = M
     every further block scans the texts again and merges its hits by row.
     """
     blocks = item_blocks(items, max_words)
-    out = scan(docs, blocks[0], window)
+    out = scan(docs, blocks[0], window, items)
     for block in blocks[1:]:
         first = out.withColumnsRenamed({"items": "_items", "spans": "_spans"})
-        more = scan(first, block, window)
+        more = scan(first, block, window, items)
         out = more.withColumns({"items": F.concat("_items", "items"), "spans": F.concat("_spans", "spans")}).drop("_items", "_spans")
         out = merged_spans(out)
     return out

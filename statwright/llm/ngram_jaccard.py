@@ -525,10 +525,11 @@ def ngram_components(docs: DataFrame, n: int = 5, similarity: tuple[int, int] =
 
 def deduplicate(docs: DataFrame, n: int = 5, similarity: tuple[int, int] = (4, 5)) -> DataFrame:
     """One document of each component, the one with the least doc_id.  Rows
-    with the same doc_id are one document, of which one row stays; documents
-    without words or without doc_id stay."""
+    with the same doc_id are one document, of which the row with the least text
+    (then the least JSON form) stays; documents without words or without doc_id stay."""
     found = written(ngram_components(docs, n, similarity).filter("doc_id = component_id").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows")))
     kept = join_same(docs, broadcast_if_small(found.select("doc_id"), LARGEST_IDS), ["doc_id"], "left_semi")
     if not found.filter("rows > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id"])
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        kept = kept.groupBy("doc_id").agg(F.min_by(row, F.struct("text", F.to_json(row))).alias("_row")).select("_row.*")
     return kept.unionByName(docs.filter("doc_id is null"))

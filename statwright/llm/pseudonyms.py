@@ -27,6 +27,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .words import shielded
+
 ROUNDS = 8
 #: Kinds in the order in which the pattern tries them.
 PATTERNS = {
@@ -134,13 +136,14 @@ def mask(docs: DataFrame, key: str) -> DataFrame:
     own = [c for c in docs.columns if c not in ("found", "n_found")]
     text = F.col("text")
     candidates = F.when(text.rlike(r"[0-9@]"), F.regexp_extract_all(text, F.lit(any_of), 1))
-    found = docs.select(*[F.col(f"`{c}`") for c in own]).withColumn("_c", F.coalesce(candidates, F.array().cast("array<string>")))
+    mine, back = shielded(docs.select(*[F.col(f"`{c}`") for c in own]), ("text",))
+    found = mine.withColumn("_c", F.coalesce(candidates, F.array().cast("array<string>")))
     # Each candidate is handled once per row that has it; texts without candidates pass untouched.
     made = found.withColumn("_m", F.transform("_c", lambda x: F.struct(kind_of(x).alias("kind"), x.alias("value"), pseudonym(x, key).alias("made"))))
     rest = F.split(text, any_of, -1)
     woven = F.array_join(F.concat(F.transform(F.arrays_zip(rest.alias("t"), F.col("_m.made").alias("p")),
                                               lambda z: F.concat(z["t"], F.coalesce(z["p"], F.lit(""))))), "")
     finds = F.filter("_m", lambda m: m["kind"].isNotNull())
-    return made.select(*[F.when(F.size("_c") > 0, woven).otherwise(text).alias("text") if c == "text" else F.col(f"`{c}`") for c in own],
+    return made.select(*[F.when(F.size("_c") > 0, woven).otherwise(text).alias("text") if c == "text" else kept for c, kept in zip(own, back, strict=True)],
                        F.transform(finds, lambda m: F.struct(m["kind"].alias("kind"), m["value"].alias("value"))).alias("found"),
                        F.size(finds).cast("long").alias("n_found"))

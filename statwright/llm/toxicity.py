@@ -262,6 +262,10 @@ def fit(train: DataFrame, machine: Machine) -> Weights:
     return Weights({k: (v[0], v[1]) for k, v in cells.items()}, tuple(beta.tolist()))
 
 
+#: Score of every text where there is no usable label.
+UNLABELLED = 0.05
+
+
 def probability(c: tuple[int, ...], w: Weights, prior: float = 5.0) -> float:
     """Share of toxic documents in the cell, drawn to the logistic model with the weight of ``prior`` documents."""
     z = w.beta[0] + sum(b * x for b, x in zip(w.beta[1:], c, strict=True))
@@ -282,7 +286,6 @@ def score(docs: DataFrame, labels: DataFrame, held_out: str | None = None, max_l
         machine, weights = shared.value
         f = features(batch.column("text"), machine)
         memo: dict[tuple[int, ...], float] = {}
-        p = np.array([memo.get(c) or memo.setdefault(c, probability(c, weights)) for c in cell(f)], float)
-        flag = (p >= 0.5) & bool(weights.cells)
-        return [pa.array(p), pa.array(flag.astype(np.int32)), *(pa.array(f[:, k]) for k in range(1, 5))]
+        p = np.array([memo.get(c) or memo.setdefault(c, probability(c, weights) if weights.cells else UNLABELLED) for c in cell(f)], float)
+        return [pa.array(p), pa.array((p >= 0.5).astype(np.int32)), *(pa.array(f[:, k]) for k in range(1, 5))]
     return W.add_columns(docs, make, "score double, predicted int, n_direct long, n_quoted long, n_misspelt long, n_misspelt_quoted long")

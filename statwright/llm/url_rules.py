@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions.sizes import broadcast_if_small
 from ..functions.storage import materialise
+from .words import shielded
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 MIN_SUPPORT = 0.005
@@ -118,11 +119,12 @@ def judge(pages: DataFrame, rules: list[Rule] | DataFrame, labelled: DataFrame |
         rules = spark.createDataFrame([tuple(r) for r in rules], "verdict string, host string, path string")
     host, path = host_and_path(F.col("url"))
     own = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict", "confidence", "given")]
-    cut = pages.select(*[F.col(f"`{c}`") for c in own]).withColumns({"host": host, "path": path})
+    mine_, back = shielded(pages.select(*[F.col(f"`{c}`") for c in own]), ("url",))
+    cut = mine_.withColumns({"host": host, "path": path})
     found = with_rules(cut, rules)
     if labelled is None:
         found = found.withColumn("confidence", F.lit(None).cast("double"))
     else:
         found = with_mined(found, mine(labelled))
     verdict = F.coalesce("given", F.when(F.col("confidence").isNotNull(), "block").otherwise("allow"))
-    return found.select(*[F.col(f"`{c}`") for c in own], "host", "path", "rule", "confidence", verdict.alias("verdict"))
+    return found.select(*back, "host", "path", "rule", "confidence", verdict.alias("verdict"))
