@@ -3,22 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import cached_property, reduce
 from typing import NamedTuple
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.storage import written
 from ..operators import components, correlation, outliers, profile
 
 
-class OutlierWorkflow(NamedTuple):
-    statistics: DataFrame
+@dataclass
+class OutlierWorkflow:
+    """What the methods found and what is left; the tables of numbers are made when they are asked for."""
+
+    df: DataFrame
+    columns: Sequence[str]
     zscore: DataFrame | None
     iqr: DataFrame | None
     pca: DataFrame | None
     consensus: outliers.Consensus
     cleaned: DataFrame
-    comparison: DataFrame
-    second: "OutlierWorkflow | None"
+    second: OutlierWorkflow | None
+
+    @cached_property
+    def statistics(self) -> DataFrame:
+        return profile.advanced_statistics(self.df, self.columns)
+
+    @cached_property
+    def comparison(self) -> DataFrame:
+        return outliers.before_after(self.df, self.cleaned, self.columns)
 
 
 def outlier_workflow(df: DataFrame, row_id: str, columns: Sequence[str],
@@ -26,7 +41,8 @@ def outlier_workflow(df: DataFrame, row_id: str, columns: Sequence[str],
                      iqr_k: float = 1.5, pca_variance: float = 0.95, removal: str = "consensus",
                      min_methods: int = 2, second_run: bool = True) -> OutlierWorkflow:
     """Statistics, the chosen methods, their consensus, removal, and the same
-    once more over the cleaned rows."""
+    once more over the cleaned rows.  The ids that the methods found and those
+    that go are written, so cleaning is an anti join with a table of ids and no method runs twice."""
     zscore = iqr = pca = None
     found = {}
     if "zscore" in methods:
@@ -39,14 +55,14 @@ def outlier_workflow(df: DataFrame, row_id: str, columns: Sequence[str],
     if "pca" in methods:
         pca = components.distance_outliers(df, columns, pca_variance).rows
         found["pca"] = pca
-    cleaned = outliers.without_outliers(df, found, row_id, removal, min_methods)
+    marks = written(reduce(DataFrame.unionByName, [rows.select(row_id, F.lit(name).alias("_method")) for name, rows in found.items()]))
+    found = {name: marks.filter(F.col("_method") == name).select(row_id) for name in found}
+    cleaned = df.join(written(outliers.rows_to_remove(found, row_id, removal, min_methods)), row_id, "left_anti")
     second = None
     if second_run:
         second = outlier_workflow(cleaned, row_id, columns, methods, zscore_threshold, iqr_k, pca_variance,
                                   removal, min_methods, second_run=False)
-    return OutlierWorkflow(profile.advanced_statistics(df, columns), zscore, iqr, pca,
-                           outliers.consensus(found, row_id), cleaned,
-                           outliers.before_after(df, cleaned, columns), second)
+    return OutlierWorkflow(df, columns, zscore, iqr, pca, outliers.consensus(found, row_id), cleaned, second)
 
 
 class CorrelationReport(NamedTuple):
