@@ -168,7 +168,7 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFram
         out = [np.append(ids[a:b], tail).astype(np.uint32) for a, b in zip(first, first[1:], strict=False)]
         out = [b"\2" + x.astype("<u2").tobytes() if not len(x) or x.max() < 1 << 16 else b"\4" + x.astype("<u4").tobytes() for x in out]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
-    return W.map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids binary", most=1 << 22)
+    return W.map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids binary", most=1 << 21)
 
 
 def shards(docs: DataFrame, path: str, n: int, end_id: int | None = END_ID) -> DataFrame:
