@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _test_folder: str | None = None
 
 
@@ -40,9 +41,26 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, release: bool = False) -> DataFrame:
     """The same as a Parquet table in the shared folder: smaller than a
-    checkpoint, and later steps read only the columns they use."""
-    path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    checkpoint, and later steps read only the columns they use.  ``release``:
+    Spark drops the shuffle files of this write as soon as it is done."""
+    spark = df.sparkSession
+    path = scratch_path(spark, "table")
+    before = spark.conf.get(CLEANUP)
+    if release:
+        spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, **options: str) -> DataFrame:
+    """The same as a Parquet table in buckets of ``key``, as many as shuffles have partitions: joins by ``key`` read it in place."""
+    spark = df.sparkSession
+    name = f"statwright_{uuid.uuid4().hex}"
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(n, key).sortBy(key).format("parquet").options(**options).option("path", scratch_path(spark, "table")).saveAsTable(name)
+    return spark.table(name)

@@ -15,9 +15,20 @@ whose words occur at least twice:
     arc     p(w|v) = (c(v w) - D) / c(v) + b(v) p(w)
     failure b(v)   = 1 - sum over the arcs of v of (c(v w) - D) / c(v)
 
-so the probabilities of each state sum to one.  Every bigram that occurs twice
-is an arc, at any corpus size.  Words and arcs are one table that grows with
-the corpus.  Its entries with at least one in ``shard_words`` of all tokens (so
+so the probabilities of each state sum to one.
+
+``corpus`` scores a table that holds the training texts themselves.  There
+every bigram of a training text is an arc, those seen once too, and D comes
+from the counts of counts of all bigrams, so b(v) = D t(v) / c(v) with t(v) the
+number of different words after v.  Texts are cut into pieces and written as
+places in the words of their piece.  The distinct bigrams of all pieces meet
+by hash, then the words; each piece gets back what it can't know alone (what
+only one piece has is known there), and its texts are walked with the state
+carried from word to word.
+
+``train`` and ``score`` are for texts that come later: there every bigram that
+occurs ``LEAST`` times is an arc, at any corpus size.  Words and arcs are one
+table that grows with the corpus.  Its entries with at least one in ``shard_words`` of all tokens (so
 at most that many words and arcs) are sent to the tasks; the other words and
 bigrams of each text are joined with the rest of the table, save those that a
 bitmap of the rest (``FILTER_BITS`` at any size) shows to be in none.  Where an
@@ -37,16 +48,22 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ..functions.storage import written
+from ..functions.storage import bucketed, written
 from . import words as W
 
 RESULT = "n_tokens long, n_known long, base_score double, score double"
 LEAST = 2
 SHARD_WORDS = 1 << 21
 ROWS = 1 << 18
+CHUNK = 1 << 20
+PIECE = 1 << 23
+MET = "piece long, keys array<long>, n array<long>, t array<long>"
+STATS = -1
 FILTER_BITS = 28
 END = W.mix(np.array([0x656E64], dtype=W.U))[0]
 BEGIN = W.mix(np.array([0x626567696E], dtype=W.U))[0]
@@ -235,3 +252,220 @@ def score(docs: DataFrame, model: Model, entries: DataFrame, shard_words: int =
     for c, add in (("n_known", "_known"), ("base_score", "_base"), ("score", "_gain")):
         out = out.withColumn(c, F.col(c) + F.coalesce(add, F.lit(0)))
     return out.select(*[b for b, c in zip(back, named, strict=True) if keep_text or c != "text"], *results)
+
+
+class Bigrams(NamedTuple):
+    """The distinct bigrams of a piece: places of both words (the place after the last word is the head of a text),
+    which of them each token ends, and how often each ends a token of a training text."""
+
+    v: np.ndarray
+    w: np.ndarray
+    of: np.ndarray
+    n: np.ndarray
+
+
+def bigrams_of(token: np.ndarray, first: np.ndarray, trained: np.ndarray, distinct: int) -> Bigrams:
+    before = np.empty(len(token), np.int64)
+    before[1:] = token[:-1]
+    before[first[:-1]] = distinct
+    code, of = np.unique(before * (distinct + 1) + token, return_inverse=True)
+    n = np.bincount(of[np.repeat(trained, np.diff(first))], minlength=len(code))
+    return Bigrams(code // (distinct + 1), code % (distinct + 1), of.astype(np.int32), n)
+
+
+def flat(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
+    """All values of a list column; null lists have none."""
+    got = pc.list_flatten(column)
+    return (got.combine_chunks() if isinstance(got, pa.ChunkedArray) else got).to_numpy(zero_copy_only=False)
+
+
+def cut(docs: DataFrame, own: list[str]) -> DataFrame:
+    """One row a piece of about ``PIECE`` bytes of text: columns ``own`` of its texts, whether they are ``_trained``, their numbers
+    of tokens, the hashes of its distinct words, the commonest first, and the tokens as places there."""
+    kinds = T.StructType([docs.schema[c] for c in own])
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        first, w = tokens(batch.column("text"))
+        words, place, often = np.unique(w, return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(words), np.int32)
+        rank[order] = np.arange(len(words))
+        n = batch.num_rows
+        texts = pa.StructArray.from_arrays([batch.column(c) for c in own], names=own) if own else pa.nulls(n, pa.struct([]))
+        one = np.array([0, 1])
+        return pa.RecordBatch.from_arrays(
+            [pa.ListArray.from_arrays(pa.array([0, n], pa.int32()), x) for x in (texts, batch.column("_trained"))]
+            + [W.lists(x, one * len(x)) for x in (np.diff(first).astype(np.int64), words[order], rank[place])],
+            names=["own", "trained", "sizes", "words", "tokens"])
+    schema = T.StructType([T.StructField("own", T.ArrayType(kinds)), T.StructField("trained", T.ArrayType(T.BooleanType())),
+                           *(T.StructField(c, T.ArrayType(k)) for c, k in (("sizes", T.LongType()), ("words", T.LongType()), ("tokens", T.IntegerType())))])
+    need = docs.select(*dict.fromkeys([*own, "text", "_trained"]))
+    return W.map_texts(need, run, schema, most=PIECE).withColumn("piece", F.monotonically_increasing_id())
+
+
+class Piece(NamedTuple):
+    """A piece with what came back for its bigrams: bounds of its texts, hashes of its words and of the head of a text, its
+    bigrams, how often its training texts have each word, how many distinct words follow there that no other piece
+    counts, and how often all training texts have each bigram."""
+
+    first: np.ndarray
+    token: np.ndarray
+    hashes: np.ndarray
+    pairs: Bigrams
+    c: np.ndarray
+    t: np.ndarray
+    arcs: np.ndarray
+
+
+def keys_of(hashes: np.ndarray, pairs: Bigrams) -> tuple[np.ndarray, np.ndarray]:
+    """(hashes of the bigrams in order, their places)."""
+    key = W.follow(hashes[pairs.v], hashes[pairs.w])
+    order = np.argsort(key)
+    return key[order], order
+
+
+def opened(row: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, Bigrams]:
+    size, hashes, token, trained = (flat(row.column(c)) for c in ("sizes", "words", "tokens", "trained"))
+    first = np.concatenate([[0], np.cumsum(size)])
+    return first, token, np.append(hashes.view(W.U), BEGIN), trained, bigrams_of(token, first, trained, len(hashes))
+
+
+def settled(row: pa.RecordBatch) -> Piece:
+    first, token, hashes, trained, b = opened(row)
+    c = np.bincount(b.w, b.n, len(hashes)).astype(np.int64)
+    c[-1], t = trained.sum(), np.bincount(b.v[b.n > 0], minlength=len(hashes))
+    key, order = keys_of(hashes, b)
+    at, n = order[np.searchsorted(key, flat(row.column("keys")).view(W.U))], flat(row.column("n"))
+    arcs = b.n.copy()
+    arcs[at] = n >> 1
+    other = at[(n & 1 == 0) & (b.n[at] > 0)]
+    return Piece(first, token, hashes, b, c, t - np.bincount(b.v[other], minlength=len(hashes)), arcs)
+
+
+def by_piece(df: DataFrame, make: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | T.StructType) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                yield from make(batch.slice(i, 1))
+    return df.mapInArrow(W.tidy(run), schema)
+
+
+def sent(row: pa.RecordBatch, **columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    piece, size = row.column("piece")[0].as_py(), len(columns["key"])
+    for a in range(0, size, ROWS):
+        part = {k: pa.array((x.view(np.int64) if x.dtype == W.U else x)[a:a + ROWS]) for k, x in columns.items()}
+        yield pa.RecordBatch.from_pydict({"piece": pa.array(np.full(min(ROWS, size - a), piece)), **part})
+
+
+def pairs_asked(row: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The distinct bigrams of a piece and how often its training texts have each, in an order that compresses well."""
+    _, _, hashes, _, b = opened(row)
+    key, order = keys_of(hashes, b)
+    n = b.n[order]
+    order = np.argsort(n, kind="stable")
+    yield from sent(row, key=key[order], n=n[order])
+
+
+def words_asked(row: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """The distinct words of a piece, how often its training texts have each, and how many distinct words it counts after each."""
+    p = settled(row)
+    yield from sent(row, key=p.hashes, n=p.c, t=p.t)
+
+
+def met(rows: DataFrame) -> DataFrame:
+    """The rows of a key brought together: for each piece the sums that differ from its own.  Bigrams come back as twice the
+    sum, plus one for the one piece that counts it as a follower.  Rows ``STATS`` have (tokens, distinct) of words, or
+    (tokens of bigrams seen twice or more, bigrams seen twice, seen once) of bigrams."""
+    words = "t" in rows.columns
+
+    def settle(key: np.ndarray, piece: np.ndarray, n: np.ndarray, t: np.ndarray | None = None) -> pa.RecordBatch:
+        heads = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        group = np.repeat(np.arange(len(heads)), np.diff(np.append(heads, len(key))))
+        total = np.add.reduceat(n, heads)
+        if t is not None:
+            after = np.add.reduceat(t, heads)
+            out = np.flatnonzero((total[group] != n) | (after[group] != t))
+            first, second = total[group[out]], after[group[out]]
+            real = total[key[heads] != BEGIN.view(np.int64)]
+            stats = [real.sum(), np.count_nonzero(real)]
+        else:
+            out = np.flatnonzero(total[group] != n)
+            learned = np.flatnonzero(n > 0)
+            owner = np.zeros(len(key), np.int64)
+            owner[learned[np.unique(group[learned], return_index=True)[1]]] = 1
+            first, second = 2 * total[group[out]] + owner[out], np.zeros(0, np.int64)
+            stats = [total[total > 1].sum(), (total == 2).sum(), (total == 1).sum()]
+        order = np.argsort(piece[out], kind="stable")
+        to = piece[out][order]
+        ends = np.append(np.flatnonzero(np.concatenate([[True], to[1:] != to[:-1]])) if len(to) else np.zeros(0, np.int64), len(to))
+        names = np.append(to[ends[:-1]], STATS)
+        lists = [W.lists(key[out][order], np.append(ends, len(to))), W.lists(np.append(first[order], stats), np.append(ends, len(to) + len(stats)))]
+        lists.append(W.lists(second[order], np.append(ends, len(to))) if words else W.lists(second, np.zeros(len(names) + 1)))
+        return pa.RecordBatch.from_arrays([pa.array(names), *lists], names=["piece", "keys", "n", "t"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list[np.ndarray]] = []
+        size = 0
+        for b in batches:
+            if not b.num_rows:
+                continue
+            held.append([c.to_numpy() for c in b.columns])
+            size += b.num_rows
+            if size >= CHUNK and held[0][0][0] != held[-1][0][-1]:
+                got = [np.concatenate(x) for x in zip(*held, strict=True)]
+                last = int(np.searchsorted(got[0], got[0][-1]))
+                yield settle(*(x[:last] for x in got))
+                held, size = [[x[last:].copy() for x in got]], len(got[0]) - last
+        if size:
+            yield settle(*(np.concatenate(x) for x in zip(*held, strict=True)))
+    return rows.select("key", "piece", "n", *["t"] * words).repartition("key").sortWithinPartitions("key").mapInArrow(W.tidy(run), MET)
+
+
+def corpus(docs: DataFrame, trained: Column, keep_text: bool = True) -> DataFrame:
+    """Adds ``n_tokens``, ``n_known``, ``base_score``, ``score`` and ``train_tokens`` to all texts, learned from those
+    with ``trained``; ``text`` is left out where it isn't kept."""
+    results = ("n_tokens", "n_known", "base_score", "score", "train_tokens")
+    mark = "_trained"
+    while mark in docs.columns:
+        mark += "_"
+    marked = docs.withColumn(mark, F.coalesce(trained, F.lit(False))).drop(*results)
+    mine, back = W.shielded(marked, ("text", mark))
+    mine = mine.withColumnRenamed(mark, "_trained")
+    named = [c for c in marked.columns if c != mark and (keep_text or c != "text")]
+    own = [c for c in mine.columns if c != "_trained" and (keep_text or c != "text")]
+    # Places of words, the commonest first, are smaller as plain numbers under zstd than by Parquet's dictionary.
+    pieces = bucketed(cut(mine, own), "piece", **{"compression": "zstd", "parquet.enable.dictionary": "false"})
+    read = pieces.select("piece", "trained", "sizes", "words", "tokens")
+
+    def together(df: DataFrame, *names: str) -> DataFrame:
+        return df.filter(F.col("piece") >= 0).groupBy("piece").agg(*(F.flatten(F.collect_list(c)).alias(a) for c, a in zip(df.columns[1:], names)))
+
+    def statistics(df: DataFrame, many: int) -> list[int]:
+        return [x or 0 for x in df.filter(F.col("piece") == STATS).agg(*(F.sum(F.col("n")[k]) for k in range(many))).first()]
+
+    pairs = written(met(by_piece(read, pairs_asked, "piece long, key long, n long")), release=True).select("piece", "keys", "n")
+    _, two, one = statistics(pairs, 3)
+    discount = one / (one + 2 * two) if one and two else 0.5
+    pairs = together(pairs, "keys", "n")
+    singles = written(met(by_piece(read.join(pairs, "piece", "left"), words_asked, "piece long, key long, n long, t long")), release=True)
+    n, distinct = statistics(singles, 2)
+    size = float(n + distinct + 1)
+    kinds = T.StructType([*(mine.schema[c] for c in own), *T.StructType.fromDDL(RESULT + ", train_tokens long").fields])
+
+    def walk(row: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        p = settled(row)
+        order = np.argsort(p.hashes)
+        at = order[np.searchsorted(p.hashes[order], flat(row.column("word")).view(W.U))]
+        c, t, b = p.c.copy(), p.t.copy(), p.pairs
+        c[at], t[at] = flat(row.column("c")), flat(row.column("t"))
+        root = (c + 1) / size
+        seen = c[b.v]
+        arc = np.where(p.arcs > 0, p.arcs - discount, 0.0)
+        step = np.log10(np.where(seen > 0, (arc + discount * t[b.v] * root[b.w]) / np.maximum(seen, 1), root[b.w]))
+        columns = [np.diff(p.first), W.sums((c[p.token] > 0).astype(np.int64), p.first), W.sums(np.log10(root)[p.token], p.first), W.sums(step[b.of], p.first),
+                   np.full(len(p.first) - 1, n, np.int64)]
+        texts = pc.list_flatten(row.column("own")).flatten() if own else []
+        yield pa.RecordBatch.from_arrays([*texts, *(pa.array(x) for x in columns)], names=[*own, *results])
+
+    rows = pieces.join(pairs, "piece", "left").join(together(singles, "word", "c", "t"), "piece", "left")
+    return by_piece(rows, walk, kinds).select(*[b for b, c in zip(back, marked.columns, strict=True) if c in named], *results)

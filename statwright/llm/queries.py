@@ -88,10 +88,8 @@ def op7_backoff_lm(spark: SparkSession, folder: str) -> DataFrame:
     """Backoff scores of all documents, learned from six in seven."""
     docs = table(spark, folder, "documents").select("doc_id", "text")
     out_of_training = F.pmod(F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(7)) == 2
-    model, entries = backoff_lm.train(docs.filter(~out_of_training))
-    return backoff_lm.score(docs, model, entries, keep_text=False).select(
-        "doc_id", out_of_training.alias("held_out"), "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),
-        "base_score", "score")
+    return backoff_lm.corpus(docs, ~out_of_training, keep_text=False).select(
+        "doc_id", out_of_training.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -1,7 +1,9 @@
 """Conversation repair, removal of repeated passages and whitening against brute force."""
 
+import collections
 import hashlib
 import itertools
+import math
 import random
 import re
 import zlib
@@ -11,7 +13,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from statwright.llm import conversations, substring_dedup, whitening
+from statwright.llm import backoff_lm, conversations, substring_dedup, whitening
 from statwright.llm import queries as Q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -317,3 +319,39 @@ def test_query_of_whitening(spark):
         n, deviation, z, share = want[r.vec_id]
         assert (r.n, r.deviation) == (n, deviation) and abs(r.whitened) == pytest.approx(abs(z[r.component - 1]), abs=1e-9)
         assert r.explained == pytest.approx(share[r.component - 1]) and r.identity_error < 1e-4
+
+
+def test_every_bigram_of_the_training_texts_is_an_arc(spark, monkeypatch):
+    """A bigram seen once is learned, in one piece of text or many; learned and unknown texts, empty and null ones."""
+    texts = ["a b a b c", "a b x y", "A\tb z", "", None, "c a", "once only here", "a b x y q", "y x", "here once", "only here"] * 2 + ["last word"]
+    rows = [(i, t, "o", i) for i, t in enumerate(texts)]
+    seqs = {i: [*re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower()), "\0end"] for i, t, *_ in rows}
+    for learned in (lambda i: i % 3 != 1, lambda i: i < 11, lambda i: i == 6, lambda i: False):
+        c, pair, n = collections.Counter(), collections.Counter(), 0
+        for i, w in seqs.items():
+            if learned(i):
+                c.update(w)
+                pair.update(zip(["\0begin", *w], w, strict=False))
+                n += len(w)
+        history = c + collections.Counter({"\0begin": sum(map(learned, seqs))})
+        one, two = (sum(k == m for k in pair.values()) for m in (1, 2))
+        discount = one / (one + 2 * two) if one and two else 0.5
+        after = collections.Counter(v for v, _ in pair)
+        for most in (1 << 22, 12):
+            with monkeypatch.context() as m:
+                m.setattr(backoff_lm, "CHUNK", most)
+                df = spark.createDataFrame(rows, "doc_id long, text string, own string, piece int").repartition(1 if most > 99 else 7)
+                wanted = F.col("doc_id").isin([i for i in seqs if learned(i)])
+                got = {r.doc_id: r for r in backoff_lm.corpus(df, wanted).collect()}
+            assert len(got) == len(rows)
+            for i, t, own, piece in rows:
+                r, base, score = got[i], 0.0, 0.0
+                assert (r.text, r.own, r.piece, r.n_tokens, r.n_known, r.train_tokens) == (t, own, piece, len(seqs[i]), sum(c[x] > 0 for x in seqs[i]), n)
+                for v, x in zip(["\0begin", *seqs[i]], seqs[i], strict=False):
+                    root = (c[x] + 1) / (n + len(c) + 1)
+                    base += math.log10(root)
+                    k = pair[v, x]
+                    score += math.log10(((k - discount if k else 0) + discount * after[v] * root) / history[v] if history[v] else root)
+                assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-9, abs_tol=1e-9)
+    empty = spark.createDataFrame([], "doc_id long, text string")
+    assert backoff_lm.corpus(empty, F.lit(True)).count() == 0
