@@ -12,7 +12,9 @@ writes and reads it, so it may lie in any store the cluster reaches.  Blocks
 of one shard follow each other in doc_id order, and so do shards; a block's
 first position is the sum of all blocks before it.
 
-Encoding asks the tokenizer for each distinct word of a task once.  Words here
+Encoding asks the tokenizer for the distinct words of a piece of text that are
+not known yet, hundreds at a time with a mark between two.  Where the mark's id
+does not come out between all of them, they are asked one by one.  Words here
 are cut at ASCII white space, which the tokenizer never joins over.
 
 Defined results: a null or empty text is only its end id; null doc_ids come
@@ -23,7 +25,6 @@ empty table gives an empty file set and no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
-import itertools
 import os
 import zlib
 from collections.abc import Iterator
@@ -41,40 +42,73 @@ RANK = 512
 END_ID = 1
 FILE = ("shard int, block int, n_ids long, doc_ids binary, doc_nulls binary, doc_counts binary, "
         "levels array<binary>, marks array<binary>, ranks array<binary>")
-CACHE_WORDS = 1 << 19
+CACHE_WORDS = 1 << 20
+MARK = b"\x01"
+TOGETHER = 500
 COUNT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.uint8)
 
 
 class Known:
-    """Codes of words seen often, as flat arrays: word hashes in order, and where each word's ids lie."""
+    """Codes of words seen before, as flat arrays: word hashes in order, where each word's ids lie, and whether the word
+    came again since the last time that room was made."""
 
     def __init__(self, path: str) -> None:
         # One thread: Spark already uses every core, and each thread holds memory of its own.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.mark = self.marked()
         self.clear()
 
     def clear(self) -> None:
         self.words, self.start, self.size = np.zeros(0, W.U), np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.ids = np.zeros(0, np.uint32)
-
-    def ask(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        self.ids, self.again = np.zeros(0, np.uint32), np.zeros(0, dtype=bool)
+
+    def make_room(self) -> None:
+        """Drop the words that did not come again, or all where that leaves too many."""
+        k = np.flatnonzero(self.again)
+        if len(k) > CACHE_WORDS // 2:
+            return self.clear()
+        self.words, self.ids, self.size = self.words[k], self.ids[W.span(self.start[k], self.size[k])], self.size[k]
+        self.start, self.again = np.concatenate([[0], np.cumsum(self.size)]).astype(np.int64)[:-1], np.zeros(len(k), dtype=bool)
+
+    def marked(self) -> int:
+        """The id of the mark between words, -1 where words asked together are not encoded as each alone."""
+        mark, *each = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in (MARK.decode(), "ab", "The", "cd,", "9", "'s", "\u00e9"))
+        between = self.tokenizer.encode(f"\n{MARK.decode()}\n".join(("ab", "The", "cd,", "9", "'s", "\u00e9")), add_special_tokens=False).ids
+        want = each[0] + [x for ids in each[1:] for x in (*mark, *ids)]
+        return mark[0] if len(mark) == 1 and between == want and want.count(mark[0]) == len(each) - 1 else -1
+
+    def ask(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(size of each, ids) from the tokenizer."""
-        sizes, flat = [], []
-        for a in range(0, len(texts), 5_000):
-            got = [e.ids for e in self.tokenizer.encode_batch_fast(texts[a:a + 5_000], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, got), np.int64, len(got)))
-            flat.append(np.fromiter(itertools.chain.from_iterable(got), np.uint32))
-        return (np.concatenate(sizes), np.concatenate(flat)) if sizes else (np.zeros(0, np.int64), np.zeros(0, np.uint32))
+        sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
+        some = 10 * TOGETHER
+        for a in range(0, len(words), some):
+            parts = [words[i:i + TOGETHER] for i in range(a, min(a + some, len(words)), TOGETHER)]
+            got = self.encoded([(b"\n" + MARK + b"\n").join(x) for x in parts]) if self.mark >= 0 else [None] * len(parts)
+            for part, ids in zip(parts, got, strict=True):
+                ends = np.flatnonzero(ids == self.mark) if ids is not None else None
+                if ends is not None and len(ends) == len(part) - 1:
+                    sizes.append(np.diff(np.concatenate([[-1], ends, [len(ids)]])) - 1)
+                    flat.append(np.delete(ids, ends))
+                else:
+                    each = self.encoded(part)
+                    sizes.append(np.fromiter(map(len, each), np.int64, len(each)))
+                    flat.extend(each)
+        return np.concatenate(sizes), np.concatenate(flat)
+
+    def encoded(self, texts: list[bytes]) -> list[np.ndarray]:
+        got = self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
+        return [np.array(e.ids, np.uint32) for e in got]
 
     def keep(self, words: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
         if len(self.words) + len(words) > CACHE_WORDS:
-            self.clear()
+            self.make_room()
         order = np.argsort(np.concatenate([self.words, words]), kind="stable")
         self.start = np.concatenate([self.start, len(self.ids) + np.concatenate([[0], np.cumsum(size)[:-1]]).astype(np.int64)])[order]
         self.ids = np.concatenate([self.ids, ids[W.span(start, size)]])
         self.words, self.size = np.concatenate([self.words, words])[order], np.concatenate([self.size, size])[order]
+        self.again = np.concatenate([self.again, np.zeros(len(words), dtype=bool)])[order]
 
 
 @functools.lru_cache(maxsize=2)
@@ -91,7 +125,7 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     old = known.words[place] == distinct if len(known.words) else np.zeros(len(distinct), dtype=bool)
     new = np.flatnonzero(~old)
     raw = w.data.tobytes() if len(new) else b""
-    sizes, ids = known.ask([raw[a:b].decode("utf-8", "replace") for a, b in zip(w.starts[at[new]].tolist(), w.ends[at[new]].tolist(), strict=True)])
+    sizes, ids = known.ask([raw[a:b] for a, b in zip(w.starts[at[new]].tolist(), w.ends[at[new]].tolist(), strict=True)])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if len(sizes) else sizes
     start, size = np.empty(len(distinct), np.int64), np.empty(len(distinct), np.int64)
     start[old], size[old] = known.start[place[old]], known.size[place[old]]
@@ -99,7 +133,8 @@ def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     flat = np.concatenate([known.ids, ids])
     per = size[inverse] if len(inverse) else np.zeros(0, np.int64)
     out = flat[W.span(start[inverse], per)] if len(per) else flat[:0]
-    again = np.flatnonzero(often[new] > 1)
+    known.again[place[old]] = True
+    again = np.arange(len(new)) if len(known.words) + len(new) <= CACHE_WORDS else np.flatnonzero(often[new] > 1)
     if len(again):
         known.keep(distinct[new[again]], starts[again], sizes[again], ids)
     return np.concatenate([[0], np.cumsum(per)])[w.first], out

@@ -10,10 +10,11 @@ import zlib
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from statwright.llm import backoff_lm, conversations, substring_dedup, whitening
+from statwright.llm import backoff_lm, conversations, substring_dedup, token_codes, whitening
 from statwright.llm import queries as Q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -355,3 +356,32 @@ def test_every_bigram_of_the_training_texts_is_an_arc(spark, monkeypatch):
                 assert math.isclose(r.base_score, base, rel_tol=1e-9, abs_tol=1e-9) and math.isclose(r.score, score, rel_tol=1e-9, abs_tol=1e-9)
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert backoff_lm.corpus(empty, F.lit(True)).count() == 0
+
+
+def test_words_asked_together_have_the_ids_of_each_alone(monkeypatch):
+    """Words with the mark in them, odd blanks, joiners and broken bytes; a full store of known words; few questions."""
+    path = Q.tokenizer_path()
+    fresh = token_codes.Known(path)
+    words = ["ab", "\x01", "a\x01b", "\x01\x01", "don't", "'s", "x y", "́e", "é", "é", "<|endoftext|>", "‍", "9", "\U0001f600", "\x1c", " z", "ΟΔΟΣ"]
+    words += [f"w{i}q" for i in range(3000)]
+    alone = [fresh.tokenizer.encode(x, add_special_tokens=False).ids for x in words]
+    assert fresh.mark >= 0
+    for some in (words, words[:17], words[17:], words[:1], []):
+        size, ids = fresh.ask([x.encode() for x in some])
+        want = alone[:len(some)] if some is not words[17:] and some != words[17:] else alone[17:]
+        assert size.tolist() == [len(x) for x in want] and ids.tolist() == [y for x in want for y in x]
+    token_codes.known_words.cache_clear()
+    asked, ask = [], token_codes.Known.ask
+    monkeypatch.setattr(token_codes.Known, "ask", lambda self, x: asked.extend(x) or ask(self, x))
+    rng = random.Random(3)
+    texts = [" ".join(rng.choices(words, k=400)) for _ in range(40)]
+    for most in (1 << 20, 900, 50):
+        monkeypatch.setattr(token_codes, "CACHE_WORDS", most)
+        token_codes.known_words(path).clear()
+        asked.clear()
+        for t in texts:
+            _, ids = token_codes.encode(pa.array([t]), path)
+            assert ids.tolist() == fresh.tokenizer.encode(t, add_special_tokens=False).ids
+        if most > len(words):
+            assert len(asked) == len(set(asked))  # words seen once in a piece are remembered too
+    token_codes.known_words.cache_clear()
