@@ -15,7 +15,10 @@ first position is the sum of all blocks before it.
 Encoding asks the tokenizer for the distinct words of a piece of text that are
 not known yet, hundreds at a time with a mark between two.  Where the mark's id
 does not come out between all of them, they are asked one by one.  Words here
-are cut at ASCII white space, which the tokenizer never joins over.
+are cut at ASCII white space, which the tokenizer never joins over.  Where the
+tokenizer itself lower-cases and then encodes runs of letters, single digits
+and runs of other signs apart (``SPLIT``), words of ASCII and the letters À-ÿ
+are cut there too and compared in lower case: far fewer are new.
 
 Defined results: a null or empty text is only its end id; null doc_ids come
 first; rows with equal doc_id follow each other, ordered by their ids; an
@@ -25,7 +28,9 @@ empty table gives an empty file set and no rows; other columns are ignored.
 from __future__ import annotations
 
 import functools
+import json
 import os
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -44,7 +49,22 @@ FILE = ("shard int, block int, n_ids long, doc_ids binary, doc_nulls binary, doc
         "levels array<binary>, marks array<binary>, ranks array<binary>")
 CACHE_WORDS = 1 << 19
 MARK = b"\x01"
-TOGETHER = 500
+TOGETHER = 100
+NORMAL = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+SPLIT = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+#: What begins a special token; words with it stay whole.
+SPECIAL = "<|"
+#: Of such texts the normalizer only changes the case.
+PLAIN = re.compile("[\n\x01!-~À-ÖØ-öø-ÿ]*")
+#: Blank, letter (or byte of one of À-ÿ), digit, other sign, and bytes whose words stay whole.
+KIND = np.full(256, 4, dtype=np.uint8)
+KIND[0x21:0x7F] = 3
+KIND[[0x27]] = 4
+KIND[0x30:0x3A] = 2
+KIND[[*range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0xC0), 0xC3]] = 1
+KIND[W.BLANK] = 0
 COUNT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).sum(axis=1).astype(np.uint8)
 
 
@@ -57,6 +77,8 @@ class Known:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
+        self.normal = self.tokenizer.normalizer
+        self.cuts = self.cut_by_kind()
         self.mark = self.marked()
         self.clear()
 
@@ -72,6 +94,11 @@ class Known:
         self.words, self.ids, self.size = self.words[k], self.ids[W.span(self.start[k], self.size[k])], self.size[k]
         self.start, self.again = np.concatenate([[0], np.cumsum(self.size)]).astype(np.int64)[:-1], np.zeros(len(k), dtype=bool)
 
+    def cut_by_kind(self) -> bool:
+        """Whether ``parts`` are encoded as in their words."""
+        made = [json.loads(x.__getstate__()) if x is not None else None for x in (self.normal, self.tokenizer.pre_tokenizer)]
+        return made == [NORMAL, SPLIT] and all(SPECIAL in x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+
     def marked(self) -> int:
         """The id of the mark between words, -1 where words asked together are not encoded as each alone."""
         mark, *each = (self.tokenizer.encode(x, add_special_tokens=False).ids for x in (MARK.decode(), "ab", "The", "cd,", "9", "'s", "\u00e9"))
@@ -82,7 +109,7 @@ class Known:
     def ask(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(size of each, ids) from the tokenizer."""
         sizes, flat = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)]
-        some = 10 * TOGETHER
+        some = 50 * TOGETHER
         for a in range(0, len(words), some):
             parts = [words[i:i + TOGETHER] for i in range(a, min(a + some, len(words)), TOGETHER)]
             got = self.encoded([(b"\n" + MARK + b"\n").join(x) for x in parts]) if self.mark >= 0 else [None] * len(parts)
@@ -98,7 +125,15 @@ class Known:
         return np.concatenate(sizes), np.concatenate(flat)
 
     def encoded(self, texts: list[bytes]) -> list[np.ndarray]:
-        got = self.tokenizer.encode_batch_fast([x.decode("utf-8", "replace") for x in texts], add_special_tokens=False)
+        texts = [x.decode("utf-8", "replace") for x in texts]
+        plain = self.cuts and all(PLAIN.fullmatch(x) and SPECIAL not in x for x in texts)
+        if plain:
+            self.tokenizer.normalizer = None
+        try:
+            got = self.tokenizer.encode_batch_fast([x.lower() for x in texts] if plain else texts, add_special_tokens=False)
+        finally:
+            if plain:
+                self.tokenizer.normalizer = self.normal
         return [np.array(e.ids, np.uint32) for e in got]
 
     def keep(self, words: np.ndarray, start: np.ndarray, size: np.ndarray, ids: np.ndarray) -> None:
@@ -116,14 +151,65 @@ def known_words(path: str) -> Known:
     return Known(path)
 
 
+def parts(column: pa.Array) -> tuple[W.Words, np.ndarray]:
+    """Words cut between bytes of different kinds and between digits, with hashes of their lower case; and which of them
+    are whole words, left as they are, for some byte in them is not in ``KIND`` or part of another letter than À-ÿ."""
+    data, bounds = W.text_bytes(column)
+    starts, ends, hashes, whole = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, W.U)], [np.zeros(0, dtype=bool)]
+    for a, b in W.windows(data, bounds, W.BLANK):
+        part = data[a:b]
+        heads = bounds[np.searchsorted(bounds, a):np.searchsorted(bounds, b)] - a
+        kind = KIND[part]
+        inside = kind > 0
+        first = np.ones(len(part), dtype=bool)
+        first[1:] = ~inside[:-1]
+        first[heads] = True
+        cut = kind == 2
+        cut[1:] |= kind[1:] != kind[:-1]
+        cut &= inside & ~first
+        first &= inside
+        bad = kind == 4
+        lead, tail, low = part == 0xC3, (part & 0xC0) == 0x80, W.LOWER[part]
+        if lead.any() or tail.any():
+            second = np.zeros(len(part), dtype=bool)
+            second[1:] = lead[:-1]
+            second[heads] = False
+            then = np.zeros(len(part), dtype=bool)
+            then[:-1] = (tail & second)[1:]
+            bad |= (tail & (~second | (part == 0x97) | (part == 0xB7))) | (lead & ~then)
+            low[second & tail & (part < 0x9F)] += 32
+        bad[:-1] |= (part[:-1] == ord(SPECIAL[0])) & (part[1:] == ord(SPECIAL[1]))
+        s = np.flatnonzero(first)
+        spoiled = np.unique(np.searchsorted(s, np.flatnonzero(bad), side="right") - 1)
+        if len(spoiled):
+            cuts = np.flatnonzero(cut)
+            cut[cuts[np.isin(np.searchsorted(s, cuts, side="right") - 1, spoiled)]] = False
+        first |= cut
+        inside[:-1] &= ~inside[1:] | first[1:]
+        at, e = np.flatnonzero(first), np.flatnonzero(inside) + 1
+        left = np.zeros(len(at), dtype=bool)
+        if len(spoiled):
+            left[np.searchsorted(at, s[spoiled])] = True
+            same = W.span(at[left], (e - at)[left])
+            low[same] = part[same]
+        starts.append(at + a)
+        ends.append(e + a)
+        whole.append(left)
+        hashes.append(W.run_hashes(low, at, e))
+    begin = np.concatenate(starts)
+    return W.Words(np.searchsorted(begin, bounds), np.concatenate(hashes), begin, np.concatenate(ends), data, bounds), np.concatenate(whole)
+
+
 def encode(column: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(bounds by text, ids) of whole texts, without end ids."""
     known = known_words(path)
-    w = W.words(column, lower=False)
+    w, whole = parts(column) if known.cuts else (W.words(column, lower=False), None)
     distinct, at, inverse, often = np.unique(w.hashes, return_index=True, return_inverse=True, return_counts=True)
     place = np.minimum(np.searchsorted(known.words, distinct), max(0, len(known.words) - 1))
     old = known.words[place] == distinct if len(known.words) else np.zeros(len(distinct), dtype=bool)
     new = np.flatnonzero(~old)
+    if whole is not None:
+        new = new[np.argsort(whole[at[new]], kind="stable")]
     raw = w.data.tobytes() if len(new) else b""
     sizes, ids = known.ask([raw[a:b] for a, b in zip(w.starts[at[new]].tolist(), w.ends[at[new]].tolist(), strict=True)])
     starts = np.concatenate([[0], np.cumsum(sizes)[:-1]]).astype(np.int64) if len(sizes) else sizes
@@ -203,7 +289,7 @@ def encoded(docs: DataFrame, path: str, end_id: int | None = END_ID) -> DataFram
         out = [np.append(ids[a:b], tail).astype(np.uint32) for a, b in zip(first, first[1:], strict=False)]
         out = [b"\2" + x.astype("<u2").tobytes() if not len(x) or x.max() < 1 << 16 else b"\4" + x.astype("<u4").tobytes() for x in out]
         return pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(out, pa.binary())], names=["doc_id", "ids"])
-    return W.map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids binary", most=1 << 22)
+    return W.map_texts(docs.select(F.col("doc_id").cast("long"), "text"), run, "doc_id long, ids binary", most=1 << 20)
 
 
 def shards(docs: DataFrame, path: str, n: int, end_id: int | None = END_ID) -> DataFrame:
@@ -265,7 +351,8 @@ def read(spark: SparkSession, folder: str) -> DataFrame:
     """(doc_id, start, n_tokens, ids_crc32) of every document in the file set."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
                 ids = unpack(row["levels"], row["marks"])
                 counts = np.frombuffer(row["doc_counts"], "<i8")
                 nulls = np.unpackbits(np.frombuffer(row["doc_nulls"], np.uint8), count=len(counts), bitorder="little").astype(bool)

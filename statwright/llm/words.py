@@ -112,6 +112,14 @@ def windows(data: np.ndarray, bounds: np.ndarray, blank: np.ndarray) -> Iterator
         at = end
 
 
+def run_hashes(part: np.ndarray, s: np.ndarray, e: np.ndarray, byte: np.ndarray = BYTE) -> np.ndarray:
+    """Hash of the bytes from each s up to its e; ``byte`` has the value of every byte."""
+    up, down = powers(WINDOW if len(part) <= WINDOW else 1 << int(len(part) - 1).bit_length())
+    total = np.zeros(len(part) + 1, dtype=U)
+    np.cumsum(byte[part] * up[:len(part)], out=total[1:])
+    return mix((total[e] - total[s]) * down[s] + (e - s).astype(U) * STEP)
+
+
 def words(column: pa.Array, blank: np.ndarray = BLANK, lower: bool = True, hashed: bool = True) -> Words:
     """The words of every text of a column."""
     data, bounds = text_bytes(column)
@@ -131,11 +139,7 @@ def words(column: pa.Array, blank: np.ndarray = BLANK, lower: bool = True, hashe
         starts.append(s + a)
         ends.append(e + a)
         if hashed:
-            size = WINDOW if len(part) <= WINDOW else 1 << int(len(part) - 1).bit_length()
-            up, down = powers(size)
-            total = np.zeros(len(part) + 1, dtype=U)
-            np.cumsum((BYTE[LOWER] if lower else BYTE)[part] * up[:len(part)], out=total[1:])
-            hashes.append(mix((total[e] - total[s]) * down[s] + (e - s).astype(U) * STEP))
+            hashes.append(run_hashes(part, s, e, BYTE[LOWER] if lower else BYTE))
     none = np.zeros(0, np.int64)
     starts = np.concatenate(starts) if starts else none
     ends = np.concatenate(ends) if ends else none

@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import itertools
+import json
 import math
 import random
 import re
@@ -385,3 +386,28 @@ def test_words_asked_together_have_the_ids_of_each_alone(monkeypatch):
         if most > len(words):
             assert len(asked) == len(set(asked))  # words seen once in a piece are remembered too
     token_codes.known_words.cache_clear()
+
+
+def test_words_are_asked_by_their_parts(monkeypatch, tmp_path):
+    """Case and signs at a word make no new word; words of other letters, apostrophes and special tokens stay whole; other tokenizers too."""
+    path = Q.tokenizer_path()
+    asked, ask = [], token_codes.Known.ask
+    monkeypatch.setattr(token_codes.Known, "ask", lambda self, x: asked.extend(x) or ask(self, x))
+    token_codes.known_words.cache_clear()
+    _, ids = token_codes.encode(pa.array(["Haus haus, HAUS. Größe", "größe.haus,7,77 Haus%%%"]), path)
+    assert sorted(x.decode().lower() for x in asked) == sorted(["haus", ",", ".", "größe", "7", "%%%"])
+    plain = token_codes.Known(path).tokenizer
+    assert plain.encode("Haus haus, HAUS. Größe größe.haus,7,77 Haus%%%", add_special_tokens=False).ids == ids.tolist()
+    rng = random.Random(4)
+    signs = [*"abzAZ09.,'!<|>\t\n \x1c\x7f\x00\x01\x85\xa0éÉßÿÞ×÷ªΣςİ…́Жǅ中", "é", "'s", "'LL", "<|endoftext|>", "<|ENDOFTEXT|>", "Haus", " "]
+    other = json.loads(plain.to_str())
+    other["normalizer"]["normalizers"].pop()
+    (tmp_path / "cased.json").write_text(json.dumps(other))
+    for file in (path, str(tmp_path / "cased.json")):
+        known = token_codes.known_words(file)
+        assert known.cuts == (file == path)
+        texts = ["".join(rng.choices(signs, k=k % 60)) for k in range(600)] + [None]
+        first, ids = token_codes.encode(pa.array(texts, pa.string()), file)
+        for i, t in enumerate(texts):
+            assert ids[first[i]:first[i + 1]].tolist() == known.tokenizer.encode(t or "", add_special_tokens=False).ids
+    token_codes.known_words.cache_clear()
