@@ -15,7 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from statwright.llm import backoff_lm, conversations, substring_dedup, token_codes, whitening
+from statwright.llm import backoff_lm, conversations, decontamination, substring_dedup, token_codes, whitening
 from statwright.llm import queries as Q
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -411,3 +411,25 @@ def test_words_are_asked_by_their_parts(monkeypatch, tmp_path):
         for i, t in enumerate(texts):
             assert ids[first[i]:first[i + 1]].tolist() == known.tokenizer.encode(t or "", add_special_tokens=False).ids
     token_codes.known_words.cache_clear()
+
+
+def test_decontamination_has_one_python_step(spark):
+    """Spans are cut out by bytes, at both ends and in the middle, and no second Python worker waits in the stage."""
+    item = "one two three four five six seven eight nine ten"
+    texts = {0: None, 1: "", 2: "öde – Größe", 3: f"Ö-{item}; {'ß ' * 30}é", 4: f"{'日本 ' * 15}{item}", 5: f"{item} {'x ' * 25}{item.upper()}\n{'y ' * 15}…",
+             6: item, 7: f"{'a ' * 20}{item}, {item} {'b ' * 20}"}
+    docs = spark.createDataFrame([(k, t, len(t or "")) for k, t in texts.items()], "doc_id long, text string, n_chars long")
+    items = spark.createDataFrame([("i", item)], "item_id string, text string")
+    clean = decontamination.decontaminate(docs, items)
+    assert len(re.findall("MapInArrow", clean._jdf.queryExecution().executedPlan().toString())) == 1
+    found = {r.doc_id: r for r in decontamination.hits(docs, items).collect()}
+    want = {}
+    for k, t in texts.items():
+        if found[k].n_hit * 2 <= found[k].n_words:
+            raw, at, keep = (t or "").encode(), 0, []
+            for a, b in found[k].spans:
+                keep.append(raw[at:a])
+                at = b
+            want[k] = b" ".join([*keep, raw[at:]]).decode() if found[k].spans else t
+    assert set(want) == {0, 1, 2, 3, 4, 5, 7} and sum(x.n_hit > 0 for x in found.values()) == 5
+    assert {r.doc_id: (r.text, r.n_chars) for r in clean.collect()} == {k: (t, len(t or "")) for k, t in want.items()}
