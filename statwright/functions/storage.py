@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 _test_folder: str | None = None
 
 
@@ -41,19 +44,29 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, release: bool = False) -> DataFrame:
+@contextlib.contextmanager
+def settings(spark: SparkSession, values: dict[str, str]) -> Iterator[None]:
+    """Other settings of the session for a while."""
+    before = {k: spark.conf.get(k) for k in values}
+    try:
+        for k, v in values.items():
+            spark.conf.set(k, v)
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def written(df: DataFrame, release: bool = False, batch: int | None = None) -> DataFrame:
     """The same as a Parquet table in the shared folder: smaller than a
     checkpoint, and later steps read only the columns they use.  ``release``:
-    Spark drops the shuffle files of this write as soon as it is done."""
+    Spark drops the shuffle files of this write as soon as it is done.
+    ``batch``: bytes after which a batch of rows goes to a Python worker, so
+    that few large rows are not held together."""
     spark = df.sparkSession
     path = scratch_path(spark, "table")
-    before = spark.conf.get(CLEANUP)
-    if release:
-        spark.conf.set(CLEANUP, "true")
-    try:
+    with settings(spark, {CLEANUP: "true"} if release else {}), settings(spark, {BATCH_BYTES: str(batch)} if batch else {}):
         df.write.parquet(path)
-    finally:
-        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -62,6 +62,8 @@ SHARD_WORDS = 1 << 21
 ROWS = 1 << 18
 CHUNK = 1 << 20
 PIECE = 1 << 23
+#: A piece with its counts has more bytes than this and goes to a worker alone; ten thousand counts have less.
+ALONE = 1 << 20
 MET = "piece long, keys array<long>, n array<long>, t array<long>"
 STATS = -1
 FILTER_BITS = 28
@@ -443,11 +445,11 @@ def corpus(docs: DataFrame, trained: Column, keep_text: bool = True) -> DataFram
     def statistics(df: DataFrame, many: int) -> list[int]:
         return [x or 0 for x in df.filter(F.col("piece") == STATS).agg(*(F.sum(F.col("n")[k]) for k in range(many))).first()]
 
-    pairs = written(met(by_piece(read, pairs_asked, "piece long, key long, n long")), release=True).select("piece", "keys", "n")
+    pairs = written(met(by_piece(read, pairs_asked, "piece long, key long, n long")), True, ALONE).select("piece", "keys", "n")
     _, two, one = statistics(pairs, 3)
     discount = one / (one + 2 * two) if one and two else 0.5
     pairs = together(pairs, "keys", "n")
-    singles = written(met(by_piece(read.join(pairs, "piece", "left"), words_asked, "piece long, key long, n long, t long")), release=True)
+    singles = written(met(by_piece(read.join(pairs, "piece", "left"), words_asked, "piece long, key long, n long, t long")), True, ALONE)
     n, distinct = statistics(singles, 2)
     size = float(n + distinct + 1)
     kinds = T.StructType([*(mine.schema[c] for c in own), *T.StructType.fromDDL(RESULT + ", train_tokens long").fields])
@@ -468,4 +470,5 @@ def corpus(docs: DataFrame, trained: Column, keep_text: bool = True) -> DataFram
         yield pa.RecordBatch.from_arrays([*texts, *(pa.array(x) for x in columns)], names=[*own, *results])
 
     rows = pieces.join(pairs, "piece", "left").join(together(singles, "word", "c", "t"), "piece", "left")
-    return by_piece(rows, walk, kinds).select(*[b for b, c in zip(back, marked.columns, strict=True) if c in named], *results)
+    # Written here, as the size of a batch holds for the step only, not for what callers do with the rows.
+    return written(by_piece(rows, walk, kinds), True, ALONE).select(*[b for b, c in zip(back, marked.columns, strict=True) if c in named], *results)

@@ -15,6 +15,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
+from statwright.functions.storage import BATCH_BYTES
 from statwright.llm import backoff_lm, conversations, decontamination, substring_dedup, token_codes, whitening
 from statwright.llm import queries as Q
 
@@ -359,6 +360,25 @@ def test_every_bigram_of_the_training_texts_is_an_arc(spark, monkeypatch):
     assert backoff_lm.corpus(empty, F.lit(True)).count() == 0
 
 
+def test_pieces_go_to_a_worker_one_by_one(spark, monkeypatch):
+    """Counts that came back make a piece large; pieces of one task are not held together, and the session's batch size stays."""
+    before = spark.conf.get(BATCH_BYTES)
+    own = backoff_lm.by_piece
+
+    def alone(df, make, schema):
+        def run(batches):
+            for b in batches:
+                assert b.num_rows == 1, "pieces in one batch"
+                yield b
+        return own(df.mapInArrow(run, df.schema), make, schema)
+    monkeypatch.setattr(backoff_lm, "by_piece", alone)
+    monkeypatch.setattr(backoff_lm, "ALONE", 1)
+    df = spark.createDataFrame([(i, f"a b {i % 5}") for i in range(48)], "doc_id long, text string").repartition(24)
+    got = backoff_lm.corpus(df, F.lit(True)).collect()
+    assert len(got) == 48 and {r.n_tokens for r in got} == {4} and {r.train_tokens for r in got} == {192}
+    assert spark.conf.get(BATCH_BYTES) == before
+
+
 def test_words_asked_together_have_the_ids_of_each_alone(monkeypatch):
     """Words with the mark in them, odd blanks, joiners and broken bytes; a full store of known words; few questions."""
     path = Q.tokenizer_path()
