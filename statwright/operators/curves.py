@@ -19,6 +19,7 @@ from ..functions.ordered import BLOCK_ROWS, framed, positions, running_sum, sett
 from ..functions.storage import materialise
 from .nearest import nearest_distances
 from .splines import CHUNK_KNOTS, spline_points
+from .whole_curves import SHORT_POINTS, parted, resampled
 
 
 def _own_stats(points: DataFrame, key: str, aggs: list[Column]) -> DataFrame:
@@ -423,14 +424,23 @@ def merged_by_x(points: DataFrame, key: str, tolerance: float = 1e-8, block_rows
 def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8, block_rows: int | None = BLOCK_ROWS,
              chunk_knots: int = CHUNK_KNOTS) -> DataFrame:
     """n points at equal steps of the chord length along the interpolating cubic
-    through the merged points (``splines``, chunk by chunk for long curves).
-    Curves of fewer than three points stay as they are, two merged points too.
+    through the merged points: short curves many at a time (``whole_curves``),
+    long ones chunk by chunk (``splines``).  Curves of fewer than three points
+    stay as they are, two merged points too.
     """
+    short, long = parted(points, key, _short_points(block_rows, chunk_knots))
+    done = resampled(short, key, n, tolerance)
+    return done if long is None else done.unionByName(_resample_long(long, key, n, tolerance, block_rows, chunk_knots))
+
+
+def _short_points(block_rows: int | None, chunk_knots: int) -> int:
+    return max(2, min(SHORT_POINTS, chunk_knots, block_rows or SHORT_POINTS))
+
+
+def _resample_long(points: DataFrame, key: str, n: int, tolerance: float, block_rows: int | None, chunk_knots: int) -> DataFrame:
+    """``resample`` of curves of three points or more."""
     block_rows = settled(points, [key], block_rows)
-    size = points.groupBy(F.col(key).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-    few = points.join(size.filter("_n < 3"), F.col(key) == F.col("_key"), "left_semi").select(key, "seq", "x", "y")
-    many = points.join(size.filter("_n >= 3"), F.col(key) == F.col("_key"), "left_semi")
-    knots = merged_by_x(many, key, tolerance, block_rows)
+    knots = merged_by_x(points, key, tolerance, block_rows)
     fr = framed(knots, [key], ["x"], 1, 0, block_rows)
     back = lambda c: F.col(c) - F.lag(c).over(fr.window)
     rows = fr.own(fr.df.withColumn("_step", F.coalesce(_hypot(back("x"), back("y")), F.lit(0.0))))
@@ -438,8 +448,7 @@ def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8,
     rows = _own_stats(rows, key, [F.max("u").alias("total"), F.count(F.lit(1)).alias("m")])
     short = positions(rows.filter("m <= 2").select(key, "x", "y"), [key], ["x"], "seq", block_rows)
     long = rows.filter("m > 2").withColumn("u", F.col("u") / F.col("total")).select(key, "u", "x", "y")
-    done = spline_points(long, key, n, chunk_knots, block_rows)
-    return few.unionByName(short.select(key, "seq", "x", "y")).unionByName(done)
+    return short.select(key, "seq", "x", "y").unionByName(spline_points(long, key, n, chunk_knots, block_rows))
 
 
 # ---- distances and matching -------------------------------------------------

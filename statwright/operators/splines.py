@@ -25,31 +25,32 @@ CHUNK_KNOTS = 50_000
 
 
 def solve(lower: np.ndarray, main: np.ndarray, upper: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """A diagonally dominant tridiagonal system with several right sides: every step links rows twice as far apart."""
+    """A diagonally dominant tridiagonal system with several right sides: every step links rows twice as far apart.
+    Axes between the first and the last are systems side by side."""
     lower, main, upper, right = lower.copy(), main.copy(), upper.copy(), right.copy()
     lower[0] = upper[-1] = 0.0
     step, n = 1, len(main)
     while step < n:
-        a, c = np.zeros(n), np.zeros(n)
+        a, c = np.zeros_like(main), np.zeros_like(main)
         a[step:], c[:-step] = -lower[step:] / main[:-step], -upper[:-step] / main[step:]
         new_main, new_right = main.copy(), right.copy()
         new_main[step:] += a[step:] * upper[:-step]
         new_main[:-step] += c[:-step] * lower[step:]
-        new_right[step:] += a[step:, None] * right[:-step]
-        new_right[:-step] += c[:-step, None] * right[step:]
-        new_lower, new_upper = np.zeros(n), np.zeros(n)
+        new_right[step:] += a[step:, ..., None] * right[:-step]
+        new_right[:-step] += c[:-step, ..., None] * right[step:]
+        new_lower, new_upper = np.zeros_like(main), np.zeros_like(main)
         new_lower[step:] = a[step:] * lower[:-step]
         new_upper[:-step] = c[:-step] * upper[step:]
         lower, main, upper, right = new_lower, new_main, new_upper, new_right
         step *= 2
-    return right / main[:, None]
+    return right / main[..., None]
 
 
 def system(u: np.ndarray, v: np.ndarray, first: bool, last: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Rows of the inner knots of a chunk.  At an end of the curve the third
     derivative is the same on both sides of the next knot, which gives the end value from its two neighbours."""
-    h = np.diff(u)
-    right = 6 * np.diff(np.diff(v, axis=0) / h[:, None], axis=0)
+    h = np.diff(u, axis=0)
+    right = 6 * np.diff(np.diff(v, axis=0) / h[..., None], axis=0)
     main, upper, lower = 2 * (h[:-1] + h[1:]), h[1:].copy(), h[:-1].copy()
     if first:
         r = h[0] / h[1]
@@ -64,7 +65,7 @@ def system(u: np.ndarray, v: np.ndarray, first: bool, last: bool) -> tuple[np.nd
 
 def bends(u: np.ndarray, v: np.ndarray, left: np.ndarray | None, right: np.ndarray | None) -> np.ndarray:
     """Second derivatives at the knots of a chunk; None at an end of the curve, else the value at the cut."""
-    h = np.diff(u)
+    h = np.diff(u, axis=0)
     lower, main, upper, d = system(u, v, left is None, right is None)
     if left is not None:
         d[0] -= h[0] * left
@@ -72,12 +73,12 @@ def bends(u: np.ndarray, v: np.ndarray, left: np.ndarray | None, right: np.ndarr
         d[-1] -= h[-1] * right
     m = solve(lower, main, upper, d)
     if left is None:
-        r = h[0] / h[1]
+        r = (h[0] / h[1])[..., None]
         left = (1 + r) * m[0] - r * m[1]
     if right is None:
-        r = h[-1] / h[-2]
+        r = (h[-1] / h[-2])[..., None]
         right = (1 + r) * m[-1] - r * m[-2]
-    return np.vstack([left, m, right])
+    return np.concatenate([left[None], m, right[None]])
 
 
 def values(u: np.ndarray, v: np.ndarray, at: np.ndarray, left: np.ndarray | None = None, right: np.ndarray | None = None) -> np.ndarray:
@@ -94,6 +95,30 @@ def values(u: np.ndarray, v: np.ndarray, at: np.ndarray, left: np.ndarray | None
             + (v[k + 1] / w - m[k + 1] * w / 6) * t)
 
 
+def many_values(u: np.ndarray, x: np.ndarray, y: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``values`` of whole curves with equally many knots, a column a curve: x and y, a row a point."""
+    n, curves = len(at), u.shape[1]
+    if len(u) == 3:
+        a, b, c = u
+        t = at[:, None]
+        one, two, three = (t - b) * (t - c), (t - a) * (t - c), (t - a) * (t - b)
+        low, mid, high = (a - b) * (a - c), (b - a) * (b - c), (c - a) * (c - b)
+        x, y = (v[0] * one / low + v[1] * two / mid + v[2] * three / high for v in (x, y))
+        return x, y
+    m, h = bends(u, np.stack([x, y], axis=-1), None, None), np.diff(u, axis=0)
+    # a knot counts from the first point at or after it
+    past = np.zeros((n + 1, curves), np.int32)
+    np.add.at(past, (np.searchsorted(at, u.ravel()), np.tile(np.arange(curves), len(u))), 1)
+    k = np.clip(np.cumsum(past[:n], axis=0) - 1, 0, len(u) - 2) * curves + np.arange(curves)
+    w = h.ravel()[k]
+    t, s = at[:, None] - u.ravel()[k], u.ravel()[k + curves] - at[:, None]
+    out = []
+    for c, v in enumerate((x, y)):
+        low, high, v = m[:-1, :, c].ravel()[k], m[1:, :, c].ravel()[k], v.ravel()
+        out.append((low * s * s * s + high * t * t * t) / (6 * w) + (v[k] / w - low * w / 6) * s + (v[k + curves] / w - high * w / 6) * t)
+    return out[0], out[1]
+
+
 #: What a chunk sends: the inner value next to each cut is p + q * (left cut) + r * (right cut).
 ENDS = ["px", "py", "q", "r"]
 SENT = [f"{side}_{c}" for side in ("head", "tail") for c in (*ENDS, "h", "sx", "sy")]
