@@ -19,7 +19,7 @@ from ..functions.ordered import BLOCK_ROWS, framed, positions, running_sum, sett
 from ..functions.storage import materialise
 from .nearest import nearest_distances
 from .splines import CHUNK_KNOTS, spline_points
-from .whole_curves import SHORT_POINTS, parted, resampled
+from .whole_curves import SHORT_POINTS, nearest_sums, parted, resampled
 
 
 def _own_stats(points: DataFrame, key: str, aggs: list[Column]) -> DataFrame:
@@ -473,26 +473,44 @@ def nearest_sum(a: DataFrame, b: DataFrame, key: str, block_rows: int | None = B
 
 #: Points of the query curve that travel together.
 QUERY_BLOCK = 1024
+#: Samples up to which a task compares a curve with the whole query.
+QUERY_SAMPLES = 1024
 
 
 def best_matches(query: DataFrame, points: DataFrame, key: str, k: int = 3, samples: int | None = 200,
                  block_rows: int | None = BLOCK_ROWS) -> DataFrame:
     """The k curves nearest to the query curve: both normalised and resampled
     (``samples`` None: not), summed over the query's points.  Every curve is
-    asked about every point of the query, which meets the curves in blocks."""
+    asked about every point of the query, which meets the curves in blocks;
+    short curves are resampled and compared in one go (``whole_curves``)."""
     probe = normalise(query.select(F.lit(0).alias("_q"), "seq", "x", "y"), "_q")
-    others = normalise(points, key)
-    if samples is not None:
+    if samples is None:
+        sums = _asked_sums(probe, normalise(points, key), key, block_rows)
+    else:
         probe = materialise(resample(probe, "_q", samples, block_rows=block_rows))
-        others = materialise(resample(others, key, samples, block_rows=block_rows))
-        size = probe.count()
-        same = others.groupBy(F.col(key).alias("_key")).count().filter(F.col("count") == size)
-        others = others.join(same, F.col(key) == F.col("_key"), "left_semi")
+        size, known = probe.agg(F.count(F.lit(1)), F.count_if(F.col("x").isNotNull() & F.col("y").isNotNull())).first()
+        if 3 <= size == known == samples <= QUERY_SAMPLES:
+            short, long = parted(points, key, _short_points(block_rows, CHUNK_KNOTS))
+            asked = np.array(probe.select("x", "y").collect())
+            sums = nearest_sums(normalise(short, key), key, asked, 1e-8)
+        else:
+            long, sums = points, None
+        if long is not None:
+            others = materialise(resample(normalise(long, key), key, samples, block_rows=block_rows))
+            same = others.groupBy(F.col(key).alias("_key")).count().filter(F.col("count") == size)
+            others = others.join(same, F.col(key) == F.col("_key"), "left_semi")
+            asked_sums = _asked_sums(probe, others, key, block_rows)
+            sums = asked_sums if sums is None else sums.unionByName(asked_sums)
+    return sums.orderBy("distance_sum", key).limit(k)
+
+
+def _asked_sums(probe: DataFrame, others: DataFrame, key: str, block_rows: int | None) -> DataFrame:
+    """key, distance_sum: from each point of the probe to the nearest of the curve, summed."""
     numbered = positions(probe.select("seq", "x", "y"), [], ["seq", "x", "y"], "seq_", block_rows)
     blocks = (numbered.groupBy(F.floor(F.col("seq_") / QUERY_BLOCK).alias("_block"))
               .agg(F.collect_list(F.struct(F.col("seq_").alias("seq"), "x", "y")).alias("_points")).select("_points"))
     asked = others.select(key).distinct().crossJoin(blocks).select(key, F.explode("_points").alias("p")).select(key, "p.*")
-    return nearest_sum(asked, others, key, block_rows).orderBy("distance_sum", key).limit(k)
+    return nearest_sum(asked, others, key, block_rows)
 
 
 # ---- near duplicates --------------------------------------------------------

@@ -166,3 +166,31 @@ def resampled(points: DataFrame, key: str, n: int, tolerance: float) -> DataFram
             yield batch(np.repeat(places[some], n), pa.array(np.tile(np.arange(1, n + 1), len(some))).cast(numbered.type), pa.array(x.T.ravel(), from_pandas=True), pa.array(y.T.ravel(), from_pandas=True))
 
     return each(points, key, tolerance, made, T.StructType([points.schema[key], *[T.StructField(c, t) for c, t in (("seq", seq), ("x", number), ("y", number))]]))
+
+
+def nearest_sums(points: DataFrame, key: str, probe: np.ndarray, tolerance: float) -> DataFrame:
+    """key, distance_sum of the short curves that resampling gives as many points as the probe (x, y) has:
+    from each point of the probe to the nearest of the curve, summed."""
+    number, n = T.DoubleType(), len(probe)
+    points = points.select(key, F.col("x").cast(number).alias("x"), F.col("y").cast(number).alias("y"))
+
+    def made(rows: pa.Table, start: np.ndarray, k: Knots | None, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+        name = _column(rows, key)
+        px, py = probe[:, 0][:, None].copy(), probe[:, 1][:, None].copy()
+        dx, dy = np.empty((n, n)), np.empty((n, n))
+        for some, x, y in cubics(k, n) if k is not None else ():
+            near, x, y = np.empty((len(some), n)), x.T.copy(), y.T.copy()
+            for i in range(len(some)):
+                np.subtract(x[i], px, out=dx)
+                np.subtract(y[i], py, out=dy)
+                np.multiply(dx, dx, out=dx)
+                np.multiply(dy, dy, out=dy)
+                np.add(dx, dy, out=dx)
+                dx.min(axis=1, out=near[i])
+                if np.isnan(near[i, 0]):
+                    np.fmin.reduce(dx, axis=1, out=near[i])
+            sums = np.sqrt(near).sum(axis=1)
+            sums[np.isnan(sums)] = np.inf
+            yield pa.RecordBatch.from_arrays([name.take(pa.array(start[places[some]])), pa.array(sums)], [key, "distance_sum"])
+
+    return each(points, key, tolerance, made, T.StructType([points.schema[key], T.StructField("distance_sum", number)]))

@@ -54,3 +54,40 @@ def test_points_of_short_curves_meet_once(spark):
                                      (F.col("id") % 6).cast("double").alias("x"), F.sin("id").alias("y"))
     out = curves.resample(rows, "curve", 10)
     assert out.count() == 5_000 and exchanges(out) == 1
+
+
+def all_distances(query, points, n):
+    """Sums from every point of the resampled query to the nearest of each curve of n points."""
+    q = curves.resample(curves.normalise(query, "curve"), "curve", n).toPandas()[["x", "y"]].to_numpy()
+    made = curves.resample(curves.normalise(points, "curve"), "curve", n).toPandas()
+    out = {}
+    for c, p in made.groupby("curve"):
+        if len(p) == n:
+            p = p[["x", "y"]].dropna().to_numpy()
+            out[c] = np.hypot(q[:, None, 0] - p[None, :, 0], q[:, None, 1] - p[None, :, 1]).min(axis=1).sum() if len(p) else np.inf
+    return out
+
+
+def test_matches_are_those_of_all_distances(spark):
+    """Curves of three points, long ones and unknown values among the others; two points never match."""
+    t, rng = np.arange(5000), np.random.default_rng(13)
+    rows = [(100, int(i), float(i), float(np.sin(i / 700))) for i in t]
+    rows += [(c, i, i + float(rng.random() / 2), float(rng.normal())) for c in range(30) for i in range(2 + c % 9)]
+    rows += [(200, i, float(i), None if i == 2 else 1.0 + i) for i in range(6)]
+    df = spark.createDataFrame(rows, "curve int, seq int, x double, y double")
+    query = df.filter("curve = 7")
+    want = all_distances(query, df, 150)
+    got = curves.best_matches(query, df, "curve", 99, 150).collect()
+    assert {r.curve for r in got} == set(want) and got[0].curve == 7 and len(got) == 28
+    assert np.allclose([r.distance_sum for r in got], sorted(want.values()), atol=1e-9)
+    assert all(abs(r.distance_sum - want[r.curve]) < 1e-9 or want[r.curve] == np.inf == r.distance_sum for r in got)
+
+
+def test_no_row_for_each_curve_and_point_of_the_query(spark):
+    """The query goes to the curves: it is not multiplied by them and shuffled."""
+    rows = spark.range(6_000).select(F.floor(F.col("id") / 6).alias("curve"), (F.col("id") % 6).alias("seq"),
+                                     (F.col("id") % 6).cast("double").alias("x"), F.sin("id").alias("y"))
+    out = curves.best_matches(rows.filter("curve = 3"), rows, "curve", 2, 150)
+    assert out.first() == (3, 0.0)
+    plan = out._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
