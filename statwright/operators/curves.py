@@ -422,15 +422,18 @@ def merged_by_x(points: DataFrame, key: str, tolerance: float = 1e-8, block_rows
 
 
 def resample(points: DataFrame, key: str, n: int = 200, tolerance: float = 1e-8, block_rows: int | None = BLOCK_ROWS,
-             chunk_knots: int = CHUNK_KNOTS) -> DataFrame:
+             chunk_knots: int = CHUNK_KNOTS, digits: int | None = None) -> DataFrame:
     """n points at equal steps of the chord length along the interpolating cubic
     through the merged points: short curves many at a time (``whole_curves``),
     long ones chunk by chunk (``splines``).  Curves of fewer than three points
-    stay as they are, two merged points too.
+    stay as they are, two merged points too.  ``digits``: x and y rounded.
     """
     short, long = parted(points, key, _short_points(block_rows, chunk_knots))
-    done = resampled(short, key, n, tolerance)
-    return done if long is None else done.unionByName(_resample_long(long, key, n, tolerance, block_rows, chunk_knots))
+    done = resampled(short, key, n, tolerance, digits)
+    if long is None:
+        return done
+    rest = _resample_long(long, key, n, tolerance, block_rows, chunk_knots)
+    return done.unionByName(rest if digits is None else rest.withColumns({c: F.round(c, digits) for c in "xy"}))
 
 
 def _short_points(block_rows: int | None, chunk_knots: int) -> int:

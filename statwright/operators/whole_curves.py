@@ -10,6 +10,7 @@ of a numpy call is shared by hundreds of curves.  What is made of a curve
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from decimal import ROUND_HALF_UP, Decimal
 from typing import NamedTuple
 
 import numpy as np
@@ -90,6 +91,20 @@ def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def half_up(x: np.ndarray, digits: int) -> np.ndarray:
+    """Doubles as ``F.round`` gives them, half up from their shortest decimal form; that form is written only close to a half."""
+    scale = 10.0 ** digits
+    large = np.abs(x) * scale
+    low = np.floor(large)
+    rest = large - low
+    out = np.copysign((low + (rest >= 0.5)) / scale, x) + 0.0
+    # from 2 ** 53 on, a double has no digits to lose
+    plain = (np.abs(rest - 0.5) > large * 2.0 ** -50) & (large < 2.0 ** 52)
+    for i in np.flatnonzero(~plain):
+        out[i] = x[i] if not abs(x[i]) < 2.0 ** 53 else float(Decimal(repr(float(x[i]))).quantize(Decimal(1).scaleb(-digits), ROUND_HALF_UP)) + 0.0
+    return out
+
+
 def _column(table: pa.Table, name: str) -> pa.Array:
     column = table.column(name)
     return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
@@ -138,7 +153,7 @@ def each(points: DataFrame, key: str, tolerance: float, made: Made, schema: T.St
     return points.withColumn("_i", F.row_number().over(inside)).mapInArrow(run, schema)
 
 
-def resampled(points: DataFrame, key: str, n: int, tolerance: float) -> DataFrame:
+def resampled(points: DataFrame, key: str, n: int, tolerance: float, digits: int | None = None) -> DataFrame:
     """``curves.resample`` of short curves."""
     spark, number = points.sparkSession, T.DoubleType()
     seq = points.select("seq").unionByName(spark.range(0).select(F.col("id").alias("seq"))).schema["seq"].dataType
@@ -149,21 +164,24 @@ def resampled(points: DataFrame, key: str, n: int, tolerance: float) -> DataFram
 
         def batch(curve, seq, x, y):
             return pa.RecordBatch.from_arrays([name.take(pa.array(start[curve])), seq, x, y], [key, "seq", "x", "y"])
+
+        def numbers(values, none=None):
+            return pa.array(values if digits is None else half_up(values, digits), mask=none, from_pandas=none is None)
         few = np.ones(len(start), bool)
         few[places] = False
         if few.any():
             n_rows = np.diff(np.r_[start, len(rows)])
             keep = np.flatnonzero(np.repeat(few, n_rows))
-            at = pa.array(keep)
-            yield batch(np.repeat(np.arange(len(start)), n_rows)[keep], numbered.take(at), _column(rows, "x").take(at), _column(rows, "y").take(at))
+            x, y = (numbers(values[keep], none[keep]) for values, none in (_numbers(_column(rows, c)) for c in "xy"))
+            yield batch(np.repeat(np.arange(len(start)), n_rows)[keep], numbered.take(pa.array(keep)), x, y)
         if k is None:
             return
         if (k.count <= 2).any():
             keep = np.flatnonzero(np.repeat(k.count <= 2, k.count))
             seq_ = keep - np.repeat(k.start, k.count)[keep] + 1
-            yield batch(np.repeat(places, k.count)[keep], pa.array(seq_).cast(numbered.type), pa.array(k.x[keep], mask=k.no_x[keep]), pa.array(k.y[keep], mask=k.no_y[keep]))
+            yield batch(np.repeat(places, k.count)[keep], pa.array(seq_).cast(numbered.type), numbers(k.x[keep], k.no_x[keep]), numbers(k.y[keep], k.no_y[keep]))
         for some, x, y in cubics(k, n):
-            yield batch(np.repeat(places[some], n), pa.array(np.tile(np.arange(1, n + 1), len(some))).cast(numbered.type), pa.array(x.T.ravel(), from_pandas=True), pa.array(y.T.ravel(), from_pandas=True))
+            yield batch(np.repeat(places[some], n), pa.array(np.tile(np.arange(1, n + 1), len(some))).cast(numbered.type), numbers(x.T.ravel()), numbers(y.T.ravel()))
 
     return each(points, key, tolerance, made, T.StructType([points.schema[key], *[T.StructField(c, t) for c, t in (("seq", seq), ("x", number), ("y", number))]]))
 

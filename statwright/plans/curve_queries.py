@@ -164,9 +164,9 @@ def _(t):
     return curves.self_intersections(points(t), "curve")
 
 
-@query("i14_resample")
+@query("i14_resample", digits=None)
 def _(t):
-    return curves.resample(points(t), "curve")
+    return curves.resample(points(t), "curve", digits=6)
 
 
 _VEC = "(SELECT vec_id AS curve, unnest(embedding) AS y, unnest(range(len(embedding))) AS seq FROM embeddings)"

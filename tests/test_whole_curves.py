@@ -3,7 +3,7 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from statwright.operators import curves
+from statwright.operators import curves, whole_curves
 
 
 def odd_curves(spark):
@@ -56,6 +56,20 @@ def test_points_of_short_curves_meet_once(spark):
     assert out.count() == 5_000 and exchanges(out) == 1
 
 
+def test_rounded_as_spark_rounds(spark):
+    rng = np.random.default_rng(14)
+    halves = (rng.integers(0, 10 ** 9, 500) + 0.5) / 1e6
+    x = np.r_[rng.normal(size=500) * 10.0 ** rng.integers(-9, 13, 500), halves, -halves, np.nextafter(halves, 9e9), np.nextafter(halves, 0),
+              0.0, -0.0, -1e-9, 5e-7, -5e-7, 1e300, -1e300, 2.0 ** 52 + 0.5, 4503599627.370497, 1e11 + 1e-5, np.inf, -np.inf]
+    want = [r[0] for r in spark.createDataFrame([(i, float(v)) for i, v in enumerate(x)], "i int, x double").orderBy("i").select(F.round("x", 6)).collect()]
+    with np.errstate(all="ignore"):
+        got = whole_curves.half_up(x, 6).tolist()
+        assert np.isnan(whole_curves.half_up(np.array([np.nan]), 6)).all()
+    assert list(map(repr, got)) == list(map(repr, want))
+    df = odd_curves(spark)
+    assert listed(curves.resample(df, "curve", 20, digits=6)) == listed(curves.resample(df, "curve", 20))
+
+
 def all_distances(query, points, n):
     """Sums from every point of the resampled query to the nearest of each curve of n points."""
     q = curves.resample(curves.normalise(query, "curve"), "curve", n).toPandas()[["x", "y"]].to_numpy()
