@@ -15,6 +15,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -110,6 +111,12 @@ def _column(table: pa.Table, name: str) -> pa.Array:
     return column.chunk(0) if column.num_chunks == 1 else pa.concat_arrays(column.chunks)
 
 
+def _keys(table: pa.Table, key: str) -> pa.Array:
+    """Keys as a group has them: no negative zero."""
+    column = _column(table, key)
+    return pc.add(column, pa.scalar(0.0, column.type)) if pa.types.is_floating(column.type) else column
+
+
 def cubics(k: Knots, n: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Curves (their places) of three knots or more with n points each at equal steps of the chord length: x and y, a column a curve."""
     grid = np.linspace(0, 1, n)
@@ -160,9 +167,9 @@ def resampled(points: DataFrame, key: str, n: int, tolerance: float, digits: int
     points = points.select(key, F.col("seq").cast(seq).alias("seq"), F.col("x").cast(number).alias("x"), F.col("y").cast(number).alias("y"))
 
     def made(rows: pa.Table, start: np.ndarray, k: Knots | None, places: np.ndarray) -> Iterator[pa.RecordBatch]:
-        name, numbered = _column(rows, key), _column(rows, "seq")
+        name, numbered = _keys(rows, key), _column(rows, "seq")
 
-        def batch(curve, seq, x, y):
+        def batch(curve, seq, x, y, name=name):
             return pa.RecordBatch.from_arrays([name.take(pa.array(start[curve])), seq, x, y], [key, "seq", "x", "y"])
 
         def numbers(values, none=None):
@@ -173,7 +180,7 @@ def resampled(points: DataFrame, key: str, n: int, tolerance: float, digits: int
             n_rows = np.diff(np.r_[start, len(rows)])
             keep = np.flatnonzero(np.repeat(few, n_rows))
             x, y = (numbers(values[keep], none[keep]) for values, none in (_numbers(_column(rows, c)) for c in "xy"))
-            yield batch(np.repeat(np.arange(len(start)), n_rows)[keep], numbered.take(pa.array(keep)), x, y)
+            yield batch(np.repeat(np.arange(len(start)), n_rows)[keep], numbered.take(pa.array(keep)), x, y, _column(rows, key))
         if k is None:
             return
         if (k.count <= 2).any():
@@ -193,7 +200,7 @@ def nearest_sums(points: DataFrame, key: str, probe: np.ndarray, tolerance: floa
     points = points.select(key, F.col("x").cast(number).alias("x"), F.col("y").cast(number).alias("y"))
 
     def made(rows: pa.Table, start: np.ndarray, k: Knots | None, places: np.ndarray) -> Iterator[pa.RecordBatch]:
-        name = _column(rows, key)
+        name = _keys(rows, key)
         px, py = probe[:, 0][:, None].copy(), probe[:, 1][:, None].copy()
         dx, dy = np.empty((n, n)), np.empty((n, n))
         for some, x, y in cubics(k, n) if k is not None else ():

@@ -105,3 +105,9 @@ def test_no_row_for_each_curve_and_point_of_the_query(spark):
     assert out.first() == (3, 0.0)
     plan = out._jdf.queryExecution().executedPlan().toString()  # noqa: SLF001
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_a_negative_zero_as_key(spark):
+    df = spark.createDataFrame([(-0.0, i, float(i), float(i * i)) for i in range(5)], "curve double, seq int, x double, y double")
+    assert {str(r.curve) for r in curves.resample(df, "curve", 10).collect()} == {"0.0"}
+    assert [str(r.curve) for r in curves.best_matches(df, df, "curve", 1, 10).collect()] == ["0.0"]
